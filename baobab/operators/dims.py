@@ -1,0 +1,25 @@
+"""Join helpers: size-checked broadcast.
+
+A dimension is broadcast only when a cheap check proves it is small: a
+``limit(max_rows + 1).count()`` stops reading as soon as the bound is
+passed, so the check costs at most ``max_rows + 1`` rows even on a huge
+table.  Beyond the bound the plain join is returned and Spark/AQE pick a
+shuffle join from runtime statistics.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+#: Rows under which a dimension is worth broadcasting.
+BROADCAST_MAX_ROWS = 1_000_000
+
+
+def is_bounded(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def maybe_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """``broadcast(df)`` when its row count is proven <= ``max_rows``."""
+    return F.broadcast(df) if is_bounded(df, max_rows) else df
