@@ -1,0 +1,3 @@
+"""baobab: commerce-data analytics operators on Apache Spark."""
+
+__version__ = "0.1.0"

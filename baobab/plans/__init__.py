@@ -1,0 +1 @@
+"""Query registry, stand-in inputs and the DuckDB oracle."""

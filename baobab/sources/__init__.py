@@ -1,0 +1,20 @@
+"""Sources and sinks: files, JDBC and the session catalog."""
+
+from baobab.sources.catalog import create_view_as, list_tables, register_views
+from baobab.sources.files import read_csv, read_json, read_parquet, read_text
+from baobab.sources.jdbc import JdbcConnection, read_back_check, read_query, read_table, write_table
+
+__all__ = [
+    "JdbcConnection",
+    "create_view_as",
+    "list_tables",
+    "read_back_check",
+    "read_csv",
+    "read_json",
+    "read_parquet",
+    "read_query",
+    "read_table",
+    "read_text",
+    "register_views",
+    "write_table",
+]

@@ -1,0 +1,5 @@
+"""Structured Streaming forms of the row-wise operators."""
+
+from baobab.streaming.cleaning import clean_customer_stream
+
+__all__ = ["clean_customer_stream"]

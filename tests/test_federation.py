@@ -1,0 +1,162 @@
+"""JDBC federation (S6, S7, K1, K2, J11, C35 - C40) on an in-process Derby
+database (embedded, in memory: no server, no port) plus a CSV catalogue.
+Expected answers are the fixture's recomputed values."""
+
+import os
+import uuid
+
+import pytest
+from pyspark.sql import functions as F
+
+from baobab.operators import joins, kpi
+from baobab.sources import JdbcConnection, read_back_check, read_csv, read_query, read_table, write_table
+from federation_data import CLIENT_COLS, CLIENTS, COMMANDE_COLS, COMMANDES, PRODUITS_CSV
+
+DERBY = "org.apache.derby.iapi.jdbc.AutoloadedDriver"
+
+
+def _db(name):
+    return JdbcConnection(url=f"jdbc:derby:memory:{name}{uuid.uuid4().hex[:8]};create=true", driver=DERBY)
+
+
+@pytest.fixture(scope="module")
+def fed(spark, tmp_path_factory):
+    crm, ventes = _db("crm"), _db("ventes")
+    clients = spark.createDataFrame(CLIENTS, CLIENT_COLS)
+    commandes = spark.createDataFrame(COMMANDES, COMMANDE_COLS)
+    # Derby binds a NULL string as CLOB: the nullable e-mail column stays CLOB
+    varchar = [c for c in CLIENT_COLS if c != "email"]
+    write_table(clients, crm, "CLIENTS", column_types=", ".join(f"{c} VARCHAR(60)" for c in varchar))
+    str_cols = [c for c in COMMANDE_COLS if c != "montant_fcfa"]
+    write_table(commandes, ventes, "COMMANDES", column_types=", ".join(f"{c} VARCHAR(30)" for c in str_cols))
+    d = tmp_path_factory.mktemp("csv")
+    path = os.path.join(str(d), "produits.csv")
+    with open(path, "w", encoding="utf-8") as f:
+        f.write(PRODUITS_CSV)
+    schema = "produit_id string, nom_produit string, categorie string, prix_fcfa int, stock int"
+    produits = read_csv(spark, path, schema=schema)
+    c = read_table(spark, crm, "CLIENTS")
+    o = read_table(spark, ventes, "COMMANDES", partition_column="montant_fcfa", num_partitions=4)
+    return {"crm": crm, "ventes": ventes, "clients": c, "commandes": o, "produits": produits}
+
+
+def _orders(fed):
+    o = fed["commandes"].select(
+        F.col("commande_id").alias("order_id"),
+        F.col("client_id").alias("customer_id"),
+        F.col("produit_id").alias("product_id"),
+        F.col("montant_fcfa").cast("string").alias("montant_total_fcfa"),
+        F.col("moyen_paiement").alias("methode"),
+        "statut",
+        F.col("canal") if "canal" in fed["commandes"].columns else F.lit("web").alias("canal"),
+        F.col("date_commande"),
+    )
+    return kpi.prepare_orders(o)
+
+
+def _customers(fed):
+    return fed["clients"].select(F.col("client_id").alias("customer_id"), "nom", "ville")
+
+
+def _items(fed):
+    return _orders(fed).select("order_id", "product_id", F.lit(1).cast("bigint").alias("quantite"), F.col("montant_fcfa").alias("prix_unitaire_fcfa"))
+
+
+def _products(fed):
+    return fed["produits"].select(F.col("produit_id").alias("product_id"), "nom_produit", "categorie")
+
+
+def test_counts_and_partitioned_read(fed):
+    assert fed["clients"].count() == 12
+    assert fed["commandes"].count() == 25
+    assert fed["produits"].count() == 10
+    assert fed["commandes"].rdd.getNumPartitions() == 4
+    assert fed["clients"].filter(F.col("email").isNull()).count() == 2
+
+
+def test_query_pushdown(spark, fed):
+    # Spark created the columns as quoted lower-case names
+    q = 'SELECT "commande_id", "client_id", "montant_fcfa" FROM COMMANDES WHERE "statut" = \'livree\''
+
+    assert read_query(spark, fed["ventes"], q).count() == 19
+    plan = fed["commandes"].filter(F.col("statut") == "livree")._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [*IsNotNull(statut), *EqualTo(statut,livree)]" in plan
+
+
+def test_clients_per_city_and_status(fed):
+    per_city = {r.ville: r.nb_clients for r in kpi.clients_per_city(fed["clients"]).collect()}
+    assert per_city["Dakar"] == 4 and sum(per_city.values()) == 12 and len(per_city) == 9
+    st = {r.statut: (r.nb_commandes, r.total_fcfa) for r in kpi.orders_per_status(_orders(fed)).collect()}
+    assert st == {"livree": (19, 997500), "en_cours": (3, 76000), "annulee": (3, 66500)}
+
+
+def test_top5_ties_broken_by_id(fed):
+    ids = [r.order_id for r in kpi.top_orders(_orders(fed), 5).collect()]
+    assert ids == ["CMD01", "CMD16", "CMD19", "CMD07", "CMD12"]
+
+
+def test_cross_source_join_and_city_revenue(fed):
+    o, c = _orders(fed), _customers(fed)
+    assert o.join(c, "customer_id").count() == 24
+    by_city = {r.ville: (r.nb_commandes, r.ca_fcfa) for r in kpi.revenue_by_region(o, c, "ville").collect()}
+    assert by_city == {
+        "Dakar": (9, 494000), "Rufisque": (2, 160500), "Thies": (2, 153500),
+        "Louga": (2, 86500), "Touba": (2, 66000), "Kaolack": (1, 8500),
+    }
+
+
+def test_basket_by_payment(fed):
+    o = _orders(fed)
+    pay = o.select("order_id", "methode")
+    got = {r.methode: (r.nb, r.panier_moyen_fcfa) for r in kpi.basket_by_payment(o.drop("methode"), pay).collect()}
+    assert got == {"carte": (4, 87875.0), "Orange Money": (8, 66250.0), "Wave": (8, 22313.0), "especes": (5, 16000.0)}
+
+
+def test_revenue_by_client(fed):
+    got = {r.customer_id: (r.nb_commandes, r.ca_fcfa) for r in kpi.revenue_by_region(_orders(fed), _customers(fed), "customer_id").collect()}
+    assert got["C001"] == (4, 276500) and got["C006"] == (1, 8500) and len(got) == 9
+
+
+def test_orphans_and_unused(fed):
+    o, c = _orders(fed), _customers(fed)
+    assert [r.order_id for r in joins.orphans(o, c, "customer_id").collect()] == ["CMD15"]
+    assert sorted(r.customer_id for r in joins.unused_keys(c, o, "customer_id").collect()) == ["C007", "C011"]
+    s = joins.orphan_summary(o, c, "customer_id", "montant_fcfa").first()
+    assert s.nb_orphelines == 1 and s.ca_orphelines == 28500
+
+
+def test_category_and_product_revenue(fed):
+    o, c, i, p = _orders(fed), _customers(fed), _items(fed), _products(fed)
+    cc = {(r.ville, r.categorie): r.ca_fcfa for r in kpi.revenue_by(i, o, c, p, ("ville",), ("categorie",)).collect()}
+    assert cc[("Dakar", "Electronique")] == 252500 and cc[("Dakar", "Mode")] == 241500
+    assert cc[("Louga", "Electronique")] == 12000 and len(cc) == 10
+    # category revenue over all delivered orders (the catalogue join only)
+    cat = {r.categorie: r.ca for r in kpi.delivered_line_revenue(i, o).join(p, "product_id").groupBy("categorie").agg(F.sum("ca").alias("ca")).collect()}
+    assert cat == {"Electronique": 627500, "Mode": 370000}
+    prod = {r.product_id: r.ca for r in kpi.delivered_line_revenue(i, o).collect()}
+    assert prod["P001"] == 435000 and "P006" not in prod
+
+
+def test_cancel_rate_and_mobile_money_share(fed):
+    o = _orders(fed)
+    pay = o.select("order_id", "methode")
+    rate = {r.methode: (r.nb_annulees, r.nb_total, r.taux_annulation_pct) for r in kpi.cancel_rate(o.drop("methode"), pay).collect()}
+    assert rate["especes"] == (2, 5, 40.0) and rate["Wave"] == (1, 8, 12.5)
+    assert rate["Orange Money"][0] == 0 and rate["carte"][0] == 0
+    share = {
+        r.categorie: r.part_mobile_money_pct
+        for r in kpi.share_by_category(_items(fed), o.drop("methode"), pay, _products(fed), methods=("Orange Money", "Wave")).collect()
+    }
+    assert share == {"Electronique": 65.8, "Mode": 55.1}
+
+
+def test_write_and_read_back(spark, fed):
+    out = _db("analytics")
+    rep = kpi.revenue_by_region(_orders(fed), _customers(fed), "ville")
+    write_table(rep, out, "CA_PAR_VILLE", column_types="ville VARCHAR(30)")
+    back = read_table(spark, out, "CA_PAR_VILLE")
+    chk = read_back_check(rep, back).first()
+    assert (chk.n_written, chk.n_read, chk.n_missing, chk.n_extra) == (6, 6, 0, 0)
+    # overwrite replaces rows, keeps the table
+    write_table(rep.limit(2), out, "CA_PAR_VILLE")
+    assert read_table(spark, out, "CA_PAR_VILLE").count() == 2
