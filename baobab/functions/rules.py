@@ -65,9 +65,11 @@ def valid_birth_date(raw: Column, as_of: str | _dt.date | None = None) -> Column
     return F.when(ok, d)
 
 
-def amount_clean(raw: Column) -> Column:
-    """Digits of the trimmed raw text as BIGINT; NULL when none remain."""
-    return F.regexp_replace(F.trim(raw), r"[^0-9]", "").try_cast("bigint")
+def amount_clean(raw: Column, strict: bool = False) -> Column:
+    """Digits of the trimmed raw text as BIGINT; NULL when none remain
+    (``strict``: a plain cast, which raises under ANSI mode instead)."""
+    digits = F.regexp_replace(F.trim(raw), r"[^0-9]", "")
+    return digits.cast("bigint") if strict else digits.try_cast("bigint")
 
 
 def amount_naive(raw: Column) -> Column:

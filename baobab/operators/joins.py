@@ -1,9 +1,10 @@
 """Join audits: row-count discipline, sentinel sums, orphans, the
 semi/anti partition test, duplicate keys and null-aware NOT IN.
 
-Each audit returns a small DataFrame.  The right side is reduced to one
-row per key (with its multiplicity) before it meets the left side, so one
-shuffle join yields left, semi, anti, inner and fan-out counts together.
+Each audit returns a small DataFrame.  Both sides are reduced to one row
+per key (row count, amount, multiplicity) before they meet, so one
+key-to-key join yields left, semi, anti, inner and fan-out counts together
+and a hot key cannot skew it.
 """
 
 from __future__ import annotations
@@ -17,19 +18,35 @@ def key_multiplicity(right: DataFrame, key: str) -> DataFrame:
     return right.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_mult"))
 
 
+def _keyed(left: DataFrame, right: DataFrame, key: str, amount: str | None = None) -> DataFrame:
+    """Both sides reduced to one row per key, then joined.
+
+    Left: (key, _n rows, _amount sum); right: (key, _mult).  Each side is a
+    partial aggregate, so a key that holds a large share of the rows is
+    summed inside every map task and the join sees one row per key: no
+    skewed join partition whatever the key distribution.  A NULL left key
+    forms its own group and never matches.
+    """
+    aggs = [F.count("*").alias("_n")]
+    if amount is not None:
+        aggs.append(F.sum(F.col(amount)).alias("_amount"))
+    l = left.groupBy(key).agg(*aggs)
+    return l.join(key_multiplicity(right, key), key, "left")
+
+
 def partition_test(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """``n_semi + n_anti = n_left`` always holds for a real semi
     join; ``n_inner - n_semi`` is the fan-out an inner join adds when the
     right side repeats keys.  One row:
     (n_left, n_semi, n_anti, n_inner, fan_out, partition_ok).
     """
-    m = key_multiplicity(right, key)
-    j = left.select(key).join(m, key, "left")
+    j = _keyed(left, right, key)
+    n, matched_ = F.col("_n"), F.col("_mult").isNotNull()
     one = j.agg(
-        F.count("*").alias("n_left"),
-        F.count_if(F.col("_mult").isNotNull()).alias("n_semi"),
-        F.count_if(F.col("_mult").isNull()).alias("n_anti"),
-        F.coalesce(F.sum("_mult"), F.lit(0)).cast("bigint").alias("n_inner"),
+        F.coalesce(F.sum(n), F.lit(0)).cast("bigint").alias("n_left"),
+        F.coalesce(F.sum(F.when(matched_, n).otherwise(0)), F.lit(0)).cast("bigint").alias("n_semi"),
+        F.coalesce(F.sum(F.when(~matched_, n).otherwise(0)), F.lit(0)).cast("bigint").alias("n_anti"),
+        F.coalesce(F.sum(n * F.col("_mult")), F.lit(0)).cast("bigint").alias("n_inner"),
     )
     return one.select(
         "n_left", "n_semi", "n_anti", "n_inner",
@@ -40,11 +57,10 @@ def partition_test(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
 
 def row_discipline(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """Rows before and after an inner join on ``key`` and the change."""
-    m = key_multiplicity(right, key)
-    j = left.select(key).join(m, key, "left")
+    j = _keyed(left, right, key)
     one = j.agg(
-        F.count("*").alias("n_avant"),
-        F.coalesce(F.sum("_mult"), F.lit(0)).cast("bigint").alias("n_apres"),
+        F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("n_avant"),
+        F.coalesce(F.sum(F.col("_n") * F.col("_mult")), F.lit(0)).cast("bigint").alias("n_apres"),
     )
     return one.withColumn("ecart", F.col("n_apres") - F.col("n_avant"))
 
@@ -52,13 +68,12 @@ def row_discipline(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
 def sentinel(left: DataFrame, right: DataFrame, key: str, amount: str) -> DataFrame:
     """The same sum before and after an inner join on ``key``.
 
-    ``ca_apres`` weights each left row by its number of right matches, which
+    ``ca_apres`` weights each left key's sum by its number of right matches, which
     is exactly what the joined rows would sum to; a gap means lost rows
     (orphans) or duplicated rows (fan-out), and the two are reported apart.
     """
-    m = key_multiplicity(right, key)
-    j = left.select(key, amount).join(m, key, "left")
-    a = F.col(amount)
+    j = _keyed(left, right, key, amount)
+    a = F.col("_amount")
     one = j.agg(
         F.sum(a).alias("ca_avant"),
         F.sum(a * F.col("_mult")).alias("ca_apres"),
@@ -90,13 +105,12 @@ def matched(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
 
 def orphan_summary(left: DataFrame, right: DataFrame, key: str, amount: str) -> DataFrame:
     """Orphan count, share of the left side (%) and amount at stake."""
-    m = key_multiplicity(right, key)
-    j = left.select(key, amount).join(m, key, "left")
+    j = _keyed(left, right, key, amount)
     is_orphan = F.col("_mult").isNull()
     one = j.agg(
-        F.count("*").alias("n_total"),
-        F.count_if(is_orphan).alias("nb_orphelines"),
-        F.sum(F.when(is_orphan, F.col(amount))).alias("ca_orphelines"),
+        F.sum("_n").alias("n_total"),
+        F.coalesce(F.sum(F.when(is_orphan, F.col("_n"))), F.lit(0)).cast("bigint").alias("nb_orphelines"),
+        F.sum(F.when(is_orphan, F.col("_amount"))).alias("ca_orphelines"),
     )
     return one.select(
         "nb_orphelines",

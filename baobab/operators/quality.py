@@ -149,10 +149,19 @@ def amount_polluted_samples(df: DataFrame, raw_col: str = "montant_total_fcfa",
 
 
 def clean_amounts(
-    df: DataFrame, raw_col: str = "montant_total_fcfa", raw_out: str = "montant_raw", clean_out: str = "montant_fcfa"
+    df: DataFrame,
+    raw_col: str = "montant_total_fcfa",
+    raw_out: str = "montant_raw",
+    clean_out: str = "montant_fcfa",
+    strict: bool = False,
 ) -> DataFrame:
-    """Keep the raw text and add the cleaned BIGINT amount."""
-    return df.withColumn(clean_out, rules.amount_clean(F.col(raw_col))).withColumnRenamed(raw_col, raw_out)
+    """Keep the raw text and add the cleaned BIGINT amount.
+
+    ``strict=True`` uses a plain ``CAST`` (P7), which under ANSI mode fails
+    the job on a value without digits instead of returning NULL (P8).
+    """
+    clean = rules.amount_clean(F.col(raw_col), strict=strict)
+    return df.withColumn(clean_out, clean).withColumnRenamed(raw_col, raw_out)
 
 
 def amount_validation(df: DataFrame, amount_col: str = "montant_fcfa") -> DataFrame:

@@ -336,6 +336,13 @@ def _revenue_by_city(i: Inputs) -> DataFrame:
     return kpi.revenue_by_region(i.orders(), i.customers(), "ville")
 
 
+@query("revenue_city_total")
+def _revenue_city_total(i: Inputs) -> DataFrame:
+    """Aggregate of an aggregate (total of the per-city revenue)."""
+    per_city = kpi.revenue_by_region(i.orders(), i.customers(), "ville")
+    return per_city.agg(F.sum("ca_fcfa").alias("ca_total_fcfa"), F.count("*").alias("nb_villes"))
+
+
 @query("top_products")
 def _top_products(i: Inputs) -> DataFrame:
     """Top 10 products over four tables."""
@@ -448,6 +455,20 @@ def _unused_customers(i: Inputs) -> DataFrame:
     return joins.unused_keys(i.customers(), recent, "customer_id")
 
 
+@query("join_growth")
+def _join_growth(i: Inputs) -> DataFrame:
+    """Rows of orders before and after the order-line join."""
+    return joins.row_discipline(i.orders(), i.items(), "order_id")
+
+
+@query("orders_without_items")
+def _orders_without_items(i: Inputs) -> DataFrame:
+    """Orders that have no order line (anti join, counted)."""
+    return joins.unused_keys(i.orders().select("order_id"), i.items(), "order_id").agg(
+        F.count("*").alias("nb_commandes_sans_ligne")
+    )
+
+
 @query("event_order_integrity")
 def _event_order_integrity(i: Inputs) -> DataFrame:
     """Purchase events pointing to an unknown order."""

@@ -75,7 +75,7 @@ def customers_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     e-mails, phone numbers in several layouts, impossible birth dates,
     exact copies, near copies and NULL ids."""
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
-    c = c.join(F.broadcast(_geo(spark, sf_dir)), c.c_nationkey == F.col("n_nationkey"))
+    c = c.join(_geo(spark, sf_dir), c.c_nationkey == F.col("n_nationkey"))
     k = F.col("c_custkey")
     ks = k.cast("string")
     # one extra copy for 1 in 50 (exact), 1 in 50 (near) and 1 in 500 (NULL id)
@@ -226,7 +226,7 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
 def customers_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clean customer dimension: one row per key, city and region."""
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
-    c = c.join(F.broadcast(_geo(spark, sf_dir)), c.c_nationkey == F.col("n_nationkey"))
+    c = c.join(_geo(spark, sf_dir), c.c_nationkey == F.col("n_nationkey"))
     return c.select(
         F.col("c_custkey").alias("customer_id"),
         F.col("c_name").alias("nom"),

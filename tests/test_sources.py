@@ -1,0 +1,61 @@
+"""File sources (S1 - S5), catalog views."""
+
+import os
+
+from pyspark.sql import functions as F
+
+from baobab.sources import create_view_as, list_tables, read_csv, read_json, read_text, register_views
+from baobab.operators import text as text_ops
+
+
+def _write(path, content):
+    with open(path, "w", encoding="utf-8") as f:
+        f.write(content)
+    return path
+
+
+def test_csv_infer_strings_and_schema(spark, tmp_dir):
+    p = _write(os.path.join(tmp_dir, "orders.csv"),
+               "order_id,montant\n1,1000\n2,2500 FCFA\n3,\n")
+    inferred = read_csv(spark, p, infer_schema=True)
+    # one polluted value turns the whole amount column into strings
+    assert dict(inferred.dtypes) == {"order_id": "int", "montant": "string"}
+    strings = read_csv(spark, p)
+    assert dict(strings.dtypes) == {"order_id": "string", "montant": "string"}
+    # empty field loads as NULL
+    assert strings.filter(F.col("montant").isNull()).count() == 1
+    typed = read_csv(spark, p, schema="order_id int, montant int, _bad string", corrupt_column="_bad")
+    bad = typed.filter(F.col("_bad").isNotNull()).collect()
+    assert [r.order_id for r in bad] == [2]
+
+
+def test_json_lines(spark, tmp_dir):
+    p = _write(os.path.join(tmp_dir, "events.json"),
+               '{"session_id": "s1", "event_type": "purchase", "order_id": "7"}\n'
+               '{"session_id": "s2", "event_type": "view_product"}\n')
+    df = read_json(spark, p, schema="session_id string, event_type string, order_id string")
+    assert df.count() == 2 and df.filter(F.col("order_id").isNull()).count() == 1
+    assert set(read_json(spark, p).columns) == {"session_id", "event_type", "order_id"}
+
+
+def test_text_word_count(spark, tmp_dir):
+    p = _write(os.path.join(tmp_dir, "speech.txt"), "Le chat  et le\tchien\n\nLE chat\n")
+    lines = read_text(spark, p)
+    assert lines.columns == ["value"] and lines.count() == 3
+    got = {r.mot: r.n for r in text_ops.word_count(lines).collect()}
+    assert got == {"le": 3, "chat": 2, "et": 1, "chien": 1}
+    top = [r.mot for r in text_ops.top_words(lines, 2).collect()]
+    assert top == ["le", "chat"]
+
+
+def test_views_and_catalog(spark):
+    df = spark.createDataFrame([(1, "Dakar"), (2, "Thies"), (3, "Dakar")], ["id", "ville"])
+    register_views(spark, {"t_clients": df})
+    v = create_view_as(spark, "t_dakar", "SELECT * FROM t_clients WHERE ville = 'Dakar'")
+    assert v.count() == 2 and spark.table("t_dakar").count() == 2
+    names = {r.name: r.isTemporary for r in list_tables(spark).collect()}
+    assert names.get("t_clients") is True and names.get("t_dakar") is True
+    # SQL and DataFrame forms give the same plan
+    a = spark.sql("SELECT ville, COUNT(*) AS n FROM t_clients GROUP BY ville")
+    b = spark.table("t_clients").groupBy("ville").agg(F.count("*").alias("n"))
+    assert a.sameSemantics(b)
