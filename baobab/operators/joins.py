@@ -95,12 +95,22 @@ def duplicate_keys(df: DataFrame, key: str) -> DataFrame:
 def orphans(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """Left rows whose key has no match on the right (anti join;
     a LEFT JOIN + IS NULL would keep an outer join and a filter)."""
-    return left.join(right.select(key).filter(F.col(key).isNotNull()), key, "left_anti")
+    return left.join(distinct_keys(right, key), key, "left_anti")
+
+
+def distinct_keys(df: DataFrame, key: str) -> DataFrame:
+    """Non-NULL distinct keys of ``df``.
+
+    ``distinct`` is a partial aggregate, so a key repeated on a large share
+    of the rows is collapsed inside each map task; the build side of a
+    semi/anti join (which AQE cannot split) then holds one row per key.
+    """
+    return df.select(key).filter(F.col(key).isNotNull()).distinct()
 
 
 def matched(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """Left rows with at least one match, each once (semi join)."""
-    return left.join(right.select(key), key, "left_semi")
+    return left.join(distinct_keys(right, key), key, "left_semi")
 
 
 def orphan_summary(left: DataFrame, right: DataFrame, key: str, amount: str) -> DataFrame:
@@ -140,7 +150,7 @@ def not_in_count(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """
     anti_nonnull = (
         left.filter(F.col(key).isNotNull())
-        .join(right.select(key).filter(F.col(key).isNotNull()), key, "left_anti")
+        .join(distinct_keys(right, key), key, "left_anti")
         .agg(F.count("*").alias("a"))
         .select(F.col("a"), F.lit(0).cast("bigint").alias("l_null"), F.lit(0).cast("bigint").alias("r_null"), F.lit(0).cast("bigint").alias("r_rows"))
     )
@@ -164,7 +174,7 @@ def not_in_count(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
 
 def unused_keys(dim: DataFrame, facts: DataFrame, key: str) -> DataFrame:
     """Dimension rows never referenced by the facts (anti join)."""
-    return dim.join(facts.select(key).filter(F.col(key).isNotNull()), key, "left_anti")
+    return dim.join(distinct_keys(facts, key), key, "left_anti")
 
 
 def unknown_references(events: DataFrame, facts: DataFrame, key: str, event_filter=None) -> DataFrame:

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from baobab.functions import rules, text
-from baobab.operators import quality
+from baobab.operators import joins, quality
 
 AMOUNT = "montant_fcfa"
 
@@ -264,7 +264,7 @@ def top_products(items: DataFrame, orders: DataFrame, customers: DataFrame, prod
     id before the product join.
     """
     dlv = delivered(orders).select("order_id", "customer_id")
-    known = dlv.join(customers.select("customer_id"), "customer_id", "left_semi").select("order_id")
+    known = dlv.join(joins.distinct_keys(customers, "customer_id"), "customer_id", "left_semi").select("order_id")
     per_product = delivered_line_revenue(items, orders, ("product_id",), known)
     named = per_product.join(products.select("product_id", "categorie", "nom_produit"), "product_id")
     agg = named.groupBy("categorie", "nom_produit").agg(F.sum("ca").alias("ca"))
