@@ -47,8 +47,22 @@ DRIVER_TABLES = (
 ).split()
 
 
+_SCANS: dict[tuple[int, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Parquet scan of one driver table.
+
+    The scan DataFrame (file listing and footer schema, resolved on the
+    driver) is built once per session and path and re-used by every query
+    of the session; it stays lazy, so each query still reads the files.
+    """
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark._jsparkSession), path)
+    df = _SCANS.get(key)
+    if df is None:
+        df = _SCANS[key] = spark.read.parquet(path)
+    return df
 
 
 def _pick(values: list[str], index: Column) -> Column:
