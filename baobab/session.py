@@ -47,6 +47,7 @@ def build_session(
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     configure(spark)
+    ensure_checkpoint_dir(spark)
     return spark
 
 
@@ -62,22 +63,27 @@ def configure(spark: SparkSession) -> SparkSession:
                 spark.conf.set(key, value)
             except Exception:  # static conf on a running session
                 pass
-    ensure_checkpoint_dir(spark)
     return spark
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the checkpoint folder the cluster names in
-    ``spark.checkpoint.dir``; set a scratch one only when it is unset
-    (local tests)."""
+    """Return the shared checkpoint folder the cluster names in
+    ``spark.checkpoint.dir``.
+
+    A scratch folder is created only for a ``local`` master with the
+    setting unset (tests, benchmarks); on a cluster an unset setting is an
+    error rather than a silent machine-local folder that other executors
+    cannot read.  No registered query needs a lineage cut today; jobs that
+    do should call this and then ``DataFrame.checkpoint()``.
+    """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
-    named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
-        "spark.checkpoint.dir", None
-    )
+    named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not named:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set for this cluster session")
         named = tempfile.mkdtemp(prefix="baobab-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(named)
     return named
