@@ -47,7 +47,19 @@ DRIVER_TABLES = (
 ).split()
 
 
-_SCANS: dict[tuple[int, str], DataFrame] = {}
+_SCANS: dict[tuple[int, str], tuple[object, DataFrame]] = {}
+
+
+def _memo(cache: dict, spark: SparkSession, name: str, make) -> DataFrame:
+    """Per-session memo.  The entry keeps the JVM session object it was
+    built for (so its id cannot be re-used by another session while cached)
+    and is re-built when the caller's session differs."""
+    jsession = spark._jsparkSession
+    key = (id(jsession), name)
+    hit = cache.get(key)
+    if hit is None or hit[0] is not jsession:
+        hit = cache[key] = (jsession, make())
+    return hit[1]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -58,11 +70,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     of the session; it stays lazy, so each query still reads the files.
     """
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark._jsparkSession), path)
-    df = _SCANS.get(key)
-    if df is None:
-        df = _SCANS[key] = spark.read.parquet(path)
-    return df
+    return _memo(_SCANS, spark, path, lambda: spark.read.parquet(path))
 
 
 def _per_session(builder):
@@ -71,13 +79,10 @@ def _per_session(builder):
     The result is a lazy plan, not data: re-using it only saves the driver
     from re-creating the same expressions for every query of a session.
     """
-    built: dict[tuple[int, str], DataFrame] = {}
+    built: dict[tuple[int, str], tuple[object, DataFrame]] = {}
 
     def get(spark: SparkSession, sf_dir: str) -> DataFrame:
-        key = (id(spark._jsparkSession), sf_dir.rstrip("/"))
-        if key not in built:
-            built[key] = builder(spark, sf_dir)
-        return built[key]
+        return _memo(built, spark, sf_dir.rstrip("/"), lambda: builder(spark, sf_dir))
 
     get.__name__ = builder.__name__
     get.__doc__ = builder.__doc__
