@@ -133,3 +133,56 @@ def read_back_check(written: DataFrame, read_back: DataFrame) -> DataFrame:
     for p in parts[1:]:
         u = u.unionByName(p)
     return u.agg(*[F.sum(c).alias(c) for c in ("n_written", "n_read", "n_missing", "n_extra")])
+
+
+def execute_ddl(spark: SparkSession, conn: JdbcConnection, statements: list[str]) -> None:
+    """Run DDL statements on the database from the driver (one connection)."""
+    jvm = spark.sparkContext._jvm
+    if conn.driver:
+        jvm.java.lang.Class.forName(conn.driver)
+    props = jvm.java.util.Properties()
+    for k, v in conn.options().items():
+        if k not in ("url", "driver"):
+            props.setProperty(k, str(v))
+    c = jvm.java.sql.DriverManager.getConnection(conn.url, props)
+    try:
+        st = c.createStatement()
+        for sql in statements:
+            st.execute(sql)
+        st.close()
+    finally:
+        c.close()
+
+
+def publish_table(
+    df: DataFrame,
+    conn: JdbcConnection,
+    table: str,
+    rename_sql: str = "RENAME TABLE {src} TO {dst}",
+    drop_sql: str = "DROP TABLE {name}",
+    replace_existing: bool = True,
+    **write_options,
+) -> None:
+    """K1 without half-written tables: write into ``<table>_STAGING``, then
+    swap it in (drop the old table, rename the staging one).
+
+    Each Spark write task commits its own transaction, so a job that fails
+    half-way has committed some partitions only; with staging, that partial
+    result never replaces the published table, which stays as it was.
+    Readers see the old table, then the complete new one (with a short
+    window between the two DDL statements where neither exists).
+    ``rename_sql`` follows the database's dialect (``ALTER TABLE {src}
+    RENAME TO {dst}`` on PostgreSQL).
+    """
+    staging = f"{table}_STAGING"
+    try:
+        execute_ddl(df.sparkSession, conn, [drop_sql.format(name=staging)])
+    except Exception:  # no leftover staging table
+        pass
+    write_table(df, conn, staging, mode="overwrite", truncate=False, **write_options)
+    if replace_existing:
+        try:
+            execute_ddl(df.sparkSession, conn, [drop_sql.format(name=table)])
+        except Exception:  # first publication
+            pass
+    execute_ddl(df.sparkSession, conn, [rename_sql.format(src=staging, dst=table)])

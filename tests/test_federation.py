@@ -160,3 +160,15 @@ def test_write_and_read_back(spark, fed):
     # overwrite replaces rows, keeps the table
     write_table(rep.limit(2), out, "CA_PAR_VILLE")
     assert read_table(spark, out, "CA_PAR_VILLE").count() == 2
+
+
+def test_publish_swaps_a_staging_table(spark, fed):
+    from baobab.sources import publish_table
+
+    out = _db("publish")
+    rep = kpi.revenue_by_region(_orders(fed), _customers(fed), "ville")
+    publish_table(rep, out, "CA_VILLE", column_types="ville VARCHAR(30)")
+    assert read_table(spark, out, "CA_VILLE").count() == 6
+    publish_table(rep.filter(F.col("ca_fcfa") > 100000), out, "CA_VILLE", column_types="ville VARCHAR(30)")
+    back = read_table(spark, out, "CA_VILLE")
+    assert back.count() == 3 and set(r.ville for r in back.collect()) == {"Dakar", "Rufisque", "Thies"}
