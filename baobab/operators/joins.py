@@ -30,8 +30,8 @@ def _keyed(left: DataFrame, right: DataFrame, key: str, amount: str | None = Non
     aggs = [F.count("*").alias("_n")]
     if amount is not None:
         aggs.append(F.sum(F.col(amount)).alias("_amount"))
-    l = left.groupBy(key).agg(*aggs)
-    return l.join(key_multiplicity(right, key), key, "left")
+    per_key = left.groupBy(key).agg(*aggs)
+    return per_key.join(key_multiplicity(right, key), key, "left")
 
 
 def partition_test(left: DataFrame, right: DataFrame, key: str) -> DataFrame:

@@ -54,7 +54,7 @@ def _memo(cache: dict, spark: SparkSession, name: str, make) -> DataFrame:
     """Per-session memo.  The entry keeps the JVM session object it was
     built for (so its id cannot be re-used by another session while cached)
     and is re-built when the caller's session differs."""
-    jsession = spark._jsparkSession
+    jsession = getattr(spark, "_jsparkSession", spark)
     key = (id(jsession), name)
     hit = cache.get(key)
     if hit is None or hit[0] is not jsession:
