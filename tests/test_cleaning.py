@@ -143,3 +143,17 @@ def test_cleaning_is_idempotent(spark):
     once = df.transform(cleaning.unify_missing).transform(cleaning.normalize_email).transform(cleaning.normalize_city).transform(cleaning.normalize_phone)
     twice = once.transform(cleaning.unify_missing).transform(cleaning.normalize_email).transform(cleaning.normalize_city).transform(cleaning.normalize_phone)
     assertDataFrameEqual(once, twice)
+
+
+def test_phone_rule_not_idempotent_on_doubled_prefix(spark):
+    # one 221 is removed per pass: a doubled country code changes on re-run
+    df = spark.createDataFrame([("1", "221221771234567")], ["customer_id", "telephone"])
+    once = cleaning.normalize_phone(df)
+    twice = cleaning.normalize_phone(once.drop("telephone_valide"))
+    assert once.first().telephone == "221771234567" and once.first().telephone_valide is False
+    assert twice.first().telephone == "771234567" and twice.first().telephone_valide is True
+
+
+def test_birth_date_changes_type(spark):
+    df = spark.createDataFrame([("1", "1990-01-01")], ["customer_id", "date_naissance"])
+    assert dict(cleaning.validate_birth_date(df, as_of="2025-01-01").dtypes)["date_naissance"] == "date"
