@@ -11,9 +11,11 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQuery
 
 from baobab.operators import cleaning
+from baobab.session import ensure_checkpoint_dir
 
 
 def clean_customer_stream(
@@ -32,3 +34,37 @@ def clean_customer_stream(
         .transform(lambda d: cleaning.validate_birth_date(d, as_of=as_of))
     )
     return rows.withWatermark(event_time, watermark).dropDuplicatesWithinWatermark([key])
+
+
+def run_clean_customer_job(
+    spark: SparkSession,
+    source_dir: str,
+    schema: str,
+    sink_dir: str,
+    event_time: str,
+    watermark: str = "1 day",
+    checkpoint_dir: str | None = None,
+    source_format: str = "csv",
+    as_of: str | _dt.date | None = None,
+    once: bool = True,
+) -> StreamingQuery:
+    """Incrementally clean new customer files into a parquet table.
+
+    The query's progress (files seen, de-duplication state) lives in
+    ``checkpoint_dir`` (default: ``<spark.checkpoint.dir>/clean_customers``
+    on the cluster's shared storage), so a restarted job resumes where it
+    stopped and the file sink commits each batch exactly once.  ``once``
+    processes what is available and stops (``availableNow``).
+    """
+    if checkpoint_dir is None:
+        checkpoint_dir = ensure_checkpoint_dir(spark).rstrip("/") + "/clean_customers"
+    stream = spark.readStream.schema(schema).format(source_format).load(source_dir)
+    out = clean_customer_stream(stream, event_time, watermark, as_of=as_of)
+    writer = (
+        out.writeStream.format("parquet")
+        .option("path", sink_dir)
+        .option("checkpointLocation", checkpoint_dir)
+        .outputMode("append")
+    )
+    writer = writer.trigger(availableNow=True) if once else writer.trigger(processingTime="1 minute")
+    return writer.start()
