@@ -21,12 +21,26 @@ def top_n_per_group(df: DataFrame, group: Sequence[str], order_col: str, n: int
     return df.withColumn(rank_col, F.row_number().over(w)).filter(F.col(rank_col) <= n)
 
 
-def period_delta(df: DataFrame, period_col: str, value_col: str, delta_col: str = "delta") -> DataFrame:
+def fill_month_gaps(df: DataFrame, month_col: str, fill: dict) -> DataFrame:
+    """Add a row for every calendar month missing between the first and
+    last month of ``df`` (``month_col`` holds month-start dates), with the
+    ``fill`` values.  Runs on aggregated rows: one row per month."""
+    bounds = df.agg(F.min(month_col).alias("_lo"), F.max(month_col).alias("_hi"))
+    months = bounds.select(
+        F.explode(F.sequence(F.col("_lo"), F.col("_hi"), F.expr("INTERVAL 1 MONTH"))).alias(month_col)
+    )
+    return months.join(df, month_col, "left").fillna(fill)
+
+
+def period_delta(df: DataFrame, period_col: str, value_col: str, delta_col: str = "delta", fill_gaps: bool = False) -> DataFrame:
     """``value - lag(value) over (order by period)``.
 
     The window has no partition key, so it runs in one task: call it only
-    on aggregated rows (one per period).  The previous *present* period is
-    used; missing periods are not filled (X21).
+    on aggregated rows (one per period).  By default the previous *present*
+    period is used, as the reference does; ``fill_gaps=True`` (month-start
+    date periods) first inserts missing calendar months with value 0 (X21).
     """
+    if fill_gaps:
+        df = fill_month_gaps(df, period_col, {value_col: 0})
     w = Window.orderBy(period_col)
     return df.withColumn(delta_col, F.col(value_col) - F.lag(value_col, 1).over(w))

@@ -114,3 +114,13 @@ def test_kpi_small(spark):
     share = {r.methode: r.part_pct for r in kpi.payment_share(pay).collect()}
     assert share == {"Wave": 66.7, "carte": 33.3}
     assert kpi.grouped_payment_share(pay).first().part_mobile_money_pct == 66.7
+
+
+def test_period_delta_gap_fill(spark):
+    m = spark.createDataFrame(
+        [(dt.date(2025, 10, 1), 10), (dt.date(2025, 12, 1), 25)], "mois date, ca long"
+    )
+    plain = [(r.mois.month, r.delta) for r in ranking.period_delta(m, "mois", "ca").orderBy("mois").collect()]
+    assert plain == [(10, None), (12, 15)]  # previous present month
+    filled = [(r.mois.month, r.ca, r.delta) for r in ranking.period_delta(m, "mois", "ca", fill_gaps=True).orderBy("mois").collect()]
+    assert filled == [(10, 10, None), (11, 0, -10), (12, 25, 25)]
