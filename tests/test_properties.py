@@ -72,3 +72,31 @@ def test_word_count(spark, texts):
     got = {r.mot: r.n for r in text.word_count(df).collect()}
     exp = Counter(w for t in texts for w in re.split(r"[ \t\n\x0b\f\r]+", t.lower()) if w != "")
     assert got == dict(exp)
+
+
+@settings(**SETTINGS)
+@given(
+    st.lists(
+        st.tuples(
+            st.one_of(st.none(), st.sampled_from(["1", "2", "3"])),
+            st.one_of(st.none(), st.text(alphabet="abAB é", max_size=3)),
+            st.one_of(st.none(), st.booleans()),
+        ),
+        max_size=20,
+    )
+)
+def test_dedup_survivor_is_smallest_row_nulls_first(spark, rows):
+    df = spark.createDataFrame(rows, "customer_id string, email string, ok boolean")
+    got = {r.customer_id: (r.email, r.ok) for r in cleaning.dedup_by_key(df.repartition(3)).collect()}
+
+    def sort_key(v):
+        # NULL first, then the value (strings by code point, False < True)
+        return (v is not None, v if v is not None else "")
+
+    exp = {}
+    for cid, email, ok in rows:
+        cand = (email, ok)
+        cur = exp.get(cid)
+        if cur is None or (sort_key(cand[0]), sort_key(cand[1])) < (sort_key(cur[0]), sort_key(cur[1])):
+            exp[cid] = cand
+    assert got == exp
