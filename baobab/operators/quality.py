@@ -189,6 +189,27 @@ def amount_gap(df: DataFrame, raw_col: str = "montant_total_fcfa") -> DataFrame:
     return one.select("ca_naif", "ca_nettoye", gap.alias("ecart_fcfa"), rules.pct(gap, F.col("ca_naif"), 2).alias("ecart_pct"))
 
 
+def amount_report(df: DataFrame, raw_col: str = "montant_total_fcfa") -> DataFrame:
+    """C12 + C14 + C15 in one scan: polluted values, cleaning validation and
+    the naive-versus-clean gap from a single aggregation."""
+    raw = F.col(raw_col)
+    clean = rules.amount_clean(raw)
+    bad = rules.amount_is_polluted(raw)
+    one = df.agg(
+        F.count("*").alias("nb_lignes"),
+        F.count_if(bad).alias("n_polluted"),
+        F.count_if(raw.isNull()).alias("n_raw_null"),
+        F.count(clean).alias("nb_castes"),
+        (F.count("*") - F.count(clean)).alias("nb_null"),
+        F.min(clean).alias("mini"),
+        F.max(clean).alias("maxi"),
+        F.sum(clean).alias("ca_nettoye"),
+        F.sum(rules.amount_naive(raw)).alias("ca_naif"),
+    )
+    gap = F.col("ca_nettoye") - F.col("ca_naif")
+    return one.select("*", gap.alias("ecart_fcfa"), rules.pct(gap, F.col("ca_naif"), 2).alias("ecart_pct"))
+
+
 # --- before / after ------------------------------------------------------------
 
 

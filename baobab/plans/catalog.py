@@ -204,6 +204,12 @@ def _amount_gap(i: Inputs) -> DataFrame:
     return quality.amount_gap(i.orders_raw())
 
 
+@query("amount_report")
+def _amount_report(i: Inputs) -> DataFrame:
+    """C12 + C14 + C15: polluted count, validation and gap in one scan."""
+    return quality.amount_report(i.orders_raw())
+
+
 # --- single-table indicators (C16 - C21, C36, C37, C40, C41) ------------------------
 
 
@@ -436,6 +442,12 @@ def _partition_test(i: Inputs) -> DataFrame:
     return joins.partition_test(i.orders(), i.clients_partial(), "customer_id")
 
 
+@query("join_audit")
+def _join_audit(i: Inputs) -> DataFrame:
+    """The whole audit of the order -> customer join in one pass."""
+    return joins.join_audit(i.orders(), i.clients_partial(), "customer_id", "montant_fcfa")
+
+
 @query("duplicate_keys")
 def _duplicate_keys(i: Inputs) -> DataFrame:
     """Customer keys present more than once."""
