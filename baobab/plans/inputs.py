@@ -95,7 +95,7 @@ def _pick(values: list[str], index: Column) -> Column:
 
 
 def _city_of(key: Column) -> Column:
-    return _pick(CITIES, key % len(CITIES))
+    return _pick(CITIES, F.pmod(key, F.lit(len(CITIES))))
 
 
 def _geo(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -304,13 +304,13 @@ def web_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     etype = F.col("event_type")
     for src, dst in reversed(list(EVENT_NAMES.items())):
         etype = F.when(F.col("event_type") == src, F.lit(dst)).otherwise(etype)
-    kprop = F.get_json_object("props", "$.k").cast("bigint")
+    kprop = F.get_json_object("props", "$.k").try_cast("bigint")
     return ev.select(
         eid.alias("event_id"),
         F.col("ts").alias("event_time"),
         session.alias("session_id"),
         etype.alias("event_type"),
-        _pick(DEVICES, F.coalesce(kprop % 3, F.lit(2))).alias("device"),
+        _pick(DEVICES, F.coalesce(F.pmod(kprop, F.lit(3)), F.lit(2))).alias("device"),
         _city_of(F.col("user_id")).alias("ville"),
         F.when(F.col("event_type") == "purchase", eid * 2).alias("order_id"),
     )
