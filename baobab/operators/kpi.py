@@ -249,10 +249,14 @@ def delivered_line_revenue(items: DataFrame, orders: DataFrame, by: Sequence[str
     already restricted to delivered orders.
     """
     keys = order_attrs if order_attrs is not None else delivered(orders).select("order_id")
-    lines = items.join(keys, "order_id")
-    return lines.groupBy(*by).agg(
-        F.sum(F.col("quantite") * F.col("prix_unitaire_fcfa")).alias("ca")
+    # line revenue is computed before the join: the order-line shuffle, the
+    # largest of these plans, carries one amount instead of quantity and price
+    item_cols = [c for c in by if c in items.columns and c != "order_id"]
+    amounts = items.select(
+        "order_id", *item_cols, (F.col("quantite") * F.col("prix_unitaire_fcfa")).alias("_ca")
     )
+    lines = amounts.join(keys, "order_id")
+    return lines.groupBy(*by).agg(F.sum("_ca").alias("ca"))
 
 
 def top_products(items: DataFrame, orders: DataFrame, customers: DataFrame, products: DataFrame, k: int = 10) -> DataFrame:
