@@ -181,10 +181,16 @@ def basket_by_payment(orders: DataFrame, payments: DataFrame, method: str = "met
 
 
 def cancel_rate(orders: DataFrame, payments: DataFrame, method: str = "methode") -> DataFrame:
-    """Cancelled orders and cancellation rate (%) per payment method."""
-    cancelled = F.sum(F.when(F.col("statut_norm") == rules.CANCELLED, 1).otherwise(0))
+    """Cancelled orders and cancellation rate (%) per payment method.
+
+    The status is reduced to a 0/1 flag before the payment join, so the
+    shuffle carries an int per order rather than the status text."""
+    flagged = orders.select(
+        "order_id", F.when(F.col("statut_norm") == rules.CANCELLED, 1).otherwise(0).alias("_c")
+    )
+    cancelled = F.sum("_c")
     return (
-        with_payment(orders, payments, method)
+        with_payment(flagged, payments, method)
         .groupBy(method)
         .agg(F.count("*").alias("nb_total"), cancelled.alias("nb_annulees"))
         .withColumn("taux_annulation_pct", rules.pct(F.col("nb_annulees"), F.col("nb_total"), 1))
