@@ -59,3 +59,16 @@ def test_views_and_catalog(spark):
     a = spark.sql("SELECT ville, COUNT(*) AS n FROM t_clients GROUP BY ville")
     b = spark.table("t_clients").groupBy("ville").agg(F.count("*").alias("n"))
     assert a.sameSemantics(b)
+
+
+def test_csv_failfast_and_whole_text(spark, tmp_dir):
+    import pytest
+
+    p = _write(os.path.join(tmp_dir, "bad.csv"), "order_id,montant\n1,1000\n2,abc\n")
+    with pytest.raises(Exception):
+        read_csv(spark, p, schema="order_id int, montant int", mode="FAILFAST").collect()
+    dropped = read_csv(spark, p, schema="order_id int, montant int", mode="DROPMALFORMED")
+    assert [r.order_id for r in dropped.collect()] == [1]
+    t = _write(os.path.join(tmp_dir, "doc.txt"), "line one\nline two\n")
+    whole = read_text(spark, t, whole_text=True).collect()
+    assert len(whole) == 1 and whole[0].value == "line one\nline two\n"
