@@ -52,3 +52,35 @@ def test_query_matches_oracle(spark, duck, name):
     idx = [dcols.index(c) for c in cols]
     drows = sorted((tuple(_norm(r[i]) for i in idx) for r in res.fetchall()), key=_key)
     assert srows == drows
+
+
+JOIN_HEAVY = [
+    "revenue_by_region", "top_products", "top3_per_region", "revenue_city_category", "share_by_category",
+    "join_audit", "orphans", "not_in_anti", "unused_customers", "event_order_integrity", "basket_by_payment",
+]
+
+
+@pytest.mark.parametrize("name", JOIN_HEAVY)
+def test_join_queries_without_broadcast(spark, duck, name):
+    """The sort-merge path a large cluster takes gives the same rows."""
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    old = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        for k in keys:
+            spark.conf.set(k, "-1")
+        sdf = entry_mod.queries()[name](spark, SF_SMALL)
+        for k in keys:  # queries() applies the library defaults; keep broadcast off
+            spark.conf.set(k, "-1")
+        assert "BroadcastHashJoin" not in sdf._jdf.queryExecution().executedPlan().toString()
+        cols = sorted(sdf.columns)
+        srows = sorted((tuple(_norm(r[c]) for c in cols) for r in sdf.collect()), key=_key)
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+    res = duck.execute(entry_mod.oracle_sql()[name])
+    dcols = [d[0] for d in res.description]
+    idx = [dcols.index(c) for c in cols]
+    assert srows == sorted((tuple(_norm(r[i]) for i in idx) for r in res.fetchall()), key=_key)
