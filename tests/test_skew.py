@@ -54,3 +54,45 @@ def test_hot_session_funnel_and_dedup(spark):
     ).repartition(6)
     d = {r.customer_id: r.email for r in cleaning.dedup_by_key(cust).collect()}
     assert len(d) == 1501 and d["1"] == "e0"
+
+
+def test_line_join_skew_split_by_aqe(spark):
+    """Order lines where one order holds a third of all lines: the line ->
+    order join cannot be pre-aggregated, so AQE splits the hot partition
+    (forced here with tiny thresholds); the result stays exact."""
+    n_lines = 6000
+    items = spark.createDataFrame(
+        [(0 if i % 3 == 0 else i % 500, i % 40, 1 + i % 3, 100 + i % 7) for i in range(n_lines)],
+        "order_id long, product_id long, quantite long, prix_unitaire_fcfa long",
+    ).repartition(8)
+    orders = kpi.prepare_orders(
+        spark.createDataFrame(
+            [(o, o % 9, "livree" if o % 2 == 0 else "annulee", "1000") for o in range(500)],
+            "order_id long, customer_id long, statut string, montant_total_fcfa string",
+        )
+    )
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        df = kpi.delivered_line_revenue(items, orders)
+        got = {r.product_id: r.ca for r in df.collect()}
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    exp = defaultdict(int)
+    for i in range(n_lines):
+        o = 0 if i % 3 == 0 else i % 500
+        if o % 2 == 0:
+            exp[i % 40] += (1 + i % 3) * (100 + i % 7)
+    assert got == dict(exp)
+    assert "skew=true" in plan
