@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from baobab.operators import cleaning, funnel, joins, kpi, quality, ranking, text
-from baobab.plans import inputs
+from baobab.plans import exports, inputs
+from baobab.sources import files
 
 # --- Fixed query parameters ----------------------------------------------------
 AS_OF = "2026-01-01"          # upper bound for birth dates (fixed, not "today")
@@ -65,6 +66,17 @@ class Inputs:
     def documents(self) -> DataFrame:
         return inputs.table(self.spark, self.sf_dir, "documents")
 
+    # file copies of the stand-in inputs
+    def orders_csv_path(self) -> str:
+        return exports.export_once(self.spark, self.sf_dir, "orders", self.orders_raw(), "csv", exports.CSV_WRITE)
+
+    def events_json_path(self) -> str:
+        return exports.export_once(self.spark, self.sf_dir, "events", self.events(), "json")
+
+    def documents_text_path(self) -> str:
+        texts = self.documents().select("text").filter(F.col("text").isNotNull())
+        return exports.export_once(self.spark, self.sf_dir, "documents", texts, "text")
+
 
 _REGISTRY: dict[str, Query] = {}
 
@@ -541,6 +553,39 @@ def _top_words(i: Inputs) -> DataFrame:
     return text.top_words(i.documents(), 20, "text")
 
 
+# --- file sources (S1, S2, S4, S5) ------------------------------------------------------
+
+EVENTS_SCHEMA = (
+    "event_id long, event_time timestamp_ntz, session_id string, event_type string, "
+    "device string, ville string, order_id long"
+)
+
+
+@query("csv_amount_report")
+def _csv_amount_report(i: Inputs) -> DataFrame:
+    """S1 + C12-C15: orders read from CSV with inferred types (the polluted
+    amounts keep that column a string), then the one-scan amount report."""
+    return quality.amount_report(files.read_csv(i.spark, i.orders_csv_path(), infer_schema=True))
+
+
+@query("csv_value_counts")
+def _csv_value_counts(i: Inputs) -> DataFrame:
+    """S2 + C42: orders read from CSV as strings, value counts of status and channel."""
+    return quality.value_counts(files.read_csv(i.spark, i.orders_csv_path()), ["statut", "canal"])
+
+
+@query("json_funnel")
+def _json_funnel(i: Inputs) -> DataFrame:
+    """S4 + C29: web events read from JSON Lines with a schema, then the funnel."""
+    return funnel.funnel_counts(files.read_json(i.spark, i.events_json_path(), schema=EVENTS_SCHEMA))
+
+
+@query("text_word_count")
+def _text_word_count(i: Inputs) -> DataFrame:
+    """S5 + C11: every document's text read back as text lines, word count."""
+    return text.word_count(files.read_text(i.spark, i.documents_text_path()))
+
+
 # --- measure registry (C43) -------------------------------------------------------------
 
 
