@@ -510,7 +510,7 @@ def _funnel(i: Inputs) -> DataFrame:
 
 @query("funnel_strict")
 def _funnel_strict(i: Inputs) -> DataFrame:
-    """Nested funnel (a step counts only after every earlier one)."""
+    """Nested funnel (a session counts at a step only if it also reached every earlier step)."""
     return funnel.funnel_counts(i.events(), strict=True)
 
 
