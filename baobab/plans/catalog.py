@@ -70,6 +70,9 @@ class Inputs:
     def orders_csv_path(self) -> str:
         return exports.export_once(self.spark, self.sf_dir, "orders", self.orders_raw(), "csv", exports.CSV_WRITE)
 
+    def customers_csv_path(self) -> str:
+        return exports.export_once(self.spark, self.sf_dir, "customers", self.customers_raw(), "csv", exports.CSV_WRITE)
+
     def events_json_path(self) -> str:
         return exports.export_once(self.spark, self.sf_dir, "events", self.events(), "json")
 
@@ -568,6 +571,20 @@ def _csv_amount_report(i: Inputs) -> DataFrame:
     return quality.amount_report(files.read_csv(i.spark, i.orders_csv_path(), infer_schema=True))
 
 
+CUSTOMERS_SCHEMA = (
+    "customer_id string, prenom string, nom string, email string, telephone string, "
+    "ville string, region string, date_naissance string, date_inscription string"
+)
+
+
+@query("csv_clean_customers")
+def _csv_clean_customers(i: Inputs) -> DataFrame:
+    """S3 + C7: raw customers read from CSV with an imposed schema (empty
+    fields load as NULL), then the whole cleaning chain."""
+    raw = files.read_csv(i.spark, i.customers_csv_path(), schema=CUSTOMERS_SCHEMA)
+    return cleaning.clean_customers(raw, as_of=AS_OF)
+
+
 @query("csv_value_counts")
 def _csv_value_counts(i: Inputs) -> DataFrame:
     """S2 + C42: orders read from CSV as strings, value counts of status and channel."""
