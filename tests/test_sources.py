@@ -72,3 +72,15 @@ def test_csv_failfast_and_whole_text(spark, tmp_dir):
     t = _write(os.path.join(tmp_dir, "doc.txt"), "line one\nline two\n")
     whole = read_text(spark, t, whole_text=True).collect()
     assert len(whole) == 1 and whole[0].value == "line one\nline two\n"
+
+
+def test_export_written_once_per_session(spark):
+    from baobab.plans import exports
+
+    df = spark.createDataFrame([(1, "a")], "k long, v string")
+    p1 = exports.export_once(spark, "/some/sf", "t_once", df, "json")
+    p2 = exports.export_once(spark, "/some/sf", "t_once", spark.createDataFrame([(2, "b")], "k long, v string"), "json")
+    assert p1 == p2 and p1.startswith(spark.sparkContext.getCheckpointDir())
+    assert [r.k for r in read_json(spark, p1, schema="k long, v string").collect()] == [1]
+    other = exports.export_once(spark, "/other/sf", "t_once", df, "json")
+    assert other != p1
