@@ -61,7 +61,8 @@ def funnel_counts(
         if strict:
             reached = reached * flag
             flag = reached
-        cols.append(F.sum(flag).cast("bigint").alias(name))
+        # 0, not NULL, on empty input, as COUNT(DISTINCT ...) gives
+        cols.append(F.coalesce(F.sum(flag), F.lit(0)).cast("bigint").alias(name))
     return f.groupBy(*by).agg(F.count("*").alias("sessions"), *cols)
 
 

@@ -100,3 +100,54 @@ def test_dedup_survivor_is_smallest_row_nulls_first(spark, rows):
         if cur is None or (sort_key(cand[0]), sort_key(cand[1])) < (sort_key(cur[0]), sort_key(cur[1])):
             exp[cid] = cand
     assert got == exp
+
+
+@settings(**SETTINGS)
+@given(
+    st.lists(
+        st.tuples(
+            st.one_of(st.none(), st.sampled_from(["s1", "s2", "s3", "s4"])),
+            st.sampled_from(["view_product", "add_to_cart", "purchase", "signup"]),
+        ),
+        max_size=25,
+    ),
+    st.booleans(),
+)
+def test_funnel_flags_equal_count_distinct(spark, events, strict):
+    from baobab.operators import funnel
+
+    df = spark.createDataFrame(events, "session_id string, event_type string")
+    got = funnel.funnel_counts(df, strict=strict).first()
+    steps = ["view_product", "add_to_cart", "purchase"]
+    seen = {}
+    for sid, et in events:
+        if sid is not None:
+            seen.setdefault(sid, set()).add(et)
+    counts = []
+    for i, _ in enumerate(steps):
+        need = steps[: i + 1] if strict else [steps[i]]
+        counts.append(sum(1 for s in seen.values() if all(x in s for x in need)))
+    assert (got.sessions, got.vues, got.paniers, got.achats) == (len(seen), *counts)
+
+
+@settings(**SETTINGS)
+@given(
+    st.lists(st.one_of(st.none(), st.integers(0, 5)), max_size=10),
+    st.lists(st.one_of(st.none(), st.integers(0, 5)), max_size=10),
+)
+def test_not_in_three_valued(spark, lk, rk):
+    from baobab.operators import joins
+
+    left = spark.createDataFrame([(k,) for k in lk], "k long")
+    right = spark.createDataFrame([(k,) for k in rk], "k long")
+    r = joins.not_in_count(left, right, "k").first()
+    # SQL: x NOT IN (list) is TRUE only when the list is empty, or x is not NULL,
+    # the list has no NULL and x is not in it
+    if not rk:
+        exp = len(lk)
+    elif any(v is None for v in rk):
+        exp = 0
+    else:
+        exp = sum(1 for v in lk if v is not None and v not in rk)
+    assert r.n_not_in == exp
+    assert r.n_anti == sum(1 for v in lk if v is None or v not in [x for x in rk if x is not None])
