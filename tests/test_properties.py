@@ -151,3 +151,57 @@ def test_not_in_three_valued(spark, lk, rk):
         exp = sum(1 for v in lk if v is not None and v not in rk)
     assert r.n_not_in == exp
     assert r.n_anti == sum(1 for v in lk if v is None or v not in [x for x in rk if x is not None])
+
+
+@settings(**SETTINGS)
+@given(
+    st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 4)), st.integers(0, 50)), max_size=12),
+    st.lists(st.one_of(st.none(), st.integers(0, 4)), max_size=8),
+)
+def test_join_audit_against_python(spark, left_rows, right_keys):
+    from baobab.operators import joins
+
+    left = spark.createDataFrame(left_rows, "k long, amount long")
+    right = spark.createDataFrame([(k,) for k in right_keys], "k long")
+    r = joins.join_audit(left, right, "k", "amount").first()
+    mult = {}
+    for k in right_keys:
+        if k is not None:
+            mult[k] = mult.get(k, 0) + 1
+    m = [mult.get(k, 0) if k is not None else 0 for k, _ in left_rows]
+    assert r.n_left == len(left_rows)
+    assert r.n_semi == sum(1 for x in m if x > 0) and r.n_anti == sum(1 for x in m if x == 0)
+    assert r.n_inner == sum(m) and r.fan_out == sum(m) - r.n_semi and r.partition_ok
+    amounts = [a for _, a in left_rows]
+    assert r.ca_avant == (sum(amounts) if left_rows else None)
+    if any(x > 0 for x in m):
+        assert r.ca_apres == sum(a * x for (_, a), x in zip(left_rows, m) if x > 0)
+    assert r.ca_perdu == sum(a for (_, a), x in zip(left_rows, m) if x == 0)
+
+
+@settings(**SETTINGS)
+@given(st.lists(st.tuples(st.sampled_from(["A", "B", "C"]), st.sampled_from(list("pqrstu")), st.integers(0, 9)), max_size=20), st.integers(1, 3))
+def test_top_n_per_group_against_python(spark, rows, n):
+    from baobab.operators import ranking
+
+    df = spark.createDataFrame(rows, "g string, name string, v long")
+    got = sorted((r.g, r.rang, r.name, r.v) for r in ranking.top_n_per_group(df, ["g"], "v", n, ["name"]).collect())
+    exp = []
+    for g in sorted({r[0] for r in rows}):
+        ranked = sorted((r for r in rows if r[0] == g), key=lambda r: (-r[2], r[1]))[:n]
+        exp += [(g, i + 1, r[1], r[2]) for i, r in enumerate(ranked)]
+    assert got == sorted(exp)
+
+
+@settings(**SETTINGS)
+@given(st.lists(st.tuples(st.one_of(st.none(), st.sampled_from(["1", "2"])), st.one_of(st.none(), st.sampled_from(["", " ", "N/A", "a@b.fr"])), st.one_of(st.none(), st.sampled_from(["Dakar", "Thies"]))), max_size=12))
+def test_quality_profile_against_python(spark, rows):
+    from baobab.operators import quality
+
+    df = spark.createDataFrame(rows, "customer_id string, email string, ville string")
+    prof = {r.metric: r.value for r in quality.quality_profile(df).collect()}
+    assert prof["n_rows"] == len(rows)
+    assert prof["n_exact_duplicates"] == len(rows) - len(set(rows))
+    assert prof["n_distinct_cities"] == len({r[2] for r in rows if r[2] is not None})
+    assert prof["n_null_email"] == sum(1 for r in rows if r[1] is None)
+    assert prof["n_email_pseudo_missing"] == sum(1 for r in rows if r[1] is None or r[1].strip(" ") in ("", "N/A"))
