@@ -205,3 +205,33 @@ def test_quality_profile_against_python(spark, rows):
     assert prof["n_distinct_cities"] == len({r[2] for r in rows if r[2] is not None})
     assert prof["n_null_email"] == sum(1 for r in rows if r[1] is None)
     assert prof["n_email_pseudo_missing"] == sum(1 for r in rows if r[1] is None or r[1].strip(" ") in ("", "N/A"))
+
+
+# Java's "$" (no MULTILINE) also matches before one final line terminator
+_JAVA_EMAIL = re.compile(r"^[a-z0-9._%+-]+@[a-z0-9.-]+\.[a-z]{2,}(?:\r\n|[\n\r\u0085\u2028\u2029])?\Z")
+
+
+@settings(**SETTINGS)
+@given(st.lists(st.one_of(st.none(), st.text(alphabet="ab@.Z_-% \n\r", max_size=10), st.sampled_from(["a@b.fr", " A@B.COM ", "a@b..com", "a@b.fr\n", "a@b"])), max_size=15))
+def test_email_rule(spark, values):
+    df = cleaning.normalize_email(_frame(spark, values).withColumnRenamed("v", "email"))
+    got = {r.id: (r.email, r.email_valide) for r in df.collect()}
+
+    def model(v):
+        if v is None:
+            return None, None
+        e = v.strip(" ").lower()
+        return e, bool(_JAVA_EMAIL.search(e))
+
+    assert got == {str(i): model(v) for i, v in enumerate(values)}
+
+
+@settings(**SETTINGS)
+@given(st.lists(st.tuples(st.one_of(st.none(), st.sampled_from(["x", "y"])), st.one_of(st.none(), st.sampled_from(["p", "q", "r"]))), max_size=15))
+def test_value_counts_against_counter(spark, rows):
+    from baobab.operators import quality
+
+    df = spark.createDataFrame(rows, "a string, b string")
+    got = {(r.column_name, r.value): r.n for r in quality.value_counts(df, ["a", "b"]).collect()}
+    exp = Counter([("a", r[0]) for r in rows] + [("b", r[1]) for r in rows])
+    assert got == dict(exp)
