@@ -235,3 +235,26 @@ def test_value_counts_against_counter(spark, rows):
     got = {(r.column_name, r.value): r.n for r in quality.value_counts(df, ["a", "b"]).collect()}
     exp = Counter([("a", r[0]) for r in rows] + [("b", r[1]) for r in rows])
     assert got == dict(exp)
+
+
+@settings(**SETTINGS)
+@given(st.lists(st.one_of(st.none(), st.text(alphabet="aBéÈç-Ö ō", max_size=12)), max_size=12))
+def test_city_rule(spark, values):
+    import unicodedata
+
+    df = cleaning.normalize_city(_frame(spark, values).withColumnRenamed("v", "ville"))
+    got = {r.id: (r.ville, r.ville_norm) for r in df.collect()}
+
+    def fold(ch):
+        base = "".join(c for c in unicodedata.normalize("NFKD", ch) if not unicodedata.combining(c))
+        ok = 0xC0 <= ord(ch) <= 0x17F and len(base) == 1 and base.isascii() and base.isalpha()
+        return base if ok else ch
+
+    def model(v):
+        if v is None:
+            return None, None
+        t = v.strip(" ").lower()
+        display = " ".join(w[:1].upper() + w[1:] for w in t.split(" "))  # a word starts after a space only
+        return display, "".join(fold(c) for c in display.strip(" ").lower())
+
+    assert got == {str(i): model(v) for i, v in enumerate(values)}
