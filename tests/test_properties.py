@@ -258,3 +258,22 @@ def test_city_rule(spark, values):
         return display, "".join(fold(c) for c in display.strip(" ").lower())
 
     assert got == {str(i): model(v) for i, v in enumerate(values)}
+
+
+@settings(**SETTINGS)
+@given(st.lists(st.tuples(st.integers(1900, 2100), st.integers(0, 13), st.integers(0, 32)), max_size=15))
+def test_birth_date_rule(spark, parts):
+    import datetime as dt
+
+    values = [f"{y:04d}-{m:02d}-{d:02d}" for y, m, d in parts]
+    df = cleaning.validate_birth_date(_frame(spark, values).withColumnRenamed("v", "date_naissance"), as_of="2025-06-30")
+    got = {r.id: r.date_naissance for r in df.collect()}
+
+    def model(y, m, d):
+        try:
+            day = dt.date(y, m, d)
+        except ValueError:  # not a real day
+            return None
+        return day if dt.date(1920, 1, 1) <= day <= dt.date(2025, 6, 30) else None
+
+    assert got == {str(i): model(*p) for i, p in enumerate(parts)}
