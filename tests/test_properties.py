@@ -277,3 +277,35 @@ def test_birth_date_rule(spark, parts):
         return day if dt.date(1920, 1, 1) <= day <= dt.date(2025, 6, 30) else None
 
     assert got == {str(i): model(*p) for i, p in enumerate(parts)}
+
+
+@settings(**SETTINGS)
+@given(st.lists(st.tuples(st.integers(0, 5000), st.integers(0, 5000)), min_size=1, max_size=15), st.integers(0, 3))
+def test_pct_rounds_half_up(spark, pairs, digits):
+    from decimal import ROUND_HALF_UP, Decimal
+
+    df = spark.createDataFrame(pairs, "a long, b long").select(rules.pct(F.col("a"), F.col("b"), digits).alias("p"))
+    got = [r.p for r in df.collect()]
+
+    def model(a, b):
+        if b == 0:
+            return None
+        x = a * 100.0 / b
+        return float(Decimal(repr(x)).quantize(Decimal(1).scaleb(-digits), rounding=ROUND_HALF_UP))
+
+    assert got == [model(a, b) for a, b in pairs]
+
+
+@settings(**SETTINGS)
+@given(st.lists(st.tuples(st.integers(0, 3), st.sampled_from(["mobile_app", "web"]), st.sampled_from(["livree", "livrée", "annulee"])), max_size=12))
+def test_month_filter_is_half_open(spark, rows):
+    import datetime as dt
+
+    from baobab.operators import kpi
+
+    stamps = [dt.datetime(2025, 11, 30, 23, 59, 59), dt.datetime(2025, 12, 1, 0, 0), dt.datetime(2025, 12, 31, 23, 59, 59), dt.datetime(2026, 1, 1, 0, 0)]
+    data = [(i, 1, st_, ch, "100", stamps[t]) for i, (t, ch, st_) in enumerate(rows)]
+    df = spark.createDataFrame(data, "order_id long, customer_id long, statut string, canal string, montant_total_fcfa string, date_commande timestamp_ntz")
+    got = kpi.delivered_in_month(kpi.prepare_orders(df), "2025-12").first().nb_commandes
+    exp = sum(1 for t, ch, st_ in rows if t in (1, 2) and ch == "mobile_app" and st_ in ("livree", "livrée"))
+    assert got == exp
