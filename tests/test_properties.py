@@ -309,3 +309,31 @@ def test_month_filter_is_half_open(spark, rows):
     got = kpi.delivered_in_month(kpi.prepare_orders(df), "2025-12").first().nb_commandes
     exp = sum(1 for t, ch, st_ in rows if t in (1, 2) and ch == "mobile_app" and st_ in ("livree", "livrée"))
     assert got == exp
+
+
+@settings(**SETTINGS)
+@given(
+    st.lists(st.tuples(st.integers(0, 6), st.sampled_from(["livree", "livrée", "annulee"]), st.one_of(st.none(), st.integers(0, 900))), max_size=20),
+    st.lists(st.tuples(st.integers(0, 6), st.sampled_from(["R1", "R2"])), max_size=10),
+)
+def test_revenue_by_region_equals_inner_join(spark, orders, customers):
+    from collections import defaultdict
+
+    from baobab.operators import kpi
+
+    o = spark.createDataFrame(
+        [(i, c, s, None if a is None else str(a)) for i, (c, s, a) in enumerate(orders)],
+        "order_id long, customer_id long, statut string, montant_total_fcfa string",
+    )
+    c = spark.createDataFrame(customers, "customer_id long, region string")  # missing and repeated keys allowed
+    got = {r.region: (r.ca_fcfa, r.nb_commandes) for r in kpi.revenue_by_region(kpi.prepare_orders(o), c).collect()}
+    ca, nb = defaultdict(lambda: None), defaultdict(int)
+    for cid, s, a in orders:
+        if s not in ("livree", "livrée"):
+            continue
+        for ccid, reg in customers:  # SQL inner join semantics, row by row
+            if ccid == cid:
+                nb[reg] += 1
+                if a is not None:
+                    ca[reg] = (ca[reg] or 0) + a
+    assert got == {reg: (ca[reg], nb[reg]) for reg in nb}
