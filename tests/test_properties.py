@@ -337,3 +337,32 @@ def test_revenue_by_region_equals_inner_join(spark, orders, customers):
                 if a is not None:
                     ca[reg] = (ca[reg] or 0) + a
     assert got == {reg: (ca[reg], nb[reg]) for reg in nb}
+
+
+@settings(**SETTINGS)
+@given(
+    st.lists(st.tuples(st.integers(0, 5), st.integers(0, 3), st.integers(1, 4), st.integers(1, 50)), max_size=20),
+    st.lists(st.tuples(st.integers(0, 3), st.sampled_from(["livree", "annulee"])), max_size=6),
+    st.lists(st.tuples(st.integers(0, 3), st.sampled_from(["Dakar", "Thies"])), max_size=6),
+)
+def test_line_revenue_equals_row_level_joins(spark, lines, orders, customers):
+    from collections import defaultdict
+
+    from baobab.operators import kpi
+
+    items = spark.createDataFrame(lines, "order_id long, product_id long, quantite long, prix_unitaire_fcfa long")
+    o = kpi.prepare_orders(spark.createDataFrame(
+        [(oid, oid % 4, s, "1") for oid, s in orders], "order_id long, customer_id long, statut string, montant_total_fcfa string"
+    ))
+    c = spark.createDataFrame(customers, "customer_id long, ville string")
+    p = spark.createDataFrame([(k, "CAT" + str(k % 2)) for k in range(4)], "product_id long, categorie string")
+    got = {(r.ville, r.categorie): r.ca_fcfa for r in kpi.revenue_by(items, o, c, p, ("ville",), ("categorie",)).collect()}
+    exp = defaultdict(int)
+    for oid, pid, q, pr in lines:
+        for ooid, s in orders:
+            if ooid != oid or s != "livree":
+                continue
+            for cid, ville in customers:
+                if cid == ooid % 4 and pid < 4:
+                    exp[(ville, "CAT" + str(pid % 2))] += q * pr
+    assert got == dict(exp)
