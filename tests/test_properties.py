@@ -366,3 +366,27 @@ def test_line_revenue_equals_row_level_joins(spark, lines, orders, customers):
                 if cid == ooid % 4 and pid < 4:
                     exp[(ville, "CAT" + str(pid % 2))] += q * pr
     assert got == dict(exp)
+
+
+@settings(**SETTINGS)
+@given(
+    st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 3)), st.one_of(st.none(), st.integers(0, 50))), max_size=12),
+    st.lists(st.integers(0, 3), max_size=6),
+)
+def test_sentinel_with_null_amounts(spark, left_rows, right_keys):
+    from baobab.operators import joins
+
+    left = spark.createDataFrame(left_rows, "k long, amount long")
+    right = spark.createDataFrame([(k,) for k in right_keys], "k long")
+    r = joins.sentinel(left, right, "k", "amount").first()
+
+    def sql_sum(xs):  # SUM ignores NULLs and is NULL when nothing is left
+        xs = [x for x in xs if x is not None]
+        return sum(xs) if xs else None
+
+    mult = {k: right_keys.count(k) for k in set(right_keys)}
+    joined = [a for k, a in left_rows if k is not None for _ in range(mult.get(k, 0))]
+    lost = [a for k, a in left_rows if k is None or mult.get(k, 0) == 0]
+    assert r.ca_avant == sql_sum(a for _, a in left_rows)
+    assert r.ca_apres == sql_sum(joined)
+    assert r.ca_perdu == (sql_sum(lost) or 0)
