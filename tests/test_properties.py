@@ -390,3 +390,30 @@ def test_sentinel_with_null_amounts(spark, left_rows, right_keys):
     assert r.ca_avant == sql_sum(a for _, a in left_rows)
     assert r.ca_apres == sql_sum(joined)
     assert r.ca_perdu == (sql_sum(lost) or 0)
+
+
+@settings(**SETTINGS)
+@given(
+    st.lists(st.sampled_from(["livree", "annulee", "en_cours"]), max_size=15),
+    st.dictionaries(st.integers(0, 14), st.sampled_from(["Wave", "carte"]), max_size=15),
+)
+def test_cancel_rate_with_unpaid_orders(spark, statuses, paid):
+    from decimal import ROUND_HALF_UP, Decimal
+
+    from baobab.operators import kpi
+
+    o = kpi.prepare_orders(spark.createDataFrame(
+        [(i, 1, s, "10") for i, s in enumerate(statuses)], "order_id long, customer_id long, statut string, montant_total_fcfa string"
+    ))
+    pay = spark.createDataFrame(list(paid.items()), "order_id long, methode string")
+    got = {r.methode: (r.nb_total, r.nb_annulees, r.taux_annulation_pct) for r in kpi.cancel_rate(o, pay).collect()}
+    groups = {}
+    for i, s in enumerate(statuses):
+        g = groups.setdefault(paid.get(i), [0, 0])  # no payment row: NULL method (left join)
+        g[0] += 1
+        g[1] += s == "annulee"
+
+    def pct(a, b):
+        return float(Decimal(repr(a * 100.0 / b)).quantize(Decimal("0.1"), rounding=ROUND_HALF_UP))
+
+    assert got == {m: (n, c, pct(c, n)) for m, (n, c) in groups.items()}
