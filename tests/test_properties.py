@@ -417,3 +417,15 @@ def test_cancel_rate_with_unpaid_orders(spark, statuses, paid):
         return float(Decimal(repr(a * 100.0 / b)).quantize(Decimal("0.1"), rounding=ROUND_HALF_UP))
 
     assert got == {m: (n, c, pct(c, n)) for m, (n, c) in groups.items()}
+
+
+@settings(**SETTINGS)
+@given(st.lists(st.one_of(st.none(), st.text(alphabet="0123 FCA/", max_size=8)), max_size=15))
+def test_amount_polluted_counts(spark, values):
+    from baobab.operators import quality
+
+    df = spark.createDataFrame([(v,) for v in values], "montant_total_fcfa string")
+    r = quality.amount_polluted(df).first()
+    bad = [v for v in values if v is not None and not re.fullmatch(r"[0-9]+", v)]
+    assert (r.n_rows, r.n_polluted, r.n_null, r.n_distinct_polluted) == (
+        len(values), len(bad), sum(v is None for v in values), len(set(bad)))
