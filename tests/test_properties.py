@@ -429,3 +429,22 @@ def test_amount_polluted_counts(spark, values):
     bad = [v for v in values if v is not None and not re.fullmatch(r"[0-9]+", v)]
     assert (r.n_rows, r.n_polluted, r.n_null, r.n_distinct_polluted) == (
         len(values), len(bad), sum(v is None for v in values), len(set(bad)))
+
+
+@settings(**SETTINGS)
+@given(st.lists(st.one_of(st.none(), st.sampled_from(["Wave", "Orange Money", "carte", "especes"])), min_size=1, max_size=20))
+def test_payment_share(spark, methods):
+    from decimal import ROUND_HALF_UP, Decimal
+
+    from baobab.operators import kpi
+
+    df = spark.createDataFrame([(i, m) for i, m in enumerate(methods)], "order_id long, methode string")
+    got = {r.methode: (r.nb, r.part_pct) for r in kpi.payment_share(df).collect()}
+    cnt = Counter(methods)
+
+    def pct(a, b):
+        return float(Decimal(repr(a * 100.0 / b)).quantize(Decimal("0.1"), rounding=ROUND_HALF_UP))
+
+    assert got == {m: (n, pct(n, len(methods))) for m, n in cnt.items()}
+    mm = kpi.grouped_payment_share(df).first().part_mobile_money_pct
+    assert mm == pct(sum(cnt[m] for m in ("Wave", "Orange Money")), len(methods))
