@@ -448,3 +448,22 @@ def test_payment_share(spark, methods):
     assert got == {m: (n, pct(n, len(methods))) for m, n in cnt.items()}
     mm = kpi.grouped_payment_share(df).first().part_mobile_money_pct
     assert mm == pct(sum(cnt[m] for m in ("Wave", "Orange Money")), len(methods))
+
+
+@settings(**SETTINGS)
+@given(st.lists(st.tuples(st.integers(1, 12), st.integers(1, 28), st.sampled_from(["livree", "LIVRÉE ", "annulee"]), st.integers(0, 99)), max_size=15))
+def test_monthly_revenue(spark, rows):
+    import datetime as dt
+    from collections import defaultdict
+
+    from baobab.operators import kpi
+
+    data = [(i, 1, s, str(a), dt.datetime(2025, m, d, 12, 0)) for i, (m, d, s, a) in enumerate(rows)]
+    df = spark.createDataFrame(data, "order_id long, customer_id long, statut string, montant_total_fcfa string, date_commande timestamp_ntz")
+    got = {r.mois: (r.nb_commandes, r.ca_fcfa) for r in kpi.monthly_revenue(kpi.prepare_orders(df)).collect()}
+    exp = defaultdict(lambda: [0, 0])
+    for m, d, s, a in rows:
+        if s.strip().lower() in ("livree", "livrée"):
+            exp[dt.date(2025, m, 1)][0] += 1
+            exp[dt.date(2025, m, 1)][1] += a
+    assert got == {k: tuple(v) for k, v in exp.items()}
