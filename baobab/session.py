@@ -52,17 +52,10 @@ def build_session(
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the runtime SQL settings to an existing session.
-
-    Only SQL confs are touched, so this is safe on a shared cluster
-    session handed to us by the driver.
-    """
-    for key, value in DEFAULT_CONF.items():
-        if key.startswith("spark.sql."):
-            try:
-                spark.conf.set(key, value)
-            except Exception:  # static conf on a running session
-                pass
+    """Set on a caller's session the two settings that results depend on: the
+    UTC clock and ANSI arithmetic.  Everything else stays as the caller has it."""
+    for key in ("spark.sql.session.timeZone", "spark.sql.ansi.enabled"):
+        spark.conf.set(key, DEFAULT_CONF[key])
     return spark
 
 
