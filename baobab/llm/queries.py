@@ -7,11 +7,13 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from baobab.llm import bpe
+from baobab.llm import bpe, packing, simhash, toxicity
 from baobab.llm.common import table
 
 BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+WORD_TOKENS = public_tokenizers.path("word_bpe_49k.json")
 
 
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,8 +22,32 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and near-duplicate component of every document (3 words, 2 bits)."""
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, radius=2)
+
+
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place of every token piece of `documents` in sequences of 2048."""
+    packed = packing.pack(table(spark, sf_dir, "documents"), WORD_TOKENS, capacity=2048, end_id=0)
+    return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document, learnt from the labels outside the held-out fold."""
+    docs = table(spark, sf_dir, "documents")
+    scorer = toxicity.learn(docs, table(spark, sf_dir, "labels"))
+    scored = docs.select("doc_id", toxicity.score(F.col("text"), scorer, spark).alias("score"))
+    return scored.select(
+        "doc_id",
+        (toxicity.fold(F.col("doc_id")) == toxicity.HELD_OUT).alias("held_out"),
+        "score",
+        (F.col("score") >= toxicity.REJECT).cast("int").alias("predicted"),
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_byte_bpe,)}
+    return {f.__name__: f for f in (op3_byte_bpe, op4_simhash, op9_packing, op10_toxicity)}
 
 
 def oracle_sql() -> dict[str, str]:
