@@ -14,9 +14,12 @@
 from __future__ import annotations
 
 import functools
+import os
 import re
 import zlib
 from collections import defaultdict
+from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -29,46 +32,110 @@ from tokenizers import Tokenizer
 from baobab.llm.bpe import blocks
 from baobab.llm.common import cut
 
-#: Words that each of the two generations of a worker's cache holds.
-CACHE_WORDS = 300_000
+#: Entries that each of the two generations of a worker's cache holds.
+CACHE_WORDS = 250_000
+#: Words that go to the tokenizer in one text.
+JOINED = 500
 #: Python splits at these, the tokenizer does not: such texts go to it whole.
 _ODD = re.compile("[\x1c-\x1f]")
+#: Where a full stop or comma touches another mark; and what else keeps a text from
+#: being lowered and taken apart at once (lower case there depends on more than a character).
+_TOUCHING = re.compile(r"[.,](?:[^\w\s]|_)|(?:[^\w\s]|_)[.,]")
+_UNSURE = ("..", ",,", ".,", ",.", "Σ", "İ")
+#: Marks that stand as one token run behind a word.
+_MARKS = "!\"#$%&()*+,-./:;<=>?@[]^_`{|}~"
+
+
+class Generations:
+    """A bounded cache: what has not been met for two generations goes."""
+
+    def __init__(self, size: int = CACHE_WORDS):
+        self.size, self.now, self.old = size, {}, {}
+
+    def missing(self, keys: set) -> list:
+        """Those of the keys that are in neither generation; the others are in the younger one then."""
+        new = keys - self.now.keys()
+        if len(self.now) + len(new) > self.size:
+            self.old, self.now, new = self.now, {}, keys
+        found = {k: self.old[k] for k in new if k in self.old}
+        self.now.update(found)
+        return [k for k in new if k not in found]
 
 
 class WordTokens:
-    """Token ids of texts, from a cache of their white-space-separated parts.
+    """Token ids of texts, put together from those of their white-space-separated parts.
 
     The tokenizer's normaliser and pre-tokenizer never join characters across
-    white space, so a text's ids are those of its parts in a row."""
+    white space, so a text's ids are those of its parts in a row.  Full stops and
+    commas that touch no other mark are parts of their own, as they are to the
+    tokenizer, and the text is lowered at once where that is done character by
+    character.  Each distinct part goes to the tokenizer once."""
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task per core
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.cache: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
-
-    def direct(self, texts: list[str]) -> list[bytes]:
-        coded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(x.ids, dtype="<u4").tobytes() for x in coded]
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        self.parts = Generations()
+
+    def direct(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+
+    def _words(self, words: list[str]) -> Iterator[bytes]:
+        """Ids of each word, many words to a call."""
+        for start in range(0, len(words), JOINED):
+            some = words[start : start + JOINED]
+            ids = np.array(self.tokenizer.encode("\n".join(some), add_special_tokens=False).ids, dtype="<u4")
+            at = np.append(0, np.flatnonzero(self.ends[ids]) + 1)
+            if len(at) == len(some) + 1:
+                packed, at = ids.tobytes(), (4 * at).tolist()
+                yield from (packed[a:b] for a, b in pairwise(at))
+            else:  # something among them is more than one word to the tokenizer
+                yield from map(self.direct, some)
+
+    def _learn(self, parts: set[str]) -> None:
+        todo, known = self.parts.missing(parts), self.parts.now
+        words = [p for p in todo if p.isalpha()]
+        known.update(zip(words, self._words(words), strict=True))
+        marked = []
+        for part in todo:
+            if part not in known:
+                word = part.rstrip(_MARKS)
+                if word.isalpha() and "İ" not in word:
+                    marked.append((part, word, part[len(word) :]))
+                else:
+                    known[part] = self.direct(part)
+        if marked:
+            some = list({w for _, w, _ in marked})
+            of_word = dict(zip(some, self._words(some), strict=True))
+            of_mark = {m: self.direct(m) for m in {m for _, _, m in marked}}
+            known.update((part, of_word[word] + of_mark[mark]) for part, word, mark in marked)
+
+    def _split(self, texts: list[str]) -> list[list[str]]:
+        """Parts of each text; full stops and commas by themselves where that is sure."""
+        split = []
+        for t in texts:
+            if any(x in t for x in _UNSURE):
+                split.append(t.split())
+            else:
+                split.append(t.lower().replace(".", " . ").replace(",", " , ").split())
+        outer = {p for p in set().union(*split) if not (p[0].isalnum() and p[-1].isalnum())} - {".", ","}
+        for k, parts in enumerate(split):
+            if not outer.isdisjoint(parts) and _TOUCHING.search(texts[k]):
+                split[k] = texts[k].split()
+        return split
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
-        split = [[] if _ODD.search(t) else t.split() for t in texts]
-        words = set().union(*split)
-        new = words - self.cache.keys()
-        if len(self.cache) + len(new) > CACHE_WORDS:
-            self.older, self.cache, new = self.cache, {}, words
-        known = {w: self.older[w] for w in new if w in self.older}
-        self.cache.update(known)
-        todo = list(new - known.keys())
-        if todo:
-            self.cache.update(zip(todo, self.direct(todo), strict=True))
-        of = self.cache.__getitem__
-        out = [b"".join(map(of, parts)) for parts in split]
-        for k, t in enumerate(texts):
-            if not split[k] and t and _ODD.search(t):
-                out[k] = self.direct([t])[0]
-        return out
+        odd = [bool(_ODD.search(t)) for t in texts]
+        split = self._split(["" if o else t for o, t in zip(odd, texts, strict=True)])
+        self._learn(set().union(*split))
+        of = self.parts.now.__getitem__
+        return [
+            self.direct(t) if o else b"".join(map(of, parts)) for o, t, parts in zip(odd, texts, split, strict=True)
+        ]
 
 
 @functools.lru_cache(maxsize=2)
