@@ -9,13 +9,27 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from baobab.llm import bpe, packing, simhash, toxicity
+from baobab.llm import bpe, chat, counts, lines, neighbours, packing, quality, sharding, simhash, toxicity
 from baobab.llm.common import table
 
 BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 WORD_TOKENS = public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts of every document before and after three edits (stand-in edit lists)."""
+    docs = table(spark, sf_dir, "documents")
+    docs = docs.select("doc_id", "text", counts.stand_in_edits(F.col("text"), F.col("doc_id")).alias("edits"))
+    counted = counts.count_edits(docs, BYTE_RANKS, public_tokenizers.PATTERN)
+    return counted.select("doc_id", "n_tokens", "n_edits", "n_tokens_edited", "n_pretokens", "n_again")
+
+
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base metrics of every document and its divergence from its language."""
+    measured = quality.measure(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
+    return measured.select("doc_id", "quality.*")
+
+
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every whole text of `documents` and the bytes they decode to, as digests."""
     coded = bpe.encode(table(spark, sf_dir, "documents"), BYTE_RANKS, public_tokenizers.PATTERN, with_ids=False)
@@ -27,6 +41,27 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, radius=2)
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the lines of later occurrences of three-line windows."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lines.dedup_lines(docs).select("doc_id", "n_lines", "n_removed", "text")
+
+
+def op6_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors of every vector whose id 20 divides."""
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
+def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Preference pairs of all conversations, rendered (stand-in: the rejected side breaks off)."""
+    return chat.format_preferences(chat.preference_turns(table(spark, sf_dir, "conversations")))
+
+
+def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 8 shards of equal row counts, equal texts together where they fit."""
+    return sharding.shard_documents(table(spark, sf_dir, "documents"), shards=8)
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Place of every token piece of `documents` in sequences of 2048."""
     packed = packing.pack(table(spark, sf_dir, "documents"), WORD_TOKENS, capacity=2048, end_id=0)
@@ -47,8 +82,20 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_byte_bpe, op4_simhash, op9_packing, op10_toxicity)}
+    every = (
+        op1_token_counts,
+        op2_quality,
+        op3_byte_bpe,
+        op4_simhash,
+        op5_line_dedup,
+        op6_neighbours,
+        op7_chat,
+        op8_sharding,
+        op9_packing,
+        op10_toxicity,
+    )
+    return {f.__name__: f for f in every}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op5_line_dedup": lines.SQL, "op7_chat": chat.SQL}
