@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -94,8 +95,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op9_packing,
         op10_toxicity,
     )
-    return {f.__name__: f for f in every}
+    return {f.__name__: f for f in every} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_line_dedup": lines.SQL, "op7_chat": chat.SQL}
+    own = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
+    return own | {"op5_line_dedup": lines.SQL, "op7_chat": chat.SQL}
