@@ -29,10 +29,12 @@ from pyspark.sql import functions as F
 from baobab.llm.bpe import blocks
 from baobab.llm.common import cut, words
 
-ORDER = 8
+ORDER = 6
 #: Cells of each hashed table.
 CELLS = 1 << 20
 DISCOUNT = 0.9
+#: Labels up to this number are broadcast to the texts; more are joined plainly.
+BROADCAST_LABELS = 1_000_000
 #: Labelled rows that the logistic fit takes at most.
 FIT_ROWS = 20_000
 CACHE_WORDS = 300_000
@@ -284,6 +286,8 @@ def learn(
     # folds are cut before the join, so that no held-out text is moved
     known = labels.where(F.col(id_col).isNotNull() & F.col("toxic").isin(0, 1) & (fold(F.col(id_col)) != HELD_OUT))
     known = known.select(F.col(id_col).alias("id"), F.col("toxic").cast("int").alias("y"))
+    if known.count() <= BROADCAST_LABELS:
+        known = F.broadcast(known)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     rows = rows.where(F.col("id").isNotNull() & F.col("text").isNotNull() & (fold(F.col("id")) != HELD_OUT))
     quarter = F.floor(F.crc32(F.col("id").cast("string")) / FOLDS) % 4
@@ -303,11 +307,15 @@ def learn(
     def run(batches):
         for block in blocks(batches):
             x = shared.value.features(block.column(0).cast(pa.binary()).to_pylist())
-            yield pa.RecordBatch.from_arrays([pa.array(x.tolist(), pa.list_(pa.float64())), block.column(1)], names=["x", "y"])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(x.tolist(), pa.list_(pa.float64())), block.column(1), block.column(2)], names=["x", "y", "at"]
+            )
 
     def sample(part: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-        some = part.orderBy(F.xxhash64("id", "text")).limit(fit_rows) if part is not None else part
-        got = some.select("text", "y").mapInArrow(run, "x array<double>, y int").toArrow()
+        measured = part.select("text", "y", F.xxhash64("id", "text").alias("at")).mapInArrow(
+            run, "x array<double>, y int, at bigint"
+        )
+        got = measured.orderBy("at").limit(fit_rows).toArrow()
         return np.array(got.column("x").to_pylist()).reshape(-1, len(FEATURES)), got.column("y").to_numpy()
 
     x, y = sample(taught.where("fits"))
