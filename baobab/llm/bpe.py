@@ -73,8 +73,12 @@ class Replay:
         made = np.where(inside[:-1] & inside[1:], self.first_pairs[raw[:-1], raw[1:]], -1)
         at = np.flatnonzero(made >= 0)
         at = at[np.argsort(made[at], kind="stable")]
-        ids, first = np.unique(made[at], return_index=True)
-        index = {int(i): p.tolist() for i, p in zip(ids, np.split(at, first[1:]), strict=True)} if len(ids) else {}
+        kinds = made[at]
+        first = np.flatnonzero(np.diff(kinds, prepend=-1)).tolist()
+        places = at.tolist()
+        index = {
+            int(kinds[a]): places[a:b] for a, b in zip(first, [*first[1:], len(places)], strict=True)
+        }
         heap = list(index)
         heapq.heapify(heap)
         token = tokens.tolist()
@@ -131,7 +135,7 @@ class Replay:
 
     def learn(self, words: set[str]) -> None:
         """Make sure that the cache holds these words."""
-        new = words - self.cache.keys()
+        new = words.difference(self.cache)
         if not new:
             return
         if len(self.cache) + len(new) > CACHE_WORDS:
