@@ -54,7 +54,7 @@ class Generations:
 
     def missing(self, keys: set) -> list:
         """Those of the keys that are in neither generation; the others are in the younger one then."""
-        new = keys - self.now.keys()
+        new = keys.difference(self.now)
         if len(self.now) + len(new) > self.size:
             self.old, self.now, new = self.now, {}, keys
         found = {k: self.old[k] for k in new if k in self.old}
