@@ -2,8 +2,8 @@
 
 Documents that share a group are linked.  Linked documents start on a hashed
 shard; in every round each looks at how many members of its groups every shard
-holds and asks to move to the fullest one that still has room, and requests are
-granted up to the room left.  Documents without links and whatever is above a
+holds and asks to move to the fullest one.  Requests are granted as flows between
+shards that leave none above its quota.  Documents without links and whatever is above a
 quota then fill the shards to exactly their quotas.
 
 All steps are joins and aggregations.  Groups count per shard (one row a group),
@@ -22,7 +22,7 @@ from baobab.llm.common import cell_offsets, cut, text_key
 
 #: Cells of the ordering: so many for groups, each with so many for the documents of a group.
 GROUP_CELLS, MEMBER_CELLS = 64, 256
-ROUNDS = 10
+ROUNDS = 12
 
 
 def _cell(group: Column, member: Column) -> Column:
@@ -48,11 +48,34 @@ def quotas(n: int, shards: int) -> list[int]:
     return [n // shards + (s < n % shards) for s in range(shards)]
 
 
+def grant(asked: dict[tuple[int, int], int], held: list[int], quota: list[int]) -> dict[tuple[int, int], int]:
+    """How many of the requests (from, to) -> n are granted so that no shard ends
+    above its quota: the largest flows, found by cutting down what flows into an
+    overfull shard until none is.  What leaves a shard makes room in it."""
+    flow = dict(asked)
+    while True:
+        cut_any = False
+        for to in range(len(quota)):
+            inward = sum(n for (_, t), n in flow.items() if t == to)
+            outward = sum(n for (f, _), n in flow.items() if f == to)
+            room = max(quota[to] - held[to] + outward, 0)
+            if inward > room:
+                cut_any = True
+                left = room
+                for pair in sorted(p for p in flow if p[1] == to):
+                    share = min(flow[pair], -(-flow[pair] * room // inward), left)
+                    flow[pair], left = share, left - share
+        if not cut_any:
+            return flow
+
+
 def propagate(members: DataFrame, quota: list[int], rounds: int = ROUNDS) -> DataFrame:
     """Shards of the linked rows: columns rid, g (one of its groups), shard.
 
     ``members``: rid (a unique long) and g (a group, as a long), one row for each
-    group of a row.  Stops when no row moves."""
+    group of a row.  Every other round passes over the shards that are
+    at their quota, so that a large group goes on to its next best one.  Stops
+    after two rounds without a move, or after ``rounds``."""
     shards = len(quota)
     state = cut(
         members.groupBy("rid")
@@ -60,39 +83,51 @@ def propagate(members: DataFrame, quota: list[int], rounds: int = ROUNDS) -> Dat
         .withColumn("shard", F.pmod(F.xxhash64("rid"), F.lit(shards)).cast("int"))
     )
     here = [F.sum((F.col("shard") == s).cast("long")).alias(f"n{s}") for s in range(shards)]
-    for _ in range(rounds):
-        held = {r["shard"]: r["n"] for r in state.groupBy("shard").agg(F.count("*").alias("n")).collect()}
-        room = [max(0, quota[s] - held.get(s, 0)) for s in range(shards)]
+    idle = 0
+    for nth_round in range(rounds):
+        if idle == 2:
+            break
+        counted = {r["shard"]: r["n"] for r in state.groupBy("shard").agg(F.count("*").alias("n")).collect()}
+        held = [counted.get(s, 0) for s in range(shards)]
+        full = {s for s in range(shards) if held[s] >= quota[s]} if nth_round % 2 else set()
+        if len(full) == shards:
+            idle += 1
+            continue
         in_group = cut(members.join(state.select("rid", "shard"), "rid").groupBy("g").agg(*here))
         votes = (
             members.join(in_group, "g")
             .groupBy("rid")
             .agg(*(F.sum(f"n{s}").alias(f"n{s}") for s in range(shards)))
         )
-        asked = state.join(votes, "rid")
-        # the fullest shard with room, of equal ones the first; a tie with the own shard only towards a smaller one
-        open_shards = [F.struct(F.col(f"n{s}").alias("n"), F.lit(-s).alias("s")) for s in range(shards) if room[s]]
-        if not open_shards:
-            break
-        best = F.sort_array(F.array(*open_shards), asc=False)[0]
+        # the fullest shard, of equal ones the first; a tie with the own shard only towards a smaller one
+        choice = [F.struct(F.col(f"n{s}").alias("n"), F.lit(-s).alias("s")) for s in range(shards) if s not in full]
+        best = F.sort_array(F.array(*choice), asc=False)[0]
         own = F.get(F.array(*(f"n{s}" for s in range(shards))), F.col("shard"))
-        asked = (
-            asked.withColumn("best", best)
+        asked = cut(
+            state.join(votes, "rid")
+            .withColumn("best", best)
             .select("rid", "g", "shard", (-F.col("best.s")).alias("target"), F.col("best.n").alias("n"), own.alias("own"))
             .where((F.col("n") > F.col("own")) | ((F.col("n") == F.col("own")) & (F.col("target") < F.col("shard"))))
-            .select("rid", "target", _cell(F.xxhash64("g"), F.xxhash64("rid")).alias("cell"))
+            .select(
+                "rid",
+                (F.col("shard") * shards + F.col("target")).alias("pair"),
+                _cell(F.xxhash64("g"), F.xxhash64("rid")).alias("cell"),
+            )
         )
-        asked = cut(asked)
-        free = F.get(F.array(*(F.lit(r) for r in room)), F.col("target"))
-        counted = cut(cell_offsets(asked.groupBy("target", "cell").agg(F.count("*").alias("n")), ["target"], ["cell"]))
-        fits = asked.join(counted, ["target", "cell"]).withColumn("free", free).where(F.col("before") < F.col("free"))
-        whole = fits.where(F.col("before") + F.col("n") <= F.col("free")).select("rid", "target")
+        wanted = {divmod(r["pair"], shards): r["n"] for r in asked.groupBy("pair").agg(F.count("*").alias("n")).collect()}
+        granted = grant(wanted, held, quota)
+        if not sum(granted.values()):
+            idle += 1
+            continue
+        idle = 0
+        free = F.get(F.array(*(F.lit(granted.get(divmod(p, shards), 0)) for p in range(shards * shards))), F.col("pair"))
+        before = cut(cell_offsets(asked.groupBy("pair", "cell").agg(F.count("*").alias("n")), ["pair"], ["cell"]))
+        fits = asked.join(before, ["pair", "cell"]).withColumn("free", free).where(F.col("before") < F.col("free"))
+        whole = fits.where(F.col("before") + F.col("n") <= F.col("free")).select("rid", "pair")
         edge = fits.where(F.col("before") + F.col("n") > F.col("free"))
-        nth = F.row_number().over(W.partitionBy("target").orderBy("rid"))  # rows of one cell for each shard
-        edge = edge.withColumn("nth", nth).where(F.col("before") + F.col("nth") <= F.col("free"))
-        moves = cut(whole.unionByName(edge.select("rid", "target")))
-        if moves.isEmpty():
-            break
+        nth = F.row_number().over(W.partitionBy("pair").orderBy("rid"))  # rows of one cell for each pair of shards
+        edge = edge.withColumn("nth", nth).where(F.col("before") + F.col("nth") <= F.col("free")).select("rid", "pair")
+        moves = whole.unionByName(edge).select("rid", (F.col("pair") % shards).cast("int").alias("target"))
         state = cut(
             state.join(moves, "rid", "left").select("rid", "g", F.coalesce("target", "shard").cast("int").alias("shard"))
         )
