@@ -18,6 +18,7 @@ import functools
 import hashlib
 import heapq
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -76,9 +77,7 @@ class Replay:
         kinds = made[at]
         first = np.flatnonzero(np.diff(kinds, prepend=-1)).tolist()
         places = at.tolist()
-        index = {
-            int(kinds[a]): places[a:b] for a, b in zip(first, [*first[1:], len(places)], strict=True)
-        }
+        index = {int(kinds[a]): places[a:b] for a, b in pairwise([*first, len(places)])}
         heap = list(index)
         heapq.heapify(heap)
         token = tokens.tolist()
