@@ -60,10 +60,14 @@ def read_table(
     lower_bound: int | None = None,
     upper_bound: int | None = None,
     fetch_size: int = 10_000,
+    single_task: bool = False,
 ) -> DataFrame:
     """Read a table; filters and projections applied later are pushed
-    to the database by Spark.  With ``partition_column`` the read runs as
-    ``num_partitions`` parallel range queries."""
+    to the database by Spark.  The read runs as ``num_partitions`` parallel
+    range queries over ``partition_column``; a read through one connection and
+    one task has to be asked for with ``single_task``."""
+    if not partition_column and not single_task:
+        raise ValueError(f"name a partition_column for {table}, or ask for single_task")
     reader = _reader(spark, conn, fetch_size).option("dbtable", table)
     if partition_column:
         if lower_bound is None or upper_bound is None:
@@ -97,9 +101,10 @@ def write_table(
 ) -> None:
     """K1: write a DataFrame; ``overwrite`` replaces the rows (keeping the
     table definition when ``truncate``).  ``num_partitions`` caps the number
-    of concurrent database connections.  Overwrite is a snapshot, not a
+    of concurrent database connections; the rows are dealt out anew for it, so
+    that the work before the write keeps its own tasks.  Overwrite is a snapshot, not a
     history: append a dated table for that."""
-    out = df.coalesce(num_partitions) if num_partitions else df
+    out = df.repartition(num_partitions) if num_partitions else df
     w = (
         out.write.format("jdbc")
         .options(**conn.options())
@@ -114,29 +119,26 @@ def write_table(
 
 def read_back_check(written: DataFrame, read_back: DataFrame) -> DataFrame:
     """K2: compare what was written with what the database returns, as a
-    one-row report (n_written, n_read, n_missing, n_extra); both directions
-    use ``exceptAll``, a distributed multiset difference."""
+    one-row report (n_written, n_read, n_missing, n_extra).
+
+    Both sides meet in one aggregation per distinct row, +1 for a written and -1
+    for a read one, so each of them is read once."""
     cols = written.columns
-    back = read_back.select(*cols)
-    missing = written.exceptAll(back).agg(F.count("*").alias("n_missing"))
-    extra = back.exceptAll(written.select(*cols)).agg(F.count("*").alias("n_extra"))
-    nw = written.agg(F.count("*").alias("n_written"))
-    nr = back.agg(F.count("*").alias("n_read"))
-    z = F.lit(0).cast("bigint")
-    parts = [
-        nw.select("n_written", z.alias("n_read"), z.alias("n_missing"), z.alias("n_extra")),
-        nr.select(z.alias("n_written"), "n_read", z.alias("n_missing"), z.alias("n_extra")),
-        missing.select(z.alias("n_written"), z.alias("n_read"), "n_missing", z.alias("n_extra")),
-        extra.select(z.alias("n_written"), z.alias("n_read"), z.alias("n_missing"), "n_extra"),
-    ]
-    u = parts[0]
-    for p in parts[1:]:
-        u = u.unionByName(p)
-    return u.agg(*[F.sum(c).alias(c) for c in ("n_written", "n_read", "n_missing", "n_extra")])
+    both = written.select(*cols, F.lit(1).alias("_w"), F.lit(0).alias("_r")).unionByName(
+        read_back.select(*cols, F.lit(0).alias("_w"), F.lit(1).alias("_r"))
+    )
+    per_row = both.groupBy(*cols).agg(F.sum("_w").alias("_w"), F.sum("_r").alias("_r"))
+    gap, zero = F.col("_w") - F.col("_r"), F.lit(0).cast("bigint")
+    return per_row.agg(
+        F.coalesce(F.sum("_w"), zero).alias("n_written"),
+        F.coalesce(F.sum("_r"), zero).alias("n_read"),
+        F.coalesce(F.sum(F.greatest(gap, zero)), zero).alias("n_missing"),
+        F.coalesce(F.sum(F.greatest(-gap, zero)), zero).alias("n_extra"),
+    )
 
 
-def execute_ddl(spark: SparkSession, conn: JdbcConnection, statements: list[str]) -> None:
-    """Run DDL statements on the database from the driver (one connection)."""
+def _connection(spark: SparkSession, conn: JdbcConnection):
+    """A driver-side connection; the caller closes it."""
     jvm = spark.sparkContext._jvm
     if conn.driver:
         jvm.java.lang.Class.forName(conn.driver)
@@ -144,7 +146,21 @@ def execute_ddl(spark: SparkSession, conn: JdbcConnection, statements: list[str]
     for k, v in conn.options().items():
         if k not in ("url", "driver"):
             props.setProperty(k, str(v))
-    c = jvm.java.sql.DriverManager.getConnection(conn.url, props)
+    return jvm.java.sql.DriverManager.getConnection(conn.url, props)
+
+
+def table_exists(spark: SparkSession, conn: JdbcConnection, table: str) -> bool:
+    """Whether the database lists the table, as spelled or in upper case."""
+    c = _connection(spark, conn)
+    try:
+        return any(c.getMetaData().getTables(None, None, name, None).next() for name in {table, table.upper()})
+    finally:
+        c.close()
+
+
+def execute_ddl(spark: SparkSession, conn: JdbcConnection, statements: list[str]) -> None:
+    """Run DDL statements on the database from the driver (one connection)."""
+    c = _connection(spark, conn)
     try:
         st = c.createStatement()
         for sql in statements:
@@ -160,29 +176,37 @@ def publish_table(
     table: str,
     rename_sql: str = "RENAME TABLE {src} TO {dst}",
     drop_sql: str = "DROP TABLE {name}",
-    replace_existing: bool = True,
     **write_options,
 ) -> None:
-    """K1 without half-written tables: write into ``<table>_STAGING``, then
-    swap it in (drop the old table, rename the staging one).
+    """K1 without half-written tables: write into ``<table>_STAGING``, move the
+    published table to ``<table>_BACKUP``, move the new one in, drop the backup.
 
     Each Spark write task commits its own transaction, so a job that fails
     half-way has committed some partitions only; with staging, that partial
-    result never replaces the published table, which stays as it was.
-    Readers see the old table, then the complete new one (with a short
-    window between the two DDL statements where neither exists).
-    ``rename_sql`` follows the database's dialect (``ALTER TABLE {src}
-    RENAME TO {dst}`` on PostgreSQL).
+    result never replaces the published table.  Nothing published is dropped
+    before its successor is in place: if moving that in fails, the backup is
+    moved back and the error raised.  Existing tables are looked up, so no error
+    of the database is taken for a missing table.  ``rename_sql`` follows the
+    database's dialect (``ALTER TABLE {src} RENAME TO {dst}`` on PostgreSQL).
     """
-    staging = f"{table}_STAGING"
-    try:
-        execute_ddl(df.sparkSession, conn, [drop_sql.format(name=staging)])
-    except Exception:  # no leftover staging table
-        pass
+    spark, staging, backup = df.sparkSession, f"{table}_STAGING", f"{table}_BACKUP"
+    published = table_exists(spark, conn, table)
+    if table_exists(spark, conn, backup):
+        if published:  # left over from a run that ended before its last step
+            execute_ddl(spark, conn, [drop_sql.format(name=backup)])
+        else:  # from one that ended between the two moves
+            execute_ddl(spark, conn, [rename_sql.format(src=backup, dst=table)])
+            published = True
+    if table_exists(spark, conn, staging):
+        execute_ddl(spark, conn, [drop_sql.format(name=staging)])
     write_table(df, conn, staging, mode="overwrite", truncate=False, **write_options)
-    if replace_existing:
-        try:
-            execute_ddl(df.sparkSession, conn, [drop_sql.format(name=table)])
-        except Exception:  # first publication
-            pass
-    execute_ddl(df.sparkSession, conn, [rename_sql.format(src=staging, dst=table)])
+    if published:
+        execute_ddl(spark, conn, [rename_sql.format(src=table, dst=backup)])
+    try:
+        execute_ddl(spark, conn, [rename_sql.format(src=staging, dst=table)])
+    except Exception:
+        if published:
+            execute_ddl(spark, conn, [rename_sql.format(src=backup, dst=table)])
+        raise
+    if published:
+        execute_ddl(spark, conn, [drop_sql.format(name=backup)])

@@ -1,6 +1,7 @@
-"""The reference's federation fixture: 12 CRM clients, 25 sales orders
-(two databases) and a 10-product CSV catalogue.  Data rows, kept as
-test input."""
+"""Federation fixture: 12 CRM clients, 25 sales orders (two databases) and a
+10-product CSV catalogue."""
+
+# The data set whose results are to be matched, row by row.
 
 CLIENTS = [
     ("C001", "Awa Diop", "Dakar", "77 123 45 67", "awa.diop@gmail.com", "2024-09-12"),

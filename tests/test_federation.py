@@ -35,7 +35,7 @@ def fed(spark, tmp_path_factory):
         f.write(PRODUITS_CSV)
     schema = "produit_id string, nom_produit string, categorie string, prix_fcfa int, stock int"
     produits = read_csv(spark, path, schema=schema)
-    c = read_table(spark, crm, "CLIENTS")
+    c = read_table(spark, crm, "CLIENTS", single_task=True)
     o = read_table(spark, ventes, "COMMANDES", partition_column="montant_fcfa", num_partitions=4)
     return {"crm": crm, "ventes": ventes, "clients": c, "commandes": o, "produits": produits}
 
@@ -154,12 +154,12 @@ def test_write_and_read_back(spark, fed):
     out = _db("analytics")
     rep = kpi.revenue_by_region(_orders(fed), _customers(fed), "ville")
     write_table(rep, out, "CA_PAR_VILLE", column_types="ville VARCHAR(30)")
-    back = read_table(spark, out, "CA_PAR_VILLE")
+    back = read_table(spark, out, "CA_PAR_VILLE", single_task=True)
     chk = read_back_check(rep, back).first()
     assert (chk.n_written, chk.n_read, chk.n_missing, chk.n_extra) == (6, 6, 0, 0)
     # overwrite replaces rows, keeps the table
     write_table(rep.limit(2), out, "CA_PAR_VILLE")
-    assert read_table(spark, out, "CA_PAR_VILLE").count() == 2
+    assert read_table(spark, out, "CA_PAR_VILLE", single_task=True).count() == 2
 
 
 def test_publish_swaps_a_staging_table(spark, fed):
@@ -168,7 +168,36 @@ def test_publish_swaps_a_staging_table(spark, fed):
     out = _db("publish")
     rep = kpi.revenue_by_region(_orders(fed), _customers(fed), "ville")
     publish_table(rep, out, "CA_VILLE", column_types="ville VARCHAR(30)")
-    assert read_table(spark, out, "CA_VILLE").count() == 6
+    assert read_table(spark, out, "CA_VILLE", single_task=True).count() == 6
     publish_table(rep.filter(F.col("ca_fcfa") > 100000), out, "CA_VILLE", column_types="ville VARCHAR(30)")
-    back = read_table(spark, out, "CA_VILLE")
+    back = read_table(spark, out, "CA_VILLE", single_task=True)
     assert back.count() == 3 and set(r.ville for r in back.collect()) == {"Dakar", "Rufisque", "Thies"}
+
+
+def test_publish_keeps_the_old_table_when_the_swap_fails(spark, fed):
+    from baobab.sources import publish_table
+    from baobab.sources.jdbc import table_exists
+
+    out = _db("swap")
+    rep = spark.createDataFrame([("Dakar", 1), ("Louga", 2)], "ville string, ca_fcfa long")
+    publish_table(rep, out, "CA_SUR", column_types="ville VARCHAR(30)")
+    bad = "RENAME TABLE {src} TO {dst}_ICI.NULLE_PART" # a schema that does not exist
+    with pytest.raises(Exception):
+        publish_table(rep.limit(1), out, "CA_SUR", rename_sql=bad, column_types="ville VARCHAR(30)")
+    assert read_table(spark, out, "CA_SUR", single_task=True).count() == 2
+    assert not table_exists(spark, out, "CA_SUR_BACKUP")
+    publish_table(rep.limit(1), out, "CA_SUR", column_types="ville VARCHAR(30)")  # over the left staging table
+    assert read_table(spark, out, "CA_SUR", single_task=True).count() == 1
+    assert not table_exists(spark, out, "CA_SUR_STAGING") and not table_exists(spark, out, "CA_SUR_BACKUP")
+
+
+def test_unpartitioned_read_has_to_be_asked_for(spark, fed):
+    with pytest.raises(ValueError, match="partition_column"):
+        read_table(spark, JdbcConnection("jdbc:derby:memory:none"), "T")
+
+
+def test_read_back_counts_repeats(spark):
+    written = spark.createDataFrame([(1, "a"), (1, "a"), (2, None), (3, "c")], "k int, v string")
+    back = spark.createDataFrame([(1, "a"), (2, None), (2, None), (4, "d")], "k int, v string")
+    assert tuple(read_back_check(written, back).first()) == (4, 4, 2, 2)
+    assert tuple(read_back_check(written.limit(0), back.limit(0)).first()) == (0, 0, 0, 0)
