@@ -8,42 +8,62 @@ aggregation on the key with map-side partial aggregation.
 from __future__ import annotations
 
 import datetime as _dt
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from baobab.functions import rules, text
 
 
+# The rules as column expressions; the steps below and the whole chain select them.
+
+
+def email_columns(raw: Column, col: str = "email", flag: str = "email_valide") -> list[Column]:
+    address = F.lower(F.trim(raw))
+    return [address.alias(col), rules.email_valid(address).alias(flag)]
+
+
+def city_columns(raw: Column, col: str = "ville", key: str = "ville_norm") -> list[Column]:
+    shown = F.initcap(F.trim(raw))
+    return [shown.alias(col), text.fold_key(shown).alias(key)]
+
+
+def phone_columns(raw: Column, col: str = "telephone", flag: str = "telephone_valide") -> list[Column]:
+    digits = rules.phone_digits(raw)
+    return [digits.alias(col), rules.phone_valid(digits).alias(flag)]
+
+
+def _replaced(df: DataFrame, columns: list[Column], names: Sequence[str]) -> DataFrame:
+    """``df`` with the named columns replaced in place, new ones at the end."""
+    return df.withColumns(dict(zip(names, columns, strict=True)))
+
+
 def unify_missing(df: DataFrame, col: str = "email") -> DataFrame:
     """Trim; empty, blank and any-case ``N/A`` become NULL."""
-    return df.withColumn(col, text.blank_to_null(F.col(col)))
+    return _replaced(df, [text.blank_to_null(F.col(col))], [col])
 
 
 def normalize_email(df: DataFrame, col: str = "email", flag: str = "email_valide") -> DataFrame:
     """Lower + trim, and a tri-state validity flag (NULL when NULL)."""
-    df = df.withColumn(col, F.lower(F.trim(F.col(col))))
-    return df.withColumn(flag, rules.email_valid(F.col(col)))
+    return _replaced(df, email_columns(F.col(col), col, flag), [col, flag])
 
 
 def normalize_city(df: DataFrame, col: str = "ville", key: str = "ville_norm") -> DataFrame:
-    """``initcap(trim)`` display form, then an accent-free lower key
-    computed from the new display form."""
-    df = df.withColumn(col, F.initcap(F.trim(F.col(col))))
-    return df.withColumn(key, text.fold_key(F.col(col)))
+    """``initcap(trim)`` display form, and an accent-free lower key of that form."""
+    return _replaced(df, city_columns(F.col(col), col, key), [col, key])
 
 
 def normalize_phone(df: DataFrame, col: str = "telephone", flag: str = "telephone_valide") -> DataFrame:
-    """C4: digits only, one leading 221 removed, then the mobile rule."""
-    df = df.withColumn(col, rules.phone_digits(F.col(col)))
-    return df.withColumn(flag, rules.phone_valid(F.col(col)))
+    """C4: digits only, one leading 221 removed, and the mobile rule."""
+    return _replaced(df, phone_columns(F.col(col), col, flag), [col, flag])
 
 
 def validate_birth_date(
     df: DataFrame, col: str = "date_naissance", as_of: str | _dt.date | None = None
 ) -> DataFrame:
     """A real ``yyyy-MM-dd`` day in [1920-01-01, as_of] (DATE), else NULL."""
-    return df.withColumn(col, rules.valid_birth_date(F.col(col), as_of))
+    return _replaced(df, [rules.valid_birth_date(F.col(col), as_of)], [col])
 
 
 def drop_exact_duplicates(df: DataFrame) -> DataFrame:
@@ -76,12 +96,12 @@ def dedup_customers(df: DataFrame, key: str = "customer_id") -> DataFrame:
 
 
 def clean_customers(df: DataFrame, as_of: str | _dt.date | None = None) -> DataFrame:
-    """C1 -> C2 -> C3 -> C4 -> C5 -> C6."""
-    return (
-        df.transform(unify_missing)
-        .transform(normalize_email)
-        .transform(normalize_city)
-        .transform(normalize_phone)
-        .transform(lambda d: validate_birth_date(d, as_of=as_of))
-        .transform(dedup_customers)
-    )
+    """All rules in one projection, then one row per customer."""
+    cleaned = [
+        *email_columns(text.blank_to_null(F.col("email"))),
+        *city_columns(F.col("ville")),
+        *phone_columns(F.col("telephone")),
+        rules.valid_birth_date(F.col("date_naissance"), as_of).alias("date_naissance"),
+    ]
+    names = ["email", "email_valide", "ville", "ville_norm", "telephone", "telephone_valide", "date_naissance"]
+    return dedup_customers(_replaced(df, cleaned, names))
