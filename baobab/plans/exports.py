@@ -1,36 +1,28 @@
 """File copies of stand-in inputs, for the queries that exercise the CSV,
 JSON and text sources.
 
-A copy is written once per (session, sf_dir, name) under the folder the
+A copy is written on every call, into a folder of its own under the one the
 cluster names in ``spark.checkpoint.dir`` (shared storage; a scratch folder
-only on a local master), then read back through :mod:`baobab.sources.files`
-by every query of the session.
+only on a local master), then read back through :mod:`baobab.sources.files`:
+two sessions never touch each other's copies, and a copy is never older than
+the tables.
 """
 
 from __future__ import annotations
 
-import hashlib
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 from baobab.session import ensure_checkpoint_dir
 
-_WRITTEN: dict[tuple[int, str], tuple[object, str]] = {}
-
 #: CSV writer options that keep values byte-for-byte (Spark trims on write
 #: by default).
 CSV_WRITE = {"header": "true", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 
 
-def export_once(spark: SparkSession, sf_dir: str, name: str, df: DataFrame, fmt: str, options: dict | None = None) -> str:
-    """Write ``df`` as ``fmt`` files once for this session and return the path."""
-    jsession = getattr(spark, "_jsparkSession", spark)
-    tag = hashlib.sha1(sf_dir.rstrip("/").encode()).hexdigest()[:12]
-    key = (id(jsession), f"{tag}/{name}.{fmt}")
-    hit = _WRITTEN.get(key)
-    if hit is not None and hit[0] is jsession:
-        return hit[1]
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/baobab-exports/{tag}/{name}.{fmt}"
-    df.write.mode("overwrite").options(**(options or {})).format(fmt).save(path)
-    _WRITTEN[key] = (jsession, path)
+def export(spark: SparkSession, name: str, df: DataFrame, fmt: str, options: dict | None = None) -> str:
+    """Write ``df`` as ``fmt`` files into a new folder and return its path."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/baobab-exports/{uuid.uuid4().hex}/{name}.{fmt}"
+    df.write.options(**(options or {})).format(fmt).save(path)
     return path

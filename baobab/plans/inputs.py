@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # --- Fixed values for the stand-in data --------------------------------------
-# City names in the reference's data set (accented and plain spellings).
+# City names of our own choice (accented and plain spellings).
 CITIES = [
     "Dakar", "Thiès", "Saint-Louis", "Kaolack", "Ziguinchor", "Touba", "Mbour", "Rufisque",
     "Louga", "Tambacounda", "Kédougou", "Diourbel", "Sédhiou", "Kolda", "Fatick", "Thies",
@@ -47,46 +47,10 @@ DRIVER_TABLES = (
 ).split()
 
 
-_SCANS: dict[tuple[int, str], tuple[object, DataFrame]] = {}
-
-
-def _memo(cache: dict, spark: SparkSession, name: str, make) -> DataFrame:
-    """Per-session memo.  The entry keeps the JVM session object it was
-    built for (so its id cannot be re-used by another session while cached)
-    and is re-built when the caller's session differs."""
-    jsession = getattr(spark, "_jsparkSession", spark)
-    key = (id(jsession), name)
-    hit = cache.get(key)
-    if hit is None or hit[0] is not jsession:
-        hit = cache[key] = (jsession, make())
-    return hit[1]
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Parquet scan of one driver table.
-
-    The scan DataFrame (file listing and footer schema, resolved on the
-    driver) is built once per session and path and re-used by every query
-    of the session; it stays lazy, so each query still reads the files.
-    """
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    return _memo(_SCANS, spark, path, lambda: spark.read.parquet(path))
-
-
-def _per_session(builder):
-    """Build a stand-in input once per (session, sf_dir).
-
-    The result is a lazy plan, not data: re-using it only saves the driver
-    from re-creating the same expressions for every query of a session.
-    """
-    built: dict[tuple[int, str], tuple[object, DataFrame]] = {}
-
-    def get(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return _memo(built, spark, sf_dir.rstrip("/"), lambda: builder(spark, sf_dir))
-
-    get.__name__ = builder.__name__
-    get.__doc__ = builder.__doc__
-    return get
+    """Parquet scan of one driver table, listed anew on every call: files added
+    to the folder are read."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _pick(values: list[str], index: Column) -> Column:
@@ -107,7 +71,6 @@ def _geo(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@_per_session
 def customers_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw customer records, nine strings, with the defects the cleaning
     operators handle: padded / upper / lower cities, blank and ``N/A``
@@ -193,7 +156,6 @@ def customers_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@_per_session
 def orders_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders with a text amount (about 1 % carry `` FCFA``, 1 % ``N/A``,
     1 % missing), two spellings of the delivered status, and a channel."""
@@ -226,7 +188,6 @@ def orders_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@_per_session
 def payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One payment per order: method from the order priority."""
     o = table(spark, sf_dir, "orders")
@@ -240,7 +201,6 @@ def payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@_per_session
 def items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines: quantity and an integral unit price."""
     li = table(spark, sf_dir, "lineitem")
@@ -255,7 +215,6 @@ def items(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@_per_session
 def products(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = table(spark, sf_dir, "part")
     return p.select(
@@ -266,7 +225,6 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@_per_session
 def customers_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clean customer dimension: one row per key, city and region."""
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
@@ -279,7 +237,6 @@ def customers_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@_per_session
 def clients_partial(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A broken customer extract: 1 in 500 keys missing (orphans on the
     order side) and 1 in 50 keys present twice (fan-out)."""
@@ -292,7 +249,6 @@ def clients_partial(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dim.drop("_copy")
 
 
-@_per_session
 def web_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Web events: a session per user and day (1 in 29 events anonymous),
     funnel event names, a device, a city, and an order id on purchases."""

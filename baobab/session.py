@@ -66,8 +66,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     A scratch folder is created only for a ``local`` master with the
     setting unset (tests, benchmarks); on a cluster an unset setting is an
     error rather than a silent machine-local folder that other executors
-    cannot read.  No registered query needs a lineage cut today; jobs that
-    do should call this and then ``DataFrame.checkpoint()``.
+    cannot read.  Jobs that cut their lineage call this and then
+    ``DataFrame.checkpoint()``.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()

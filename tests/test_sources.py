@@ -74,13 +74,31 @@ def test_csv_failfast_and_whole_text(spark, tmp_dir):
     assert len(whole) == 1 and whole[0].value == "line one\nline two\n"
 
 
-def test_export_written_once_per_session(spark):
+def test_exports_have_folders_of_their_own(spark):
     from baobab.plans import exports
 
     df = spark.createDataFrame([(1, "a")], "k long, v string")
-    p1 = exports.export_once(spark, "/some/sf", "t_once", df, "json")
-    p2 = exports.export_once(spark, "/some/sf", "t_once", spark.createDataFrame([(2, "b")], "k long, v string"), "json")
-    assert p1 == p2 and p1.startswith(spark.sparkContext.getCheckpointDir())
-    assert [r.k for r in read_json(spark, p1, schema="k long, v string").collect()] == [1]
-    other = exports.export_once(spark, "/other/sf", "t_once", df, "json")
-    assert other != p1
+    first, second = (exports.export(spark, "t", df, "json") for _ in range(2))
+    assert first != second and first.startswith(spark.sparkContext.getCheckpointDir())
+    assert [r.k for r in read_json(spark, first, schema="k long, v string").collect()] == [1]
+
+
+def test_files_added_later_are_read(spark, tmp_dir):
+    from baobab.plans import inputs
+
+    spark.range(3).write.parquet(f"{tmp_dir}/orders.parquet")
+    assert inputs.table(spark, tmp_dir, "orders").count() == 3
+    spark.range(2).write.mode("append").parquet(f"{tmp_dir}/orders.parquet")
+    assert inputs.table(spark, tmp_dir, "orders").count() == 5
+
+
+def test_queries_leave_the_callers_settings(spark):
+    import __spark_entry__ as entry
+
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "512m")
+        entry.queries()["revenue_by_status"](spark, "/root/testdata/sf0.001")
+        assert spark.conf.get("spark.sql.files.maxPartitionBytes") == "512m"
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
