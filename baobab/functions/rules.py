@@ -82,6 +82,12 @@ def amount_is_polluted(raw: Column) -> Column:
     return ~raw.rlike(AMOUNT_CLEAN_PATTERN)
 
 
+def amount_is_suspect(raw: Column) -> Column:
+    """True when the digits of a raw amount are not its value: a minus sign
+    before them, or a point or comma between them."""
+    return raw.rlike(r"-\s*[0-9]|[0-9][.,][0-9]")
+
+
 def pct(numerator: Column, denominator: Column, digits: int = 1) -> Column:
     """Rounded percentage as double; NULL when the denominator is 0 or NULL."""
     ratio = F.try_divide(numerator.cast("double") * F.lit(100.0), denominator.cast("double"))

@@ -35,10 +35,11 @@ def _keyed(left: DataFrame, right: DataFrame, key: str, amount: str | None = Non
 
 
 def partition_test(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    """``n_semi + n_anti = n_left`` always holds for a real semi
-    join; ``n_inner - n_semi`` is the fan-out an inner join adds when the
-    right side repeats keys.  One row:
-    (n_left, n_semi, n_anti, n_inner, fan_out, partition_ok).
+    """``n_semi + n_anti = n_left`` holds for any real semi join;
+    ``n_inner - n_semi`` is the fan-out an inner join adds when the right side
+    repeats keys, and ``inner_ok`` is the check that can fail: whether matched
+    and unmatched rows of the inner join add up to the left side.  One row:
+    (n_left, n_semi, n_anti, n_inner, fan_out, partition_ok, inner_ok).
     """
     j = _keyed(left, right, key)
     n, matched_ = F.col("_n"), F.col("_mult").isNotNull()
@@ -52,6 +53,7 @@ def partition_test(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
         "n_left", "n_semi", "n_anti", "n_inner",
         (F.col("n_inner") - F.col("n_semi")).alias("fan_out"),
         ((F.col("n_semi") + F.col("n_anti")) == F.col("n_left")).alias("partition_ok"),
+        ((F.col("n_inner") + F.col("n_anti")) == F.col("n_left")).alias("inner_ok"),
     )
 
 
@@ -94,8 +96,11 @@ def duplicate_keys(df: DataFrame, key: str) -> DataFrame:
 
 def orphans(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """Left rows whose key has no match on the right (anti join;
-    a LEFT JOIN + IS NULL would keep an outer join and a filter)."""
-    return left.join(distinct_keys(right, key), key, "left_anti")
+    a LEFT JOIN + IS NULL would keep an outer join and a filter).
+
+    The right side is its plain key column: with an aggregate between shuffle and
+    join Spark could not split a key that holds a large share of the left rows."""
+    return left.join(right.select(key).where(F.col(key).isNotNull()), key, "left_anti")
 
 
 def distinct_keys(df: DataFrame, key: str) -> DataFrame:
@@ -110,7 +115,7 @@ def distinct_keys(df: DataFrame, key: str) -> DataFrame:
 
 def matched(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """Left rows with at least one match, each once (semi join)."""
-    return left.join(distinct_keys(right, key), key, "left_semi")
+    return left.join(right.select(key).where(F.col(key).isNotNull()), key, "left_semi")
 
 
 def orphan_summary(left: DataFrame, right: DataFrame, key: str, amount: str) -> DataFrame:
@@ -130,12 +135,10 @@ def orphan_summary(left: DataFrame, right: DataFrame, key: str, amount: str) ->
 
 
 def orphans_by_month(left: DataFrame, right: DataFrame, key: str, date_col: str) -> DataFrame:
-    """Orphan count per ``yyyy-MM``."""
-    return (
-        orphans(left, right, key)
-        .groupBy(F.date_format(F.col(date_col), "yyyy-MM").alias("mois"))
-        .agg(F.count("*").alias("n"))
-    )
+    """Orphan count per ``yyyy-MM``; the left side is counted per key and
+    month before the join, so a key of any size is a few rows there."""
+    per = left.groupBy(key, F.date_format(F.col(date_col), "yyyy-MM").alias("mois")).agg(F.count("*").alias("n"))
+    return per.join(key_multiplicity(right, key), key, "left_anti").groupBy("mois").agg(F.sum("n").alias("n"))
 
 
 def not_in_count(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
@@ -144,24 +147,21 @@ def not_in_count(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
 
     SQL three-valued logic: one NULL key on the right makes NOT IN unknown
     for every row (0 rows); a NULL key on the left is kept only when the
-    right side is empty.  Written as a plain anti join plus one-row
-    statistics, it avoids the nested-loop plan Spark uses for a null-aware
-    anti join whose right side is too large to broadcast.
+    right side is empty.  Rows per key, NULL keys and matches of the left side
+    come from one key-to-key join (one scan), the NULL statistics of the right
+    side from one row, so there is no nested loop as Spark plans it for a
+    null-aware anti join whose right side is too large to broadcast.
     """
-    anti_nonnull = (
-        left.filter(F.col(key).isNotNull())
-        .join(distinct_keys(right, key), key, "left_anti")
-        .agg(F.count("*").alias("a"))
-        .select(F.col("a"), F.lit(0).cast("bigint").alias("l_null"), F.lit(0).cast("bigint").alias("r_null"), F.lit(0).cast("bigint").alias("r_rows"))
-    )
-    left_null = left.agg(F.count_if(F.col(key).isNull()).alias("l_null")).select(
-        F.lit(0).cast("bigint").alias("a"), "l_null", F.lit(0).cast("bigint").alias("r_null"), F.lit(0).cast("bigint").alias("r_rows")
+    n, zero = F.col("_n"), F.lit(0).cast("bigint")
+    kept = _keyed(left, right, key).agg(
+        F.coalesce(F.sum(F.when(F.col(key).isNotNull() & F.col("_mult").isNull(), n)), zero).alias("a"),
+        F.coalesce(F.sum(F.when(F.col(key).isNull(), n)), zero).alias("l_null"),
     )
-    right_stats = right.agg(
-        F.count_if(F.col(key).isNull()).alias("r_null"), F.count("*").alias("r_rows")
-    ).select(F.lit(0).cast("bigint").alias("a"), F.lit(0).cast("bigint").alias("l_null"), "r_null", "r_rows")
-    s = anti_nonnull.unionByName(left_null).unionByName(right_stats).agg(
-        F.sum("a").alias("a"), F.sum("l_null").alias("l_null"), F.sum("r_null").alias("r_null"), F.sum("r_rows").alias("r_rows")
+    stats = right.agg(F.count_if(F.col(key).isNull()).alias("r_null"), F.count("*").alias("r_rows"))
+    s = (
+        kept.select("a", "l_null", zero.alias("r_null"), zero.alias("r_rows"))
+        .unionByName(stats.select(zero.alias("a"), zero.alias("l_null"), "r_null", "r_rows"))
+        .agg(*(F.sum(c).alias(c) for c in ("a", "l_null", "r_null", "r_rows")))
     )
     n_not_in = (
         F.when(F.col("r_rows") == 0, F.col("a") + F.col("l_null"))
@@ -180,11 +180,10 @@ def unused_keys(dim: DataFrame, facts: DataFrame, key: str) -> DataFrame:
 def unknown_references(events: DataFrame, facts: DataFrame, key: str, event_filter=None) -> DataFrame:
     """Among (filtered) events, how many point to an unknown fact key."""
     ev = events if event_filter is None else events.filter(event_filter)
-    m = key_multiplicity(facts, key).select(key, F.lit(True).alias("_known"))
-    j = ev.select(key).join(m, key, "left")
-    return j.agg(
-        F.count("*").alias("n_events"),
-        F.count_if(F.col("_known").isNull()).alias("n_unknown"),
+    n, zero = F.col("_n"), F.lit(0)
+    return _keyed(ev.select(key), facts, key).agg(
+        F.coalesce(F.sum(n), zero).cast("bigint").alias("n_events"),
+        F.coalesce(F.sum(F.when(F.col("_mult").isNull(), n)), zero).cast("bigint").alias("n_unknown"),
     )
 
 
@@ -211,4 +210,5 @@ def join_audit(left: DataFrame, right: DataFrame, key: str, amount: str) -> Data
         (F.col("n_inner") - F.col("n_semi")).alias("fan_out"),
         F.round(F.try_divide(F.col("n_anti") * F.lit(100.0), F.col("n_left")), 3).alias("part_orphelines_pct"),
         ((F.col("n_semi") + F.col("n_anti")) == F.col("n_left")).alias("partition_ok"),
+        ((F.col("n_inner") + F.col("n_anti")) == F.col("n_left")).alias("inner_ok"),
     )

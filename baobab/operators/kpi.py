@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from baobab.functions import rules, text
-from baobab.operators import joins, quality
+from baobab.operators import quality
 
 AMOUNT = "montant_fcfa"
 
@@ -169,8 +169,9 @@ def grouped_payment_share(payments: DataFrame, methods: Sequence[str] = rules.MO
 
 
 def with_payment(orders: DataFrame, payments: DataFrame, method: str = "methode") -> DataFrame:
-    """Orders with their payment method (1:1 on order id)."""
-    return orders.join(payments.select("order_id", method), "order_id", "left")
+    """Orders with each of their payment methods: an order paid with several
+    methods is a row for each, one paid twice with the same method is one row."""
+    return orders.join(payments.select("order_id", method).distinct(), "order_id", "left")
 
 
 def basket_by_payment(orders: DataFrame, payments: DataFrame, method: str = "methode") -> DataFrame:
@@ -248,7 +249,7 @@ def revenue_by_region(orders: DataFrame, customers: DataFrame, group: str | Sequ
 
 def delivered_line_revenue(items: DataFrame, orders: DataFrame, by: Sequence[str] = ("product_id",), order_attrs: DataFrame | None = None) -> DataFrame:
     """Revenue ``sum(quantite * prix_unitaire_fcfa)`` of delivered order lines,
-    aggregated by ``by`` (columns of the lines or of ``order_attrs``).
+    and number of lines, aggregated by ``by`` (columns of the lines or of ``order_attrs``).
 
     ``order_attrs`` (one row per order id) adds order-level attributes such
     as the region; it replaces the delivered orders when given and must be
@@ -262,19 +263,19 @@ def delivered_line_revenue(items: DataFrame, orders: DataFrame, by: Sequence[str
         "order_id", *item_cols, (F.col("quantite") * F.col("prix_unitaire_fcfa")).alias("_ca")
     )
     lines = amounts.join(keys, "order_id")
-    return lines.groupBy(*by).agg(F.sum("_ca").alias("ca"))
+    return lines.groupBy(*by).agg(F.sum("_ca").alias("ca"), F.count("*").alias("nb"))
 
 
 def top_products(items: DataFrame, orders: DataFrame, customers: DataFrame, products: DataFrame, k: int = 10) -> DataFrame:
     """Top ``k`` products (category, name) by delivered line revenue,
     over lines -> orders -> customers -> products.
 
-    Orders without a known customer are dropped (semi join, so duplicate
-    customer rows cannot multiply lines); revenue is aggregated per product
-    id before the product join.
+    An inner join on the customer, as in :func:`revenue_by` and
+    :func:`revenue_by_region`: orders without a known customer are dropped, and
+    an order counts once for every row of its customer.  Revenue is aggregated
+    per product id before the product join.
     """
-    dlv = delivered(orders).select("order_id", "customer_id")
-    known = dlv.join(joins.distinct_keys(customers, "customer_id"), "customer_id", "left_semi").select("order_id")
+    known = orders_with(orders, customers, ())
     per_product = delivered_line_revenue(items, orders, ("product_id",), known)
     named = per_product.join(products.select("product_id", "categorie", "nom_produit"), "product_id")
     agg = named.groupBy("categorie", "nom_produit").agg(F.sum("ca").alias("ca"))
@@ -289,25 +290,37 @@ def orders_with(orders: DataFrame, customers: DataFrame, attrs: Sequence[str]) -
 
 
 def revenue_by(items: DataFrame, orders: DataFrame, customers: DataFrame, products: DataFrame, customer_attrs: Sequence[str] = (), product_attrs: Sequence[str] = ()) -> DataFrame:
-    """Delivered line revenue by any customer and product attributes.
+    """Delivered line revenue (``ca_fcfa``) and number of sold lines
+    (``nb_ventes``) by any customer and product attributes.
 
-    Lines join delivered orders (with the customer attributes), are reduced
-    per (attributes, product id), and only then meet the product table.
+    Lines join delivered orders, are reduced per (attributes, product id), and
+    only then meet the product table.  The customer table is joined for its
+    attributes alone: without any, orders of unknown customers count too.
     """
-    attrs = orders_with(orders, customers, customer_attrs)
+    attrs = orders_with(orders, customers, customer_attrs) if customer_attrs else None
     per = delivered_line_revenue(items, orders, (*customer_attrs, "product_id"), attrs)
     if product_attrs:
         per = per.join(products.select("product_id", *product_attrs), "product_id")
-    return per.groupBy(*customer_attrs, *product_attrs).agg(F.sum("ca").alias("ca_fcfa"))
+    return per.groupBy(*customer_attrs, *product_attrs).agg(
+        F.sum("ca").alias("ca_fcfa"), F.sum("nb").alias("nb_ventes")
+    )
 
 
 def share_by_category(items: DataFrame, orders: DataFrame, payments: DataFrame, products: DataFrame, methods: Sequence[str] = rules.MOBILE_MONEY, method: str = "methode") -> DataFrame:
     """Delivered line revenue per category and the share (%) paid with
-    ``methods``."""
-    paid = delivered(orders).select("order_id").join(payments.select("order_id", method), "order_id", "left")
-    mm = F.col(method).isin(list(methods))
-    paid = paid.select("order_id", F.coalesce(mm, F.lit(False)).alias("_mm"))
-    per = delivered_line_revenue(items, orders, ("product_id", "_mm"), paid)
+    ``methods``.
+
+    An order is paid with ``methods`` if any of its payments is, so that a split
+    payment counts its lines once.  Lines are summed per (order, product) and
+    payments per order before they meet: an order that holds a large share of
+    the lines is a few rows then, and the join has nothing to split.
+    """
+    hit = F.max(F.coalesce(F.col(method).isin(list(methods)), F.lit(False)))
+    flags = payments.groupBy("order_id").agg(hit.alias("_mm"))
+    amount = F.sum(F.col("quantite") * F.col("prix_unitaire_fcfa"))
+    lines = items.groupBy("order_id", "product_id").agg(amount.alias("_ca"))
+    paid = lines.join(delivered(orders).select("order_id"), "order_id").join(flags, "order_id", "left")
+    per = paid.groupBy("product_id", F.coalesce("_mm", F.lit(False)).alias("_mm")).agg(F.sum("_ca").alias("ca"))
     per = per.join(products.select("product_id", "categorie"), "product_id")
     agg = per.groupBy("categorie").agg(
         F.sum("ca").alias("ca_total_fcfa"),

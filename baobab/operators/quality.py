@@ -169,10 +169,10 @@ def amount_validation(df: DataFrame, amount_col: str = "montant_fcfa") -> DataFr
     a = F.col(amount_col)
     return df.agg(
         F.count("*").alias("nb_lignes"),
-        F.count(a).alias("nb_castes"),
+        F.count(a).alias("nb_valides"),
         (F.count("*") - F.count(a)).alias("nb_null"),
-        F.min(a).alias("mini"),
-        F.max(a).alias("maxi"),
+        F.min(a).alias("montant_min"),
+        F.max(a).alias("montant_max"),
         F.sum(a).alias("ca_total"),
     )
 
@@ -199,10 +199,10 @@ def amount_report(df: DataFrame, raw_col: str = "montant_total_fcfa") -> DataFra
         F.count("*").alias("nb_lignes"),
         F.count_if(bad).alias("n_polluted"),
         F.count_if(raw.isNull()).alias("n_raw_null"),
-        F.count(clean).alias("nb_castes"),
+        F.count(clean).alias("nb_valides"),
         (F.count("*") - F.count(clean)).alias("nb_null"),
-        F.min(clean).alias("mini"),
-        F.max(clean).alias("maxi"),
+        F.min(clean).alias("montant_min"),
+        F.max(clean).alias("montant_max"),
         F.sum(clean).alias("ca_nettoye"),
         F.sum(rules.amount_naive(raw)).alias("ca_naif"),
     )
@@ -232,17 +232,28 @@ def before_after(raw: DataFrame, clean: DataFrame, city_raw: str = "ville", city
     return j.select("metric", "before", "after", delta.alias("delta"), rules.pct(delta, F.col("before"), 2).alias("delta_pct"))
 
 
-def measure_registry(measures: dict[str, DataFrame]) -> DataFrame:
-    """Named one-value measures as rows (metric, value, missing).
+def measure_registry(frames: Sequence[tuple[DataFrame, dict[str, str]]]) -> DataFrame:
+    """Named measures as rows (metric, value, missing).
 
-    Each input is a one-row, one-column frame; a measure that is NULL is
-    flagged so the report lists what is still unset.
+    Each entry is a frame of at most one row and the measures to take from it
+    (metric name -> column).  A measure that is NULL or whose frame has no row is
+    flagged, so the report lists what is still unset; every frame is evaluated
+    once, however many measures it gives.
     """
-    parts = [
-        frame.select(F.lit(name).alias("metric"), F.col(frame.columns[0]).cast("double").alias("value"))
-        for name, frame in measures.items()
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+    out = None
+    for frame, measures in frames:
+        one = frame.agg(*(F.max(F.col(c)).cast("double").alias(name) for name, c in measures.items()))
+        part = _long(one, list(measures))
+        out = part if out is None else out.unionByName(part)
     return out.withColumn("missing", F.col("value").isNull())
+
+
+def head_sample(df: DataFrame, order: Sequence[str], n: int = 5) -> DataFrame:
+    """The first ``n`` rows by ``order`` (the sample is the feature)."""
+    return df.orderBy(*order).limit(n)
+
+
+def suspect_amounts(df: DataFrame, raw_col: str = "montant_total_fcfa") -> DataFrame:
+    """Flag raw amounts that lose a sign or a decimal mark in cleaning
+    (``-1500`` becomes 1500, ``12.75`` becomes 1275).  NULL stays unflagged."""
+    return df.withColumn("montant_suspect", F.coalesce(rules.amount_is_suspect(F.col(raw_col)), F.lit(False)))

@@ -12,9 +12,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from baobab.functions import rules
 from baobab.operators import cleaning, funnel, joins, kpi, quality, ranking, text
-from baobab.plans import exports, inputs
+from baobab.plans import exports, inputs, views
 from baobab.sources import files
+from baobab.sources.catalog import create_view_as
 
 # --- Fixed query parameters ----------------------------------------------------
 AS_OF = "2026-01-01"          # upper bound for birth dates (fixed, not "today")
@@ -68,17 +70,17 @@ class Inputs:
 
     # file copies of the stand-in inputs
     def orders_csv_path(self) -> str:
-        return exports.export_once(self.spark, self.sf_dir, "orders", self.orders_raw(), "csv", exports.CSV_WRITE)
+        return exports.export(self.spark, "orders", self.orders_raw(), "csv", exports.CSV_WRITE)
 
     def customers_csv_path(self) -> str:
-        return exports.export_once(self.spark, self.sf_dir, "customers", self.customers_raw(), "csv", exports.CSV_WRITE)
+        return exports.export(self.spark, "customers", self.customers_raw(), "csv", exports.CSV_WRITE)
 
     def events_json_path(self) -> str:
-        return exports.export_once(self.spark, self.sf_dir, "events", self.events(), "json")
+        return exports.export(self.spark, "events", self.events(), "json")
 
     def documents_text_path(self) -> str:
         texts = self.documents().select("text").filter(F.col("text").isNotNull())
-        return exports.export_once(self.spark, self.sf_dir, "documents", texts, "text")
+        return exports.export(self.spark, "documents", texts, "text")
 
 
 _REGISTRY: dict[str, Query] = {}
@@ -177,7 +179,19 @@ def _exact_duplicates(i: Inputs) -> DataFrame:
 @query("table_profile")
 def _table_profile(i: Inputs) -> DataFrame:
     """Per-column shape of raw orders."""
-    return quality.table_profile(i.orders_raw()).drop("data_type")
+    return quality.table_profile(i.orders_raw())
+
+
+@query("orders_head")
+def _orders_head(i: Inputs) -> DataFrame:
+    """The first five raw orders (the sample is the feature)."""
+    return quality.head_sample(i.orders_raw(), ["order_id"], 5)
+
+
+@query("drop_duplicates")
+def _drop_duplicates(i: Inputs) -> DataFrame:
+    """D3: raw customers without exact copies."""
+    return cleaning.drop_exact_duplicates(i.customers_raw())
 
 
 @query("value_counts")
@@ -207,6 +221,20 @@ def _amount_clean(i: Inputs) -> DataFrame:
     return i.orders().select("order_id", "montant_raw", "montant_fcfa")
 
 
+@query("amount_strict")
+def _amount_strict(i: Inputs) -> DataFrame:
+    """Strict cast of the amounts that are digits only (it raises on any other)."""
+    digits = i.orders_raw().where(~rules.amount_is_polluted(F.col("montant_total_fcfa")))
+    return quality.clean_amounts(digits, strict=True).select("order_id", "montant_fcfa")
+
+
+@query("amount_suspects")
+def _amount_suspects(i: Inputs) -> DataFrame:
+    """Raw amounts that lose a sign or a decimal mark in cleaning, counted."""
+    flagged = quality.suspect_amounts(i.orders_raw())
+    return flagged.groupBy("montant_suspect").agg(F.count("*").alias("n"))
+
+
 @query("amount_validation")
 def _amount_validation(i: Inputs) -> DataFrame:
     """C14: cleaning validation."""
@@ -357,6 +385,12 @@ def _revenue_by_city(i: Inputs) -> DataFrame:
     return kpi.revenue_by_region(i.orders(), i.customers(), "ville")
 
 
+@query("region_report")
+def _region_report(i: Inputs) -> DataFrame:
+    """C22 + O1: delivered revenue per region, dearest first, fully ordered."""
+    return kpi.revenue_by_region(i.orders(), i.customers(), "region").orderBy(F.desc("ca_fcfa"), "region")
+
+
 @query("revenue_city_total")
 def _revenue_city_total(i: Inputs) -> DataFrame:
     """Aggregate of an aggregate (total of the per-city revenue)."""
@@ -370,10 +404,17 @@ def _top_products(i: Inputs) -> DataFrame:
     return kpi.top_products(i.items(), i.orders(), i.customers(), i.products(), 10)
 
 
+@query("top_products_partial")
+def _top_products_partial(i: Inputs) -> DataFrame:
+    """C23 over the broken customer extract: unknown customers drop their
+    orders, repeated ones multiply them, as an inner join does."""
+    return kpi.top_products(i.items(), i.orders(), i.clients_partial(), i.products(), 10)
+
+
 @query("top3_per_region")
 def _top3_per_region(i: Inputs) -> DataFrame:
     """Top 3 products per region by delivered line revenue."""
-    per = kpi.revenue_by(i.items(), i.orders(), i.customers(), i.products(), ("region",), ("nom_produit",))
+    per = kpi.revenue_by(i.items(), i.orders(), i.customers(), i.products(), ("region",), ("nom_produit",)).drop("nb_ventes")
     return ranking.top_n_per_group(per, ["region"], "ca_fcfa", 3, ["nom_produit"])
 
 
@@ -391,14 +432,15 @@ def _revenue_city_category(i: Inputs) -> DataFrame:
 
 @query("revenue_by_category")
 def _revenue_by_category(i: Inputs) -> DataFrame:
-    """Delivered line revenue per category."""
-    return kpi.revenue_by(i.items(), i.orders(), i.customers(), i.products(), (), ("categorie",))
+    """Delivered line revenue and sales per category; the (broken) customer extract plays no part."""
+    return kpi.revenue_by(i.items(), i.orders(), i.clients_partial(), i.products(), (), ("categorie",))
 
 
 @query("revenue_by_product")
 def _revenue_by_product(i: Inputs) -> DataFrame:
-    """Delivered line revenue per product."""
-    return kpi.revenue_by(i.items(), i.orders(), i.customers(), i.products(), (), ("product_id", "nom_produit"))
+    """Delivered line revenue and sales per product with its category."""
+    attrs = ("product_id", "nom_produit", "categorie")
+    return kpi.revenue_by(i.items(), i.orders(), i.clients_partial(), i.products(), (), attrs)
 
 
 @query("revenue_by_customer")
@@ -475,6 +517,13 @@ def _not_in_anti(i: Inputs) -> DataFrame:
     return joins.not_in_count(i.orders(), i.clients_partial(), "customer_id")
 
 
+@query("not_in_null_key")
+def _not_in_null_key(i: Inputs) -> DataFrame:
+    """NOT IN against raw customer ids, some of which are NULL: no row qualifies."""
+    ids = i.customers_raw().select(F.col("customer_id").cast("bigint").alias("customer_id"))
+    return joins.not_in_count(i.orders(), ids, "customer_id")
+
+
 @query("unused_customers")
 def _unused_customers(i: Inputs) -> DataFrame:
     """Customers without an order since a day."""
@@ -597,6 +646,12 @@ def _json_funnel(i: Inputs) -> DataFrame:
     return funnel.funnel_counts(files.read_json(i.spark, i.events_json_path(), schema=EVENTS_SCHEMA))
 
 
+@query("json_funnel_inferred")
+def _json_funnel_inferred(i: Inputs) -> DataFrame:
+    """S4 + C29: web events read from JSON Lines with inferred types, then the funnel."""
+    return funnel.funnel_counts(files.read_json(i.spark, i.events_json_path()))
+
+
 @query("text_word_count")
 def _text_word_count(i: Inputs) -> DataFrame:
     """S5 + C11: every document's text read back as text lines, word count."""
@@ -610,17 +665,91 @@ def _text_word_count(i: Inputs) -> DataFrame:
 def _measure_registry(i: Inputs) -> DataFrame:
     """Named measures with a missing-entry flag."""
     orders = i.orders()
-    val = quality.amount_validation(orders)
     part = joins.partition_test(orders, i.clients_partial(), "customer_id")
-    fun = funnel.funnel_counts(i.events())
     return quality.measure_registry(
-        {
-            "nb_commandes": val.select("nb_lignes"),
-            "ca_nettoye": val.select("ca_total"),
-            "nb_orphelines": part.select("n_anti"),
-            "fan_out": part.select("fan_out"),
-            "sessions": fun.select("sessions"),
-            "achats": fun.select("achats"),
-            "record_month_ca": kpi.record_month(orders).select("ca_fcfa"),
-        }
+        [
+            (quality.amount_validation(orders), {"nb_commandes": "nb_lignes", "ca_nettoye": "ca_total"}),
+            (part, {"nb_orphelines": "n_anti", "fan_out": "fan_out"}),
+            (funnel.funnel_counts(i.events()), {"sessions": "sessions", "achats": "achats"}),
+            (kpi.record_month(orders), {"record_month_ca": "ca_fcfa"}),
+        ]
+    )
+
+
+# --- SQL entry point (V1, V2, S9, P4, P6, A15) -----------------------------------------
+
+
+def _sql(i: Inputs, statement: str) -> DataFrame:
+    """Run SQL over the session's commerce views."""
+    views.register_commerce_views(i.spark, i.sf_dir, as_of=AS_OF)
+    return i.spark.sql(statement)
+
+
+@query("sql_status_report")
+def _sql_status_report(i: Inputs) -> DataFrame:
+    """V1 + A15: orders per status and channel, grouped by ordinals."""
+    return _sql(
+        i,
+        """SELECT statut_norm, canal, count(*) AS commandes, sum(frais_livraison_fcfa) AS frais
+           FROM commandes_clean GROUP BY 1, 2""",
+    )
+
+
+@query("sql_delivery_fees")
+def _sql_delivery_fees(i: Inputs) -> DataFrame:
+    """V2 + P4 + S9: a view of all order columns with the customer's city, read as a table."""
+    views.register_commerce_views(i.spark, i.sf_dir, as_of=AS_OF)
+    joined = create_view_as(
+        i.spark,
+        "commandes_localisees",
+        "SELECT cmd.*, cli.ville FROM clients cli JOIN commandes_clean cmd USING (customer_id)",
+    )
+    return joined.groupBy("ville").agg(F.sum("frais_livraison_fcfa").alias("frais"), F.max("date_commande").alias("derniere"))
+
+
+@query("sql_monthly_orders")
+def _sql_monthly_orders(i: Inputs) -> DataFrame:
+    """V2 + W3: orders per month as a view, and the change against the month before."""
+    views.register_commerce_views(i.spark, i.sf_dir, as_of=AS_OF)
+    create_view_as(
+        i.spark,
+        "volumes_mois",
+        "SELECT date_format(date_commande, 'yyyy-MM') AS periode, count(*) AS volume FROM commandes GROUP BY periode",
+    )
+    return i.spark.sql(
+        "SELECT periode, volume, volume - lag(volume) OVER (ORDER BY periode) AS ecart FROM volumes_mois"
+    )
+
+
+@query("sql_dearest_products")
+def _sql_dearest_products(i: Inputs) -> DataFrame:
+    """P6 + W2: the two dearest products of every category, from a derived table."""
+    return _sql(
+        i,
+        """SELECT d.categorie, d.nom_produit, d.place FROM (
+             SELECT categorie, nom_produit,
+                    row_number() OVER (PARTITION BY categorie ORDER BY prix_unitaire_fcfa DESC, product_id) AS place
+             FROM produits) d
+           WHERE d.place < 3""",
+    )
+
+
+@query("sql_repeated_clients")
+def _sql_repeated_clients(i: Inputs) -> DataFrame:
+    """Cities of the broken extract with repeated customers (HAVING)."""
+    return _sql(
+        i,
+        """SELECT ville, count(customer_id) - count(DISTINCT customer_id) AS en_trop FROM clients_partiels
+           GROUP BY ville HAVING count(customer_id) > count(DISTINCT customer_id)""",
+    )
+
+
+@query("sql_orphan_fees")
+def _sql_orphan_fees(i: Inputs) -> DataFrame:
+    """Orders of unknown customers per channel, as an outer join and IS NULL."""
+    return _sql(
+        i,
+        """SELECT cmd.canal, count(*) AS commandes, sum(cmd.frais_livraison_fcfa) AS frais
+           FROM commandes cmd LEFT OUTER JOIN clients_partiels cli USING (customer_id)
+           WHERE cli.nom IS NULL GROUP BY cmd.canal""",
     )

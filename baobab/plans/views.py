@@ -1,4 +1,4 @@
-"""SQL entry point: the course's tables as session temp views.
+"""SQL entry point: the commerce tables as session temp views.
 
 ``register_commerce_views`` puts the inputs and the library's cleaned
 frames in the session catalog under the names SQL users query

@@ -2,9 +2,10 @@
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
-from baobab.operators import funnel, kpi, quality, ranking
+from baobab.operators import cleaning, funnel, kpi, quality, ranking
 
 EV = ["session_id", "event_type", "device"]
 
@@ -63,7 +64,7 @@ def test_amount_cleaning_and_gap(spark):
     p = quality.amount_polluted(raw).first()
     assert (p.n_polluted, p.n_null, p.n_distinct_polluted) == (3, 1, 3)
     v = quality.amount_validation(quality.clean_amounts(raw)).first()
-    assert (v.nb_lignes, v.nb_castes, v.nb_null, v.mini, v.maxi, v.ca_total) == (5, 3, 2, 300, 2500, 3800)
+    assert (v.nb_lignes, v.nb_valides, v.nb_null, v.montant_min, v.montant_max, v.ca_total) == (5, 3, 2, 300, 2500, 3800)
     g = quality.amount_gap(raw).first()
     # a tolerant cast trims spaces: " 300 " counts in the naive sum
     assert (g.ca_naif, g.ca_nettoye, g.ecart_fcfa) == (1300, 3800, 2500)
@@ -86,8 +87,73 @@ def test_profiles(spark):
     tp = {r.column_name: (r.position, r.data_type, r.n_null) for r in quality.table_profile(df).collect()}
     assert tp["email"] == (2, "string", 1)
     assert quality.exact_duplicate_count(df).first().n_exact_duplicates == 1
-    reg = quality.measure_registry({"a": df.agg(F.count("*")), "b": df.agg(F.max(F.lit(None).cast("int")))})
-    assert {r.metric: r.missing for r in reg.collect()} == {"a": False, "b": True}
+    one = df.agg(F.count("*").alias("n"), F.max(F.lit(None).cast("int")).alias("m"))
+    none = df.limit(0).select("customer_id")
+    reg = quality.measure_registry([(one, {"a": "n", "b": "m"}), (none, {"c": "customer_id"})])
+    assert {r.metric: r.missing for r in reg.collect()} == {"a": False, "b": True, "c": True}
+
+
+def test_registry_on_empty_orders(spark):
+    schema = "order_id long, customer_id long, statut string, canal string, montant_total_fcfa string, date_commande timestamp_ntz"
+    orders = kpi.prepare_orders(spark.createDataFrame([], schema))
+    frames = [
+        (quality.amount_validation(orders), {"nb": "nb_lignes", "ca": "ca_total"}),
+        (kpi.record_month(orders), {"record": "ca_fcfa"}),
+    ]
+    got = {r.metric: (r.value, r.missing) for r in quality.measure_registry(frames).collect()}
+    assert got == {"nb": (0.0, False), "ca": (None, True), "record": (None, True)}
+
+
+def test_strict_cast_suspects_and_full_row_dedup(spark):
+    raw = ["-1500", "12.75", "1 200,50", "900", "800 FCFA", "N/A", None]
+    df = spark.createDataFrame([(x,) for x in raw], "montant_total_fcfa string")
+    flags = {r.montant_total_fcfa: r.montant_suspect for r in quality.suspect_amounts(df).collect()}
+    assert flags == {"-1500": True, "12.75": True, "1 200,50": True, "900": False, "800 FCFA": False, "N/A": False, None: False}
+    good = quality.clean_amounts(df.where("montant_total_fcfa in ('900', '-1500')"), strict=True)
+    assert sorted(r.montant_fcfa for r in good.collect()) == [900, 1500]
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        quality.clean_amounts(df.where("montant_total_fcfa = 'N/A'"), strict=True).collect()
+    twice = spark.createDataFrame([(1, "a"), (1, "a"), (1, None), (1, None)], "k int, v string")
+    assert sorted((r.k, r.v or "") for r in cleaning.drop_exact_duplicates(twice).collect()) == [(1, ""), (1, "a")]
+    assert [r.k for r in quality.head_sample(spark.range(9).toDF("k"), ["k"], 3).collect()] == [0, 1, 2]
+
+
+def test_category_revenue_of_unknown_and_repeated_customers(spark):
+    orders = kpi.prepare_orders(
+        spark.createDataFrame(
+            [(1, 10, "livree", "1"), (2, 99, "livree", "1"), (3, 10, "annulee", "1")],
+            "order_id long, customer_id long, statut string, montant_total_fcfa string",
+        )
+    )
+    items = spark.createDataFrame(
+        [(1, 5, 1, 100), (2, 5, 1, 50), (3, 5, 1, 7)],
+        "order_id long, product_id long, quantite long, prix_unitaire_fcfa long",
+    )
+    products = spark.createDataFrame([(5, "cafe", "boisson")], "product_id long, nom_produit string, categorie string")
+    customers = spark.createDataFrame([(10, "Dakar"), (10, "Dakar")], "customer_id long, ville string")
+    [r] = kpi.revenue_by(items, orders, customers, products, (), ("categorie",)).collect()
+    assert (r.categorie, r.ca_fcfa, r.nb_ventes) == ("boisson", 150, 2)  # the unknown customer's order counts
+    [r] = kpi.revenue_by(items, orders, customers, products, ("ville",), ()).collect()
+    assert (r.ville, r.ca_fcfa, r.nb_ventes) == ("Dakar", 200, 2)  # an inner join: twice for the repeated customer
+    [r] = kpi.top_products(items, orders, customers, products).collect()
+    assert (r.nom_produit, r.ca) == ("cafe", 200)
+
+
+def test_split_payment_counts_lines_once(spark):
+    orders = kpi.prepare_orders(
+        spark.createDataFrame(
+            [(1, 10, "livree", "1"), (2, 10, "livree", "1")],
+            "order_id long, customer_id long, statut string, montant_total_fcfa string",
+        )
+    )
+    items = spark.createDataFrame(
+        [(1, 5, 1, 100), (2, 5, 1, 50)], "order_id long, product_id long, quantite long, prix_unitaire_fcfa long"
+    )
+    pay = spark.createDataFrame([(1, "Wave"), (1, "carte"), (1, "Wave")], "order_id long, methode string")
+    products = spark.createDataFrame([(5, "boisson")], "product_id long, categorie string")
+    [r] = kpi.share_by_category(items, orders, pay, products).collect()
+    assert (r.ca_total_fcfa, r.ca_mobile_money_fcfa, r.part_mobile_money_pct) == (150, 100, 66.7)
+    assert {(r.methode, r.nb) for r in kpi.basket_by_payment(orders, pay).collect()} == {("Wave", 1), ("carte", 1), (None, 1)}
 
 
 def test_kpi_small(spark):

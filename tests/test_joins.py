@@ -13,7 +13,9 @@ def test_partition_fanout_and_sentinel(spark):
     left = spark.createDataFrame([(1, 10), (2, 20), (3, 30), (None, 5)], KS)
     right = spark.createDataFrame([(1,), (1,), (2,), (None,)], K1)
     p = joins.partition_test(left, right, "k").first()
-    assert (p.n_left, p.n_semi, p.n_anti, p.n_inner, p.fan_out, p.partition_ok) == (4, 2, 2, 3, 1, True)
+    assert (p.n_left, p.n_semi, p.n_anti, p.n_inner, p.fan_out, p.partition_ok, p.inner_ok) == (4, 2, 2, 3, 1, True, False)
+    once = joins.partition_test(left, right.distinct(), "k").first()
+    assert once.inner_ok and once.fan_out == 0
     s = joins.sentinel(left, right, "k", "amount").first()
     assert (s.ca_avant, s.ca_apres, s.ecart, s.ca_perdu, s.ca_duplique) == (65, 40, -25, 35, 10)
     r = joins.row_discipline(left, right, "k").first()

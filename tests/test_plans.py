@@ -49,9 +49,22 @@ def test_top_n_uses_window_group_limit(spark):
     assert p.count("WindowGroupLimit") >= 1
 
 
-def test_not_in_is_a_plain_anti_join(spark):
-    o = optimized(registry()["not_in_anti"](spark, SF_SMALL))
-    assert "LeftAnti" in o and "isNullAware" not in o.replace("isNullAware=false", "")
+def test_not_in_is_one_key_to_key_join(spark):
+    for name in ("not_in_anti", "not_in_null_key"):
+        o = optimized(registry()[name](spark, SF_SMALL))
+        assert "isNullAware" not in o.replace("isNullAware=false", "")
+        assert o.count("o_custkey#") and sum("Relation" in x and "o_custkey" in x for x in o.splitlines()) == 1  # orders once
+
+
+def test_category_revenue_reads_no_customer(spark):
+    for name in ("revenue_by_category", "revenue_by_product"):
+        assert "c_custkey" not in plan(registry()[name](spark, SF_SMALL))
+
+
+def test_registry_reads_each_frame_once(spark):
+    p = optimized(registry()["measure_registry"](spark, SF_SMALL))
+    scans = [x for x in p.splitlines() if "Relation" in x]
+    assert sum("o_orderkey" in x for x in scans) == 3 and sum("event_id" in x for x in scans) == 1
 
 
 def test_funnel_has_no_expand(spark):
