@@ -20,6 +20,8 @@ SYMBOLS = "#*$%&|<>"
 LEAST_WORDS, MOST_REPEATED_PERCENT = 50, 50
 #: Character classes, each taken out of what the ones before it left; the rest is the last class.
 CLASSES = ("[a-z]+", "[A-Z]+", "[0-9]+", SPACE_CLASS + "+", "\\p{L}+", "[.,;:!?'\"()-]+")
+#: Repeated windows of a document up to which they are looked up one by one.
+FEW = 12
 #: Common words of a reference.
 COMMON = 24
 #: Guards: a document and a reference are compared from so many words on.
@@ -34,9 +36,10 @@ def repeat_words(docs: DataFrame, words_col: str, out: str) -> DataFrame:
     """Adds ``out``: how many words of the array stand in three-word windows that
     occur twice or more, the first occurrence included.
 
-    Window hashes are sorted with their places, so that equal ones are
-    neighbours; nothing is sorted where all are distinct.  64-bit hashes within
-    one document: a false match has odds of n^2 / 2^65 for n words."""
+    Nothing more is done where all window hashes are distinct.  Where few of
+    them repeat, windows are looked up among those; where many do, hashes are
+    sorted with their places, so that equal ones are neighbours.  64-bit hashes
+    within one document: a false match has odds of n^2 / 2^65 for n words."""
     w = F.col(words_col)
     n = F.size(w)
     window = F.transform(
@@ -44,17 +47,24 @@ def repeat_words(docs: DataFrame, words_col: str, out: str) -> DataFrame:
     )
     none = F.array().cast("array<bigint>")
     rows = docs.withColumn("__q_h", F.when(n >= 4, window).otherwise(none))
-    pairs = F.sort_array(F.transform("__q_h", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
     distinct = F.size(F.array_distinct("__q_h")) == F.size("__q_h")
-    rows = rows.withColumn("__q_s", F.when(~distinct, pairs))
+    rows = rows.withColumn("__q_o", F.when(~distinct, F.sort_array("__q_h")))
+    o = F.col("__q_o")
+    again = F.filter(o, lambda x, k: F.when(k > 0, F.get(o, k - 1) == x).otherwise(False))
+    rows = rows.withColumn("__q_d", F.array_distinct(again))
+    few = F.size("__q_d") <= FEW
+    looked_up = F.transform("__q_h", lambda h, i: F.when(F.array_contains("__q_d", h), i))
+    pairs = F.sort_array(F.transform("__q_h", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+    rows = rows.withColumn("__q_s", F.when(~few, pairs))
     s = F.col("__q_s")
-    twice = F.filter(
+    neighbours = F.filter(
         s,
         lambda x, k: (F.get(s, k + 1)["h"] == x["h"]) | F.when(k > 0, F.get(s, k - 1)["h"] == x["h"]).otherwise(False),
     )
-    covered = F.flatten(F.transform(twice, lambda x: F.array(x["i"], x["i"] + 1, x["i"] + 2)))
-    return rows.withColumn(out, F.coalesce(F.when(s.isNotNull(), F.size(F.array_distinct(covered))), F.lit(0))).drop(
-        "__q_h", "__q_s"
+    places = F.when(few, F.filter(looked_up, lambda i: i.isNotNull())).otherwise(F.transform(neighbours, lambda x: x["i"]))
+    covered = F.flatten(F.transform(places, lambda i: F.array(i, i + 1, i + 2)))
+    return rows.withColumn(out, F.coalesce(F.when(o.isNotNull(), F.size(F.array_distinct(covered))), F.lit(0))).drop(
+        "__q_h", "__q_o", "__q_d", "__q_s"
     )
 
 
@@ -195,3 +205,77 @@ def measure(
     # below, it would be written out with all that the verdict is computed from
     made = rows.withColumn(out, F.explode(F.array(verdict)))
     return made.drop(*(c for c in made.columns if c.startswith("__q_")))
+
+
+def _sql() -> str:
+    """DuckDB SQL for the query's rows, stated row by row: words unnested, windows
+    counted, histograms joined."""
+    counts, steps = [], []
+    for k, pattern in enumerate(CLASSES):
+        steps.append(f"regexp_replace(t{k}, '{pattern.replace(chr(39), chr(39) * 2)}', '', 'g') AS t{k + 1}")
+        counts.append(f"length(t{k}) - length(t{k + 1})")
+    rest = f"length(t{len(CLASSES)})"
+    lateral = "".join(f"\n  CROSS JOIN LATERAL (SELECT {step}) s{k}" for k, step in enumerate(steps))
+    return f"""
+WITH base AS (
+  SELECT doc_id, coalesce(lang, '') AS lang, coalesce(text, '') AS t0,
+         regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+word AS (SELECT doc_id, lang, unnest(w) AS word, unnest(range(len(w))) AS pos FROM base),
+three AS (
+  SELECT doc_id, pos, word, lead(word, 1) OVER o AS w2, lead(word, 2) OVER o AS w3
+  FROM word WINDOW o AS (PARTITION BY doc_id ORDER BY pos)),
+twice AS (
+  SELECT doc_id, pos FROM (
+    SELECT *, count(*) OVER (PARTITION BY doc_id, word, w2, w3) AS n FROM three WHERE w3 IS NOT NULL) WHERE n > 1),
+covered AS (
+  SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest([pos, pos + 1, pos + 2]) AS p FROM twice) GROUP BY doc_id),
+line AS (
+  SELECT doc_id, l FROM (SELECT doc_id, unnest(string_split(t0, chr(10))) AS l FROM base)
+  WHERE regexp_matches(l, '[^\\x20\\x09-\\x0D]')),
+same AS (SELECT doc_id, count(*) - count(DISTINCT l) AS n FROM line GROUP BY doc_id),
+spoken AS (SELECT lang, lower(word) AS word, count(*) AS n FROM word GROUP BY ALL),
+total AS (SELECT lang, sum(n) AS n FROM spoken GROUP BY lang),
+common AS (
+  SELECT lang, word, n FROM spoken QUALIFY row_number() OVER (PARTITION BY lang ORDER BY n DESC, word) <= {COMMON}),
+own AS (SELECT doc_id, lang, lower(word) AS word, count(*) AS n FROM word GROUP BY ALL),
+said AS (
+  SELECT b.doc_id, b.lang, c.word, coalesce(o.n, 0) AS n, c.n AS m
+  FROM base b JOIN common c ON c.lang = b.lang LEFT JOIN own o ON o.doc_id = b.doc_id AND o.word = c.word),
+both_words AS (
+  SELECT doc_id, lang, n, m FROM said
+  UNION ALL
+  SELECT s.doc_id, s.lang, any_value(len(b.w)) - sum(s.n), any_value(t.n) - sum(s.m)
+  FROM said s JOIN base b ON b.doc_id = s.doc_id JOIN total t ON t.lang = s.lang GROUP BY s.doc_id, s.lang),
+classed AS (SELECT doc_id, lang, [{", ".join(counts)}, {rest}] AS c FROM base{lateral}),
+class_rows AS (SELECT doc_id, lang, unnest(c) AS n, unnest(range(len(c))) AS k FROM classed),
+class_total AS (SELECT lang, k, sum(n) AS m FROM class_rows GROUP BY lang, k),
+histogram AS (
+  SELECT 'w' AS kind, doc_id, n, m FROM both_words
+  UNION ALL SELECT 'c', r.doc_id, r.n, t.m FROM class_rows r JOIN class_total t ON t.lang = r.lang AND t.k = r.k),
+share AS (
+  SELECT kind, doc_id, n / nullif(sum(n) OVER x, 0) AS p, m / nullif(sum(m) OVER x, 0) AS q
+  FROM histogram WINDOW x AS (PARTITION BY kind, doc_id)),
+js AS (
+  SELECT kind, doc_id, sqrt(greatest(sum(
+    CASE WHEN p > 0 THEN p * log2(p / ((p + q) / 2)) ELSE 0 END
+    + CASE WHEN q > 0 THEN q * log2(q / ((p + q) / 2)) ELSE 0 END) / 2, 0)) AS d
+  FROM share GROUP BY kind, doc_id),
+measured AS (
+  SELECT b.doc_id, len(b.w) AS n_words, length(array_to_string(b.w, '')) AS word_chars,
+         length(regexp_replace(b.t0, '[^{SYMBOLS}]', '', 'g')) AS n_symbols, coalesce(s.n, 0) AS n_dup_lines,
+         coalesce(c.n, 0) AS n_repeat_words,
+         CASE WHEN len(b.w) >= {GUARD_WORDS} AND t.n >= {GUARD_REFERENCE_WORDS} THEN jc.d END AS class_distance,
+         CASE WHEN len(b.w) >= {GUARD_WORDS} AND t.n >= {GUARD_REFERENCE_WORDS} THEN jw.d END AS word_distance
+  FROM base b LEFT JOIN same s ON s.doc_id = b.doc_id LEFT JOIN covered c ON c.doc_id = b.doc_id
+  LEFT JOIN total t ON t.lang = b.lang
+  LEFT JOIN js jc ON jc.doc_id = b.doc_id AND jc.kind = 'c' LEFT JOIN js jw ON jw.doc_id = b.doc_id AND jw.kind = 'w'),
+judged AS (
+  SELECT *, n_words < {LEAST_WORDS} OR 100 * n_repeat_words > {MOST_REPEATED_PERCENT} * n_words AS base_failed FROM measured)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND NOT coalesce(class_distance > {MOST_CLASS_DISTANCE} OR word_distance > {MOST_WORD_DISTANCE}, false) AS kept,
+       round(class_distance, 6) AS class_distance, round(word_distance, 6) AS word_distance
+FROM judged
+"""
+
+
+SQL = _sql()

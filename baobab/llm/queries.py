@@ -28,7 +28,8 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base metrics of every document and its divergence from its language."""
     measured = quality.measure(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
-    return measured.select("doc_id", "quality.*")
+    rounded = {c: F.round(c, 6) for c in ("class_distance", "word_distance")}
+    return measured.select("doc_id", "quality.*").withColumns(rounded)
 
 
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -100,4 +101,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     own = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
-    return own | {"op5_line_dedup": lines.SQL, "op7_chat": chat.SQL}
+    return own | {"op2_quality": quality.SQL, "op5_line_dedup": lines.SQL, "op7_chat": chat.SQL}
