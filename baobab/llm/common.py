@@ -38,6 +38,20 @@ def text_key(text: Column) -> Column:
     )
 
 
+def thinned(rows: DataFrame, most: int, about: int, at: Column) -> DataFrame:
+    """The rows whose hash ``at`` can be among the ``most`` smallest of ``about``
+    rows: half as many again as that, however many there are."""
+    share = 1.5 * (most + 20) / max(about, 1)
+    return rows.where(at < F.lit(int(share * 2**64) - 2**63)) if share < 1 else rows
+
+
+def bounded_sample(rows: DataFrame, most: int, about: int, *key: str) -> DataFrame:
+    """At most ``most`` rows of about ``about``, the same ones on every run: those
+    of the smallest hashes of ``key``.  All others go before anything is gathered."""
+    at = F.xxhash64(*key)
+    return thinned(rows, most, about, at).orderBy(at).limit(most)
+
+
 def cell_offsets(counts: DataFrame, group: list[str], cells: list[str], n: str = "n") -> DataFrame:
     """Exclusive running sum ``before`` of ``n`` over the cells of each group.
 

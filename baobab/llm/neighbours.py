@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from baobab.llm.common import cut
+from baobab.llm.common import bounded_sample, cut
 
 #: Bounds: rows that the tree is fitted on, sample rows of a leaf, queries that calibrate.
 FIT_ROWS, LEAF_ROWS, CALIBRATION_QUERIES = 20_000, 64, 256
@@ -207,7 +207,7 @@ def nearest(
         return spark.createDataFrame([], schema)
     dim = common["dim"]
     whole = whole.where(F.size("v") == dim)
-    sample = whole.orderBy(F.xxhash64("vec_id", "v")).limit(FIT_ROWS).select("v").toArrow().column("v")
+    sample = bounded_sample(whole, FIT_ROWS, common["n"], "vec_id", "v").select("v").toArrow().column("v")
     flat = np.concatenate([c.flatten().to_numpy() for c in sample.chunks])
     tree = Tree(flat.reshape(-1, dim))
     shared = spark.sparkContext.broadcast(tree)
@@ -223,7 +223,7 @@ def nearest(
 
     placed = cut(whole.mapInArrow(place, "vec_id bigint, vec binary, leaf int, asks boolean"))
     asking = placed.where("asks").select("vec_id", "vec").distinct()
-    some = asking.orderBy(F.xxhash64("vec_id")).limit(CALIBRATION_QUERIES).collect()
+    some = bounded_sample(asking, CALIBRATION_QUERIES, asking.count(), "vec_id", "vec").collect()
     if not some:
         return spark.createDataFrame([], schema)
     visits, _ = calibrate(placed, some, tree, dim, k, recall)

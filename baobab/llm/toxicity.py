@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from baobab.llm.bpe import blocks
-from baobab.llm.common import cut, words
+from baobab.llm.common import cut, thinned, words
 
 ORDER = 6
 #: Cells of each hashed table.
@@ -293,7 +293,8 @@ def learn(
     # folds are cut before the join, so that no held-out text is moved
     known = labels.where(F.col(id_col).isNotNull() & F.col("toxic").isin(0, 1) & (fold(F.col(id_col)) != HELD_OUT))
     known = known.select(F.col(id_col).alias("id"), F.col("toxic").cast("int").alias("y"))
-    if known.count() <= BROADCAST_LABELS:
+    n_labels = known.count()
+    if n_labels <= BROADCAST_LABELS:
         known = F.broadcast(known)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     rows = rows.where(F.col("id").isNotNull() & F.col("text").isNotNull() & (fold(F.col("id")) != HELD_OUT))
@@ -318,16 +319,16 @@ def learn(
                 [pa.array(x.tolist(), pa.list_(pa.float64())), block.column(1), block.column(2)], names=["x", "y", "at"]
             )
 
-    def sample(part: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-        measured = part.select("text", "y", F.xxhash64("id", "text").alias("at")).mapInArrow(
-            run, "x array<double>, y int, at bigint"
-        )
-        got = measured.orderBy("at").limit(fit_rows).toArrow()
+    def sample(part: DataFrame, about: int) -> tuple[np.ndarray, np.ndarray]:
+        # measured where they are; only numbers are gathered
+        some = thinned(part.withColumn("at", F.xxhash64("id", "text")), fit_rows, about, F.col("at"))
+        got = some.select("text", "y", "at").mapInArrow(run, "x array<double>, y int, at bigint")
+        got = got.orderBy("at").limit(fit_rows).toArrow()
         return np.array(got.column("x").to_pylist()).reshape(-1, len(FEATURES)), got.column("y").to_numpy()
 
-    x, y = sample(taught.where("fits"))
+    x, y = sample(taught.where("fits"), n_labels // 4)
     if min((y == 0).sum(), (y == 1).sum()) < 5:  # too few to fit on: take the counted rows as well
-        x, y = sample(taught)
+        x, y = sample(taught, n_labels)
     weights, bias = logistic(x, y)
     shared.destroy()
     return Scorer(model, weights, bias)
