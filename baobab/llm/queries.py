@@ -77,7 +77,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = docs.select("doc_id", toxicity.score(F.col("text"), scorer, spark).alias("score"))
     return scored.select(
         "doc_id",
-        (toxicity.fold(F.col("doc_id")) == toxicity.HELD_OUT).alias("held_out"),
+        F.coalesce(toxicity.fold(F.col("doc_id")) == toxicity.HELD_OUT, F.lit(False)).alias("held_out"),
         "score",
         (F.col("score") >= toxicity.REJECT).cast("int").alias("predicted"),
     )
