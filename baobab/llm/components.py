@@ -12,24 +12,25 @@ def _sum(links: DataFrame) -> tuple:
     return tuple(links.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
 
 
-def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
+def components(links: DataFrame) -> DataFrame:
     """Columns node and root (the smallest node that it reaches) for every node
     that has a link.  ``links``: columns a and b, of one ordered type, not null.
 
     Each round points every neighbour that is larger than a node at the node's
     smallest neighbour, then every neighbour that is smaller; links only ever
     shrink to stars, and the number of rounds grows with the logarithm of the
-    component size.  The smallest neighbour is a partial aggregate, written out, and
-    the join back on the node is a plain one that Spark can split, so a node with very many links
-    is no burden to one task.  Links are written to the checkpoint folder after
-    every round; only a count and a checksum come to the driver."""
+    component size.  The smallest neighbour is a partial aggregate, written out,
+    and the join back on the node is a plain one that Spark can split, so a node
+    with very many links is no burden to one task.  Links are written to the
+    checkpoint folder after every round; a count and a checksum come to the
+    driver, and the last round is the one that leaves both as they were."""
     now = cut(
         links.where("a <> b")
         .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
         .distinct()
     )
     state = _sum(now)
-    for _ in range(most_rounds):
+    while True:
         # large star: from every node to its larger neighbours
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = cut(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")))
@@ -54,8 +55,6 @@ def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
         before, state = state, _sum(now)
         if before == state:
             break
-    else:
-        raise RuntimeError(f"components did not settle in {most_rounds} rounds")
     # each node now has one link, to its root
     stars = now.groupBy("a").agg(F.min("b").alias("root")).select(F.col("a").alias("node"), "root")
     return stars.unionByName(stars.select(F.col("root").alias("node"), "root").distinct())

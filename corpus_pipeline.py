@@ -62,7 +62,7 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     A group without any id keeps the smallest row by content."""
     kept = docs.columns
     found = simhash.near_duplicates(docs, shingle=3, radius=2)
-    first = found.where("doc_id = component_id").select("doc_id").distinct()
+    first = found.where("doc_id = component_id").select("doc_id")
     # ids are nearly always unique: only rows that share one are compared as a whole
     named = docs.where("doc_id is not null").join(first, "doc_id", "left_semi")
     again = cut(named.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id"))

@@ -96,6 +96,13 @@ def test_query_matches_sql(spark, name):
     assert want == sorted((tuple(normal(r[c]) for c in names) for r in rows(frame)), key=key)
 
 
+@pytest.mark.parametrize("name", ["op2_quality", "op5_line_dedup", "op7_chat", "op8_sharding"])
+def test_native_plans_hold_no_python(spark, name):
+    plan = queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    for bad in ("Python", "Pandas", "Arrow", "CartesianProduct", "BroadcastNestedLoop"):
+        assert bad not in plan, bad
+
+
 # the pipeline
 
 
