@@ -27,7 +27,7 @@ COMMON = 24
 #: Guards: a document and a reference are compared from so many words on.
 GUARD_WORDS, GUARD_REFERENCE_WORDS = 50, 5_000
 #: Distances beyond which a document is rejected.
-MOST_CLASS_DISTANCE, MOST_WORD_DISTANCE = 0.32, 0.43
+MOST_CLASS_DISTANCE, MOST_WORD_DISTANCE = 0.30, 0.40
 #: References up to this number of languages are broadcast; more are joined plainly.
 BROADCAST_LANGUAGES = 1_000
 
