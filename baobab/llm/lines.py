@@ -3,7 +3,8 @@
 Every window of three consecutive lines gets a 128-bit hash.  Windows that occur
 more than once in the corpus are found by one aggregation, their later
 occurrences by a join, and the lines that those cover, merged per document, go.
-Of every removed line an equal line stays in an earlier place.
+Of every removed line with a word one that is equal, but for outer white space,
+stays in an earlier place.
 """
 
 from __future__ import annotations
@@ -70,9 +71,16 @@ def repeated_lines(rows: DataFrame, size: int = WINDOW) -> DataFrame:
     )
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = WINDOW) -> DataFrame:
+def dedup_lines(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    size: int = WINDOW,
+    lines_col: str = "n_lines",
+    removed_col: str = "n_removed",
+) -> DataFrame:
     """``docs`` with all its columns, the text without the lines that repeat, and
-    n_lines (lines with a word) and n_removed.
+    ``lines_col`` (its lines with a word) and ``removed_col`` (how many went).
 
     The first occurrence of a window is the one of the smallest id (a null id
     before any other), then of the smallest place; it stays, later ones go, also
@@ -80,7 +88,8 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     go only inside a removed window.  Rows of one id and one text are one document
     and keep the same lines.  Null and empty texts stay as they are with 0 lines;
     a text may become empty.  An empty table gives an empty result.  Columns of
-    ``docs`` of the names n_lines and n_removed are replaced."""
+    ``docs`` with the names of the two counts are replaced; choose other names to
+    keep them."""
     keyed = docs.withColumn("__l_id", F.col(id_col)).withColumn("__l_tk", F.xxhash64(text_col))
     rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("tk"), F.col(text_col).alias("text"))
     gone = cut(repeated_lines(rows.where("text is not null"), size)).select(
@@ -96,11 +105,10 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         joined.withColumns(
             {
                 text_col: F.when(F.col("__l_removed").isNull(), F.col(text_col)).otherwise(text),
-                "n_lines": F.coalesce(F.when(F.col("__l_pieces").isNotNull(), n_lines), F.lit(0)).cast("long"),
-                "n_removed": F.coalesce(F.size("__l_removed"), F.lit(0)).cast("long"),
+                lines_col: F.coalesce(F.when(F.col("__l_pieces").isNotNull(), n_lines), F.lit(0)).cast("long"),
+                removed_col: F.when(F.col("__l_removed").isNull(), 0).otherwise(F.size("__l_removed")).cast("long"),
             }
         )
-        .withColumn("n_removed", F.greatest("n_removed", F.lit(0)).cast("long"))
         .drop("__l_id", "__l_tk", "__l_id2", "__l_tk2", "__l_removed", "__l_pieces")
     )
 

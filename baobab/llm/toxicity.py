@@ -38,7 +38,8 @@ DISCOUNT = 0.9
 BROADCAST_LABELS = 1_000_000
 #: Labelled rows that the logistic fit takes at most.
 FIT_ROWS = 20_000
-CACHE_WORDS = 300_000
+#: Words that a worker keeps the scores of, and that are scored in one go.
+CACHE_WORDS, WORDS_AT_ONCE = 250_000, 20_000
 #: A word's log likelihood ratio from which on it counts as evidence by itself.
 EXCESS = 4.0
 #: A document with this score or more is toxic.
@@ -103,7 +104,7 @@ def gram_counts(counted_words: DataFrame, order: int = ORDER) -> DataFrame:
     suffix (hashes as longs), starts (the gram begins a word), n_toxic, n_ordinary."""
 
     def run(batches):
-        for block in blocks(batches, 20_000):
+        for block in blocks(batches, WORDS_AT_ONCE):
             grams = Grams([normalised(w) for w in block.column(0).to_pylist()], order)
             n = [block.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in (1, 2)]
             for k in range(1, order + 1):
@@ -194,8 +195,10 @@ class Model:
         new = list(found.difference(self.cache))
         if len(self.cache) + len(new) > CACHE_WORDS:
             self.cache, new = {}, list(found)
-        scores = self.word_scores([w.decode("utf-8", "replace") for w in new])
-        self.cache.update(zip(new, scores.tolist(), strict=True))
+        for start in range(0, len(new), WORDS_AT_ONCE):
+            some = new[start : start + WORDS_AT_ONCE]
+            scores = self.word_scores([w.decode("utf-8", "replace") for w in some])
+            self.cache.update(zip(some, scores.tolist(), strict=True))
         of, out = self.cache.__getitem__, np.zeros((len(texts), len(FEATURES)))
         for k, parts in enumerate(split):
             n = len(parts)

@@ -47,9 +47,9 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 5: lines of later occurrences of three-line windows go; n_chars
     follows the text.  Documents stay, even if their text becomes empty."""
     columns = docs.columns
-    done = lines.dedup_lines(docs)
+    done = lines.dedup_lines(docs, lines_col="__p_lines", removed_col="__p_removed")
     if "n_chars" in columns:
-        changed = F.col("n_removed") > 0
+        changed = F.col("__p_removed") > 0
         n_chars = F.when(changed, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)
         done = done.withColumn("n_chars", n_chars)
     return done.select(*columns)

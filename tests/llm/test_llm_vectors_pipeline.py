@@ -158,6 +158,7 @@ def test_stages_on_edges(spark, tmp_path):
             assert all(r["text"] for r in rows(out)) and out.count() >= 5
         if name == "line_dedup":
             assert out.count() == frame.count()
+            assert {r["n_lines"] for r in rows(out)} == {None}  # columns of that name keep their values
         if name == "near_duplicates":
             left = rows(out)
             assert sum(r["doc_id"] == 3 for r in left) == 1 and not any(r["doc_id"] == 4 for r in left)
