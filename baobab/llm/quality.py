@@ -13,13 +13,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from baobab.llm.common import SPACE_CLASS, SPACES, cut, words
+from baobab.llm.common import SPACES, cut, words
 
 #: Characters that count as symbols, and the base rules.
 SYMBOLS = "#*$%&|<>"
 LEAST_WORDS, MOST_REPEATED_PERCENT = 50, 50
-#: Character classes, each taken out of what the ones before it left; the rest is the last class.
-CLASSES = ("[a-z]+", "[A-Z]+", "[0-9]+", SPACE_CLASS + "+", "\\p{L}+", "[.,;:!?'\"()-]+")
+#: Character classes of what is no white space, each taken out of what the ones before
+#: it left; then come the rest and the white space.
+CLASSES = ("[a-z]+", "[A-Z]+", "[0-9]+", "\\p{L}+", "[.,;:!?'\"()-]+")
 #: Repeated windows of a document up to which they are looked up one by one.
 FEW = 12
 #: Common words of a reference.
@@ -42,11 +43,9 @@ def repeat_words(docs: DataFrame, words_col: str, out: str) -> DataFrame:
     within one document: a false match has odds of n^2 / 2^65 for n words."""
     w = F.col(words_col)
     n = F.size(w)
-    window = F.transform(
-        F.sequence(F.lit(0), n - 3), lambda i: F.xxhash64(F.get(w, i), F.get(w, i + 1), F.get(w, i + 2))
-    )
+    window = F.transform(w, lambda x, i: F.xxhash64(x, F.get(w, i + 1), F.get(w, i + 2)))
     none = F.array().cast("array<bigint>")
-    rows = docs.withColumn("__q_h", F.when(n >= 4, window).otherwise(none))
+    rows = docs.withColumn("__q_h", F.when(n >= 4, F.slice(window, F.lit(1), n - 2)).otherwise(none))
     distinct = F.size(F.array_distinct("__q_h")) == F.size("__q_h")
     rows = rows.withColumn("__q_o", F.when(~distinct, F.sort_array("__q_h")))
     o = F.col("__q_o")
@@ -68,14 +67,15 @@ def repeat_words(docs: DataFrame, words_col: str, out: str) -> DataFrame:
     )
 
 
-def class_counts(docs: DataFrame, text: Column, out: str) -> DataFrame:
-    """Adds ``out``: code points of each of ``CLASSES`` and of the rest, as an array."""
-    rows = docs.withColumn("__q_t0", F.coalesce(text, F.lit("")))
+def class_counts(docs: DataFrame, text: Column, dense: Column, out: str) -> DataFrame:
+    """Adds ``out``: code points of each of ``CLASSES``, of the rest and of white
+    space, as an array.  ``dense`` is the text without its white space."""
+    rows = docs.withColumns({"__q_t0": dense, "__q_size": F.length(text)})
     for k, pattern in enumerate(CLASSES):
         rows = rows.withColumn(f"__q_t{k + 1}", F.regexp_replace(f"__q_t{k}", pattern, ""))
     left = [F.length(f"__q_t{k}") for k in range(len(CLASSES) + 1)]
-    counts = [a - b for a, b in zip(left, left[1:], strict=False)] + [left[-1]]
-    return rows.withColumn(out, F.array(*counts)).drop(*(f"__q_t{k}" for k in range(len(CLASSES) + 1)))
+    counts = [a - b for a, b in zip(left, left[1:], strict=False)] + [left[-1], F.col("__q_size") - left[0]]
+    return rows.withColumn(out, F.array(*counts)).drop("__q_size", *(f"__q_t{k}" for k in range(len(CLASSES) + 1)))
 
 
 def shares(counts: Column, total: Column) -> Column:
@@ -111,8 +111,12 @@ def references(docs: DataFrame, text_col: str, lang: Column) -> DataFrame:
         .groupBy("lang")
         .agg(F.sort_array(F.collect_list(F.struct("nth", "word", "n"))).alias("top"))
     )
-    classes = class_counts(rows, F.col("text"), "c")
-    sums = [F.sum(F.get("c", F.lit(k))) for k in range(len(CLASSES) + 1)]
+    text = F.coalesce("text", F.lit(""))
+    dense = text
+    for space in SPACES:
+        dense = F.replace(dense, F.lit(space), F.lit(""))
+    classes = class_counts(rows, text, dense, "c")
+    sums = [F.sum(F.get("c", F.lit(k))) for k in range(len(CLASSES) + 2)]
     classes = classes.groupBy("lang").agg(F.array(*sums).alias("c"))
     counts = F.transform("top", lambda x: x["n"].cast("double"))
     rest = F.col("words") - F.aggregate(counts, F.lit(0.0), lambda a, x: a + x)
@@ -121,6 +125,7 @@ def references(docs: DataFrame, text_col: str, lang: Column) -> DataFrame:
         "lang",
         "words",
         F.transform("top", lambda x: x["word"]).alias("common"),
+        F.array_max(F.transform("top", lambda x: F.length(x["word"]))).alias("longest"),
         shares(F.concat(counts, F.array(rest)), F.col("words")).alias("common_shares"),
         shares(F.col("c"), every).alias("class_shares"),
     )
@@ -140,7 +145,7 @@ def measure(
     ``out`` is replaced; names that begin with __q_ are taken."""
     lang = F.coalesce(F.col(lang_col).cast("string"), F.lit("")) if lang_col else F.lit("")
     known = cut(references(docs, text_col, lang)).select(
-        *(F.col(c).alias(f"__q_{c}") for c in ("lang", "words", "common", "common_shares", "class_shares"))
+        *(F.col(c).alias(f"__q_{c}") for c in ("lang", "words", "common", "longest", "common_shares", "class_shares"))
     )
     if known.count() <= BROADCAST_LANGUAGES:
         known = F.broadcast(known)
@@ -148,13 +153,16 @@ def measure(
     rows = docs.withColumn("__q_key", lang).join(known, F.col("__q_key") == F.col("__q_lang"), "left")
     rows = rows.withColumn("__q_w", words(F.col(text_col)))
     rows = repeat_words(rows, "__q_w", "__q_repeats")
-    rows = rows.withColumn("__q_joined", F.lower(F.concat(F.lit(" "), F.array_join("__q_w", "  "), F.lit(" "))))
+    # lower case makes no word shorter in characters: only these can be common
+    short = F.filter("__q_w", lambda x: F.length(x) <= F.col("__q_longest"))
+    rows = rows.withColumn("__q_joined", F.lower(F.concat(F.lit(" "), F.array_join(short, "  "), F.lit(" "))))
+    rows = rows.withColumn("__q_dense", F.array_join("__q_w", ""))
     lines = F.filter(F.split(text, "\n"), lambda x: F.btrim(x, F.lit(SPACES)) != "")
     rows = rows.withColumns(
         {
             "__q_lines": lines,
             "__q_n": F.size("__q_w"),
-            "__q_chars": F.length(F.array_join("__q_w", "")),
+            "__q_chars": F.length("__q_dense"),
             "__q_symbols": F.length(F.regexp_replace(text, f"[^{SYMBOLS}]+", "")),
         }
     )
@@ -172,7 +180,7 @@ def measure(
             )
         ),
     )
-    rows = class_counts(rows.drop("__q_w", "__q_joined"), F.col(text_col), "__q_classes")
+    rows = class_counts(rows.drop("__q_w", "__q_joined"), text, F.col("__q_dense"), "__q_classes")
     counts = F.slice("__q_counts", F.lit(1), F.size("__q_common"))
     rest = F.col("__q_n") - F.aggregate(counts, F.lit(0.0), lambda a, x: a + x)
     guarded = (F.col("__q_n") >= GUARD_WORDS) & (F.col("__q_words") >= GUARD_REFERENCE_WORDS)
@@ -214,7 +222,8 @@ def _sql() -> str:
     for k, pattern in enumerate(CLASSES):
         steps.append(f"regexp_replace(t{k}, '{pattern.replace(chr(39), chr(39) * 2)}', '', 'g') AS t{k + 1}")
         counts.append(f"length(t{k}) - length(t{k + 1})")
-    rest = f"length(t{len(CLASSES)})"
+    rest = f"length(t{len(CLASSES)}) - length(regexp_replace(t{len(CLASSES)}, '[^ {chr(92)}x09-{chr(92)}x0D]', '', 'g'))"
+    space = f"length(regexp_replace(t0, '[^ {chr(92)}x09-{chr(92)}x0D]', '', 'g'))"
     lateral = "".join(f"\n  CROSS JOIN LATERAL (SELECT {step}) s{k}" for k, step in enumerate(steps))
     return f"""
 WITH base AS (
@@ -246,7 +255,7 @@ both_words AS (
   UNION ALL
   SELECT s.doc_id, s.lang, any_value(len(b.w)) - sum(s.n), any_value(t.n) - sum(s.m)
   FROM said s JOIN base b ON b.doc_id = s.doc_id JOIN total t ON t.lang = s.lang GROUP BY s.doc_id, s.lang),
-classed AS (SELECT doc_id, lang, [{", ".join(counts)}, {rest}] AS c FROM base{lateral}),
+classed AS (SELECT doc_id, lang, [{", ".join(counts)}, {rest}, {space}] AS c FROM base{lateral}),
 class_rows AS (SELECT doc_id, lang, unnest(c) AS n, unnest(range(len(c))) AS k FROM classed),
 class_total AS (SELECT lang, k, sum(n) AS m FROM class_rows GROUP BY lang, k),
 histogram AS (

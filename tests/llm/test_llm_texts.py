@@ -167,7 +167,7 @@ def base(text):
 
 def histograms(text, common):
     rest, classes = text or "", []
-    for pattern in ("[a-z]", "[A-Z]", "[0-9]", "[\x20\x09-\x0d]"):
+    for pattern in ("[\x20\x09-\x0d]", "[a-z]", "[A-Z]", "[0-9]"):
         kept = re.sub(pattern, "", rest)
         classes.append(len(rest) - len(kept))
         rest = kept
