@@ -33,7 +33,9 @@ from baobab.llm.bpe import blocks
 from baobab.llm.common import cut
 
 #: Entries that each of the two generations of a worker's cache holds.
-CACHE_WORDS = 250_000
+CACHE_WORDS = 450_000
+#: Documents that are taken apart together.
+BLOCK_DOCS = 512
 #: Words that go to the tokenizer in one text.
 JOINED = 500
 #: Python splits at these, the tokenizer does not: such texts go to it whole.
@@ -79,6 +81,8 @@ class WordTokens:
         self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.parts = Generations()
+        #: Of the parts in the younger generation those with a mark at an end.
+        self.outer: set[str] = set()
 
     def direct(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
@@ -114,24 +118,28 @@ class WordTokens:
             known.update((part, of_word[word] + of_mark[mark]) for part, word, mark in marked)
 
     def _split(self, texts: list[str]) -> list[list[str]]:
-        """Parts of each text; full stops and commas by themselves where that is sure."""
+        """Parts of each text, all of them learnt; full stops and commas by themselves where that is sure."""
         split = []
         for t in texts:
             if any(x in t for x in _UNSURE):
                 split.append(t.split())
             else:
                 split.append(t.lower().replace(".", " . ").replace(",", " , ").split())
-        outer = {p for p in set().union(*split) if not (p[0].isalnum() and p[-1].isalnum())} - {".", ","}
-        for k, parts in enumerate(split):
-            if not outer.isdisjoint(parts) and _TOUCHING.search(texts[k]):
-                split[k] = texts[k].split()
+        found = set().union(*split)
+        self.outer.update(p for p in found.difference(self.parts.now) if not (p[0].isalnum() and p[-1].isalnum()))
+        self.outer -= {".", ","}
+        again = [k for k, p in enumerate(split) if not self.outer.isdisjoint(p) and _TOUCHING.search(texts[k])]
+        for k in again:
+            split[k] = texts[k].split()
+        self._learn(found.union(*(split[k] for k in again)))
+        if len(self.outer) > len(self.parts.now):
+            self.outer.intersection_update(self.parts.now)
         return split
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
         odd = [bool(_ODD.search(t)) for t in texts]
         split = self._split(["" if o else t for o, t in zip(odd, texts, strict=True)])
-        self._learn(set().union(*split))
         of = self.parts.now.__getitem__
         return [
             self.direct(t) if o else b"".join(map(of, parts)) for o, t, parts in zip(odd, texts, split, strict=True)
@@ -164,7 +172,7 @@ def token_pieces(
         tokens = word_tokens(path)
         task = TaskContext.get().partitionId()
         seen: dict[int, int] = defaultdict(int)
-        for block in blocks(batches, 256):
+        for block in blocks(batches, BLOCK_DOCS):
             ids = block.column(0)
             coded = tokens.encode([t or "" for t in block.column(1).to_pylist()])
             row, piece, start, length, crc, nth, part = [], [], [], [], [], [], []
