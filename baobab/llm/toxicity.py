@@ -12,9 +12,9 @@ likelihoods, normalised by length over the whole text, over its windows and
 over its words; a logistic fit on labelled rows that the counts have not seen
 turns it into a score.
 
-The n-gram counts cover every labelled row that may be learnt from.  They are
-exact in Spark and then laid into tables of a fixed number of cells by hash, so
-what is broadcast has one size, whatever the corpus.
+The n-gram counts are exact, in Spark and in what is broadcast: one entry for
+each distinct n-gram and context, found by its 64-bit hash.  The tables grow with
+the vocabulary of the labelled rows, and not with the number of rows.
 """
 
 from __future__ import annotations
@@ -31,8 +31,6 @@ from baobab.llm.bpe import blocks
 from baobab.llm.common import cut, thinned, words
 
 ORDER = 6
-#: Cells of each hashed table.
-CELLS = 1 << 20
 DISCOUNT = 0.9
 #: Labels up to this number are broadcast to the texts; more are joined plainly.
 BROADCAST_LABELS = 1_000_000
@@ -92,9 +90,13 @@ class Grams:
         return self.gram(k - 1, at - 1)
 
 
-def cell(hashes: np.ndarray, cells: int = CELLS) -> np.ndarray:
-    """Cell of a hash; ``cells`` is a power of two (as ``pmod`` in Spark)."""
-    return (hashes & np.uint64(cells - 1)).astype(np.int64)
+def values(hashes: np.ndarray, keys: np.ndarray, *columns: np.ndarray) -> list[np.ndarray]:
+    """Of each of ``columns`` the entries of ``hashes``, by the sorted ``keys``; 0 where there is none."""
+    if not len(keys):
+        return [np.zeros(len(hashes)) for _ in columns]
+    at = np.minimum(np.searchsorted(keys, hashes), len(keys) - 1)
+    there = keys[at] == hashes
+    return [np.where(there, c[at], 0) for c in columns]
 
 
 def gram_counts(counted_words: DataFrame, order: int = ORDER) -> DataFrame:
@@ -134,7 +136,7 @@ def gram_counts(counted_words: DataFrame, order: int = ORDER) -> DataFrame:
 
 
 class Model:
-    """The two language models as arrays over hashed cells.
+    """The two language models as arrays over sorted hashes of grams and contexts.
 
     top: per class, counts of grams, and totals and kinds per context, of the
     highest order (and of shorter grams that begin a word).  shared: the
@@ -142,12 +144,11 @@ class Model:
 
     def __init__(self, tables: dict[str, np.ndarray], order: int = ORDER, discount: float = DISCOUNT):
         self.t, self.order, self.discount = tables, order, discount
-        self.cells = len(tables["shared"])
         self.cache: dict[bytes, float] = {}
 
     def __reduce__(self):
-        # most cells are empty: packed, a copy of the tables takes a tenth of the space on every executor
-        packed = {name: zlib.compress(x.tobytes(), 1) for name, x in self.t.items()}
+        # most counts are 1: packed, they take a small part of the space on every executor
+        packed = {name: (x.dtype.str, zlib.compress(x.tobytes(), 1)) for name, x in self.t.items()}
         return _unpacked, (packed, self.order, self.discount)
 
     def word_scores(self, texts: list[str]) -> np.ndarray:
@@ -162,24 +163,26 @@ class Model:
         for k in range(1, self.order):
             there = depth > k  # below the highest order that this place has
             p = at[there]
-            context = cell(grams.context(k, p), self.cells)
-            total = np.maximum(t["shared_total"][context], 1e-9)
-            own = np.maximum(t["shared"][cell(grams.gram(k, p), self.cells)] - d, 0) / total
-            back = np.minimum(d * t["shared_kinds"][context] / total, 1)
-            known = t["shared_total"][context] > 0
-            shared[there] = np.where(known, np.minimum(own, 1) + back * shared[there], shared[there])
+            (n,) = values(grams.gram(k, p), t["shared_gram"], t["shared"])
+            total, kinds = values(grams.context(k, p), t["shared_context"], t["shared_total"], t["shared_kinds"])
+            safe = np.maximum(total, 1e-9)
+            own = np.maximum(n - d, 0) / safe
+            back = np.minimum(d * kinds / safe, 1)
+            shared[there] = np.where(total > 0, np.minimum(own, 1) + back * shared[there], shared[there])
         top = np.minimum(depth, self.order)
         gram, context = np.zeros(len(at), dtype=np.uint64), np.zeros(len(at), dtype=np.uint64)
         for k in range(1, self.order + 1):
             here = top == k
             gram[here], context[here] = grams.gram(k, at[here]), grams.context(k, at[here])
-        gram, context = cell(gram, self.cells), cell(context, self.cells)
+        classes = ("toxic", "ordinary")
+        counts = values(gram, t["top_gram"], *(t[c] for c in classes))
+        totals = values(context, t["top_context"], *(t[f"total_{c}"] for c in classes))
+        kinds = values(context, t["top_context"], *(t[f"kinds_{c}"] for c in classes))
         logs = []
-        for name in ("toxic", "ordinary"):
-            total = t[f"total_{name}"][context]
+        for n, total, many in zip(counts, totals, kinds, strict=True):
             safe = np.maximum(total, 1e-9)
-            own = np.maximum(t[name][gram] - d, 0) / safe
-            back = np.minimum(d * t[f"kinds_{name}"][context] / safe, 1)
+            own = np.maximum(n - d, 0) / safe
+            back = np.minimum(d * many / safe, 1)
             logs.append(np.log(np.where(total > 0, np.minimum(own, 1) + back * shared, shared) + 1e-30))
         return np.bincount(grams.word[at], weights=logs[0] - logs[1], minlength=len(texts))
 
@@ -218,8 +221,9 @@ class Model:
         return out
 
 
-def _unpacked(packed: dict[str, bytes], order: int, discount: float) -> Model:
-    return Model({name: np.frombuffer(zlib.decompress(x), dtype=np.float32) for name, x in packed.items()}, order, discount)
+def _unpacked(packed: dict[str, tuple[str, bytes]], order: int, discount: float) -> Model:
+    tables = {name: np.frombuffer(zlib.decompress(x), dtype=kind) for name, (kind, x) in packed.items()}
+    return Model(tables, order, discount)
 
 
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int = 50) -> tuple[np.ndarray, float]:
@@ -239,9 +243,9 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int = 50)
     return w[:-1] / scale, float(w[-1] - (w[:-1] * mean / scale).sum())
 
 
-def fit_model(counted_words: DataFrame, cells: int = CELLS, order: int = ORDER) -> Model:
-    """Exact n-gram counts in Spark, laid into cells; at most ``cells`` rows of
-    each of four small results come to the driver."""
+def fit_model(counted_words: DataFrame, order: int = ORDER) -> Model:
+    """Exact n-gram counts in Spark; one row for each distinct gram and context
+    of the highest and of the lower orders comes to the driver."""
     grams = cut(gram_counts(counted_words, order))
     highest = grams.where((F.col("k") == order) | F.col("starts"))
     # in how many left contexts a shorter gram occurs
@@ -253,22 +257,20 @@ def fit_model(counted_words: DataFrame, cells: int = CELLS, order: int = ORDER)
     lower = grams.where(F.col("k") < order).select("k", "gram", "context").join(followed, ["k", "gram"])
     kinds = lambda c: F.sum((F.col(c) > 0).cast("int"))
     jobs = (
-        (highest, "gram", {"toxic": F.sum("n_toxic"), "ordinary": F.sum("n_ordinary")}),
-        (highest, "context", {"total_toxic": F.sum("n_toxic"), "total_ordinary": F.sum("n_ordinary"),
-                              "kinds_toxic": kinds("n_toxic"), "kinds_ordinary": kinds("n_ordinary")}),
-        (lower, "gram", {"shared": F.sum("n")}),
-        (lower, "context", {"shared_total": F.sum("n"), "shared_kinds": F.count("*")}),
+        ("top", highest, "gram", {"toxic": F.sum("n_toxic"), "ordinary": F.sum("n_ordinary")}),
+        ("top", highest, "context", {"total_toxic": F.sum("n_toxic"), "total_ordinary": F.sum("n_ordinary"),
+                                     "kinds_toxic": kinds("n_toxic"), "kinds_ordinary": kinds("n_ordinary")}),
+        ("shared", lower, "gram", {"shared": F.sum("n")}),
+        ("shared", lower, "context", {"shared_total": F.sum("n"), "shared_kinds": F.count("*")}),
     )
     tables = {}
-    for rows, key, sums in jobs:
-        at_cell = rows.groupBy(F.pmod(key, F.lit(cells)).cast("int").alias("cell")).agg(
-            *(value.cast("float").alias(name) for name, value in sums.items())
-        )
-        got = at_cell.toArrow()
-        at = got.column("cell").to_numpy()
+    for part, rows, key, sums in jobs:
+        got = rows.groupBy(key).agg(*(value.cast("float").alias(name) for name, value in sums.items())).toArrow()
+        keys = got.column(key).to_numpy().view(np.uint64)
+        order_of = np.argsort(keys)
+        tables[f"{part}_{key}"] = keys[order_of]
         for name in sums:
-            tables[name] = np.zeros(cells, dtype=np.float32)
-            tables[name][at] = got.column(name).to_numpy()
+            tables[name] = got.column(name).to_numpy()[order_of]
     return Model(tables, order)
 
 

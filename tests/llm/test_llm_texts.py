@@ -503,3 +503,17 @@ def test_no_label_of_the_held_out_fold_is_learnt(spark):
     a, b = (toxicity.learn(docs, x) for x in (labels, turned))
     assert np.array_equal(a.weights, b.weights) and a.bias == b.bias
     assert all(np.array_equal(a.model.t[k], b.model.t[k]) for k in a.model.t)
+
+
+def test_toxicity_counts_are_exact_at_any_vocabulary(spark):
+    """Toxic words keep their scores beside 400,000 ordinary words of another script (3 million n-grams)."""
+    base = [(f"vrek{a}{b}ust", 20, 0) for a in "abcd" for b in "efgh"] + [(f"lomi{a}{b}nar", 0, 20) for a in "abcd" for b in "efgh"]
+    schema = "word string, n_toxic long, n_ordinary long"
+    few = spark.createDataFrame(base, schema)
+    many = spark.range(400_000, numPartitions=8).selectExpr(
+        "translate(substr(hex(xxhash64(id)), 1, 12), '0123456789ABCDEF', 'абвгдежзийклмноп') as word",
+        "0L as n_toxic", "20L as n_ordinary",
+    )
+    words = [w for w, toxic, _ in base if toxic]
+    alone, among = (toxicity.fit_model(x).word_scores(words) for x in (few, few.unionByName(many)))
+    assert alone.min() > 8 and among.min() > 0.95 * alone.min()
