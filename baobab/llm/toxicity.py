@@ -12,7 +12,9 @@ likelihoods, normalised by length over the whole text, over its windows and
 over its words; a logistic fit on labelled rows that the counts have not seen
 turns it into a score.
 
-The n-gram counts are exact, in Spark and in what is broadcast: one entry for
+The n-gram counts that score cover every labelled row that may be learnt from;
+only the fit of the logistic sees counts without the rows that it is fitted on.
+Counts are exact, in Spark and in what is broadcast: one entry for
 each distinct n-gram and context, found by its 64-bit hash.  The tables grow with
 the vocabulary of the labelled rows, and not with the number of rows.
 """
@@ -291,8 +293,9 @@ def learn(
 ) -> Scorer:
     """Learn from the labelled rows outside the held-out fold.
 
-    Three quarters of them are counted for the language models, all of their
-    text, a word once a document; the logistic fit sees the last quarter, ``fit_rows`` rows at most.
+    A word counts once a document.  The logistic is fitted on a quarter of the
+    rows, ``fit_rows`` rows at most, with language models that count the other
+    three quarters; the models that score then count all rows.
     Rows with a null id, text or label teach nothing; one with several labels
     counts once for each.  Without rows of both classes every score is 0."""
     # folds are cut before the join, so that no held-out text is moved
@@ -305,17 +308,26 @@ def learn(
     rows = rows.where(F.col("id").isNotNull() & F.col("text").isNotNull() & (fold(F.col("id")) != HELD_OUT))
     quarter = F.floor(F.crc32(F.col("id").cast("string")) / FOLDS) % 4
     taught = rows.join(known, "id").withColumn("fits", quarter == 0)
+    toxic, ordinary, other = F.col("y"), 1 - F.col("y"), (~F.col("fits")).cast("int")
     counted = cut(
-        taught.where(~F.col("fits"))
-        .select("y", F.explode(F.array_distinct(words(F.col("text")))).alias("word"))
+        taught.select("y", "fits", F.explode(F.array_distinct(words(F.col("text")))).alias("word"))
         .groupBy("word")
-        .agg(F.sum("y").alias("n_toxic"), F.sum(1 - F.col("y")).alias("n_ordinary"))
+        .agg(
+            F.sum(toxic).alias("n_toxic"),
+            F.sum(ordinary).alias("n_ordinary"),
+            F.sum(toxic * other).alias("other_toxic"),
+            F.sum(ordinary * other).alias("other_ordinary"),
+        )
     )
-    both = counted.agg(F.sum("n_toxic"), F.sum("n_ordinary")).first()
-    if not both[0] or not both[1]:
+    n = counted.agg(*(F.sum(c) for c in ("n_toxic", "n_ordinary", "other_toxic", "other_ordinary"))).first()
+    if not n[0] or not n[1]:
         return Scorer(None, np.zeros(len(FEATURES)), 0.0)
     model = fit_model(counted)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    others = model
+    if n[2] and n[3]:  # else a class is in the quarter alone, and the fit takes the same counts
+        part = counted.select("word", F.col("other_toxic").alias("n_toxic"), F.col("other_ordinary").alias("n_ordinary"))
+        others = fit_model(part.where("n_toxic + n_ordinary > 0"))
+    shared = docs.sparkSession.sparkContext.broadcast(others)
 
     def run(batches):
         for block in blocks(batches):

@@ -517,3 +517,17 @@ def test_toxicity_counts_are_exact_at_any_vocabulary(spark):
     words = [w for w, toxic, _ in base if toxic]
     alone, among = (toxicity.fit_model(x).word_scores(words) for x in (few, few.unionByName(many)))
     assert alone.min() > 8 and among.min() > 0.95 * alone.min()
+
+
+def test_toxicity_counts_every_labelled_row(spark):
+    """A word that only rows of the fitted quarter have is in the counts that score."""
+    ids = [i for i in range(4000) if zlib.crc32(str(i).encode()) % 3 != toxicity.HELD_OUT]
+    fits = {i for i in ids if zlib.crc32(str(i).encode()) // 3 % 4 == 0}
+    data = [(i, f"{'vrekust' if i % 2 else 'lominar'} {'zzqx' if i % 2 and i in fits else 'and'}", i % 2) for i in ids]
+    docs = spark.createDataFrame(data, "doc_id long, text string, toxic int")
+    scorer = toxicity.learn(docs, docs.select("doc_id", "toxic"))
+    assert scorer.model.word_scores(["zzqx"])[0] > 2
+    everywhere = sum(t for _, _, t in data)
+    keys, counts = scorer.model.t["top_gram"], scorer.model.t["toxic"]
+    gram = toxicity.Grams(["vrekust"]).gram(toxicity.ORDER, np.array([8]))
+    assert counts[np.searchsorted(keys, gram)[0]] == everywhere
