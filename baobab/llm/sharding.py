@@ -3,8 +3,9 @@
 Documents that share a group are linked.  Linked documents start on a hashed
 shard; in every round each looks at how many members of its groups every shard
 holds and asks to move to the fullest one.  Requests are granted as flows between
-shards that leave none above its quota.  Documents without links and whatever is above a
-quota then fill the shards to exactly their quotas.
+shards that leave none above its quota.  Groups that are still split then go as a
+whole to a shard that has room for them, the largest first.  Documents without links
+and whatever is above a quota fill the shards to exactly their quotas.
 
 All steps are joins and aggregations.  Groups count per shard (one row a group),
 so a group of any size is a partial sum; requests are ordered over a fixed
@@ -14,11 +15,14 @@ the edge of a quota are ranked.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from baobab.llm.common import cell_offsets, cut, text_key
+from baobab.llm.components import components
 
 #: Cells of the ordering: so many for groups, each with so many for the documents of a group.
 GROUP_CELLS, MEMBER_CELLS = 64, 256
@@ -134,6 +138,97 @@ def propagate(members: DataFrame, quota: list[int], rounds: int = ROUNDS) -> Dat
     return state
 
 
+def fitted(sizes: dict[int, int], room: list[int]) -> tuple[list[tuple], list[tuple]]:
+    """Places for ``sizes`` (size -> how many) in the room of the shards, best fit
+    decreasing.  The first list has (size, first, end, shard): the units of a size
+    numbered from first to end - 1 go there whole.  The second has (size, number,
+    first, end, shard): rows of a unit that no shard has room for."""
+    room, whole, parts = list(room), [], []
+    for size in sorted(sizes, reverse=True):
+        nth = 0
+        while nth < sizes[size]:
+            roomy = [s for s in range(len(room)) if room[s] >= size]
+            if roomy:
+                to = min(roomy, key=lambda s: (room[s], s))
+                n = min(room[to] // size, sizes[size] - nth)
+                whole.append((size, nth, nth + n, to))
+                room[to] -= n * size
+                nth += n
+                continue
+            at = 0
+            for to in sorted(range(len(room)), key=lambda s: (-room[s], s)):
+                n = min(room[to], size - at)
+                if n > 0:
+                    parts.append((size, nth, at, at + n, to))
+                    room[to], at = room[to] - n, at + n
+            nth += 1
+    return whole, parts
+
+
+def _plan(rows: list[tuple], names: list[str], spark) -> DataFrame:
+    """A few rows of longs (at most ``shards`` for each distinct size and split unit) as a broadcast table."""
+    schema = "array<struct<" + ",".join(f"{x}:bigint" for x in names) + ">>"
+    text = json.dumps([dict(zip(names, r, strict=True)) for r in rows])
+    return F.broadcast(spark.range(1).select(F.inline(F.from_json(F.lit(text), schema))))
+
+
+def united(state: DataFrame, members: DataFrame, quota: list[int]) -> DataFrame:
+    """``state`` of :func:`propagate` with its split groups put together.
+
+    A unit is a group, or all groups that share rows.  Units that lie in several
+    shards, and as many of a shard above its quota as are above it, are taken out
+    and placed anew where they fit whole; one that fits nowhere is dealt shard
+    after shard.  Groups that share rows and are larger than a quota stay as
+    propagation left them."""
+    shards, spark = len(quota), state.sparkSession
+    rows = state.withColumn("unit", F.col("g")).withColumn("shares", F.lit(False))
+    if members.count() > state.count():
+        links = members.join(state.select("rid", F.col("g").alias("b")), "rid").where("g <> b")
+        roots = components(links.select(F.col("g").alias("a"), "b")).select(F.col("node").alias("g"), "root")
+        rows = state.join(roots, "g", "left").select(
+            "rid", "g", "shard", F.coalesce("root", "g").alias("unit"), F.col("root").isNotNull().alias("shares")
+        )
+    rows = cut(rows)
+    held = [F.sum((F.col("shard") == s).cast("long")).alias(f"n{s}") for s in range(shards)]
+    units = rows.groupBy("unit").agg(
+        F.count("*").alias("n"), F.min("shard").alias("lo"), F.max("shard").alias("hi"), F.max("shares").alias("shares"), *held
+    )
+    moves = (F.col("n") <= min(quota)) | ~F.col("shares")
+    cells = F.pmod(F.xxhash64("unit"), F.lit(GROUP_CELLS * MEMBER_CELLS))
+    units = cut(units.withColumn("cell", cells).withColumn("out", moves & (F.col("lo") != F.col("hi"))))
+    total = [F.coalesce(F.sum(f"n{s}"), F.lit(0)) for s in range(shards)]
+    stay = list(units.where("not out").agg(*total).first())
+    if any(stay[s] > quota[s] for s in range(shards)):
+        # whole units beyond the quota, by cells
+        fixed = list(units.where(~moves).agg(*total).first())
+        limit = F.get(F.array(*(F.lit(max(quota[s] - fixed[s], 0)) for s in range(shards))), F.col("lo"))
+        whole = units.where(moves & ~F.col("out"))
+        before = cell_offsets(whole.groupBy("lo", "cell").agg(F.sum("n").alias("n")), ["lo"], ["cell"])
+        over = cut(before.where(F.col("before") + F.col("n") > limit).select("lo", "cell", F.lit(True).alias("over")))
+        units = units.join(F.broadcast(over), ["lo", "cell"], "left")
+        units = cut(units.withColumn("out", F.col("out") | (moves & F.coalesce("over", F.lit(False)))))
+        stay = list(units.where("not out").agg(*total).first())
+    taken = units.where("out").select(F.col("unit").alias("rid"), F.col("n").alias("size"), "cell")
+    sizes = {r["size"]: r["n"] for r in taken.groupBy("size").agg(F.count("*").alias("n")).collect()}
+    if not sizes:
+        return state
+    whole, parts = fitted(sizes, [max(quota[s] - stay[s], 0) for s in range(shards)])
+    nth = cut(ranked(taken, "size", "nth").select(F.col("rid").alias("unit"), "size", "nth"))
+    plan = _plan(whole, ["size", "first", "end", "target"], spark)
+    inside = (F.col("nth") >= F.col("first")) & (F.col("nth") < F.col("end"))
+    targets = cut(nth.join(plan, "size").where(inside).select("unit", F.col("target").cast("int").alias("target")))
+    placed = rows.join(targets, "unit", "left").select("rid", "g", "unit", F.coalesce("target", "shard").alias("shard"))
+    if not parts:
+        return cut(placed.drop("unit"))
+    dealt = _plan(parts, ["size", "nth", "first", "end", "target"], spark)
+    dealt = cut(nth.join(dealt, ["size", "nth"]).select("unit", "first", "end", F.col("target").cast("int").alias("target")))
+    torn = F.broadcast(dealt.select("unit").distinct())
+    some = placed.join(torn, "unit", "left_semi").withColumn("cell", F.pmod(F.xxhash64("rid"), F.lit(GROUP_CELLS * MEMBER_CELLS)))
+    row = ranked(cut(some), "unit", "k").join(F.broadcast(dealt), "unit")
+    row = row.where((F.col("k") >= F.col("first")) & (F.col("k") < F.col("end"))).select("rid", "g", F.col("target").alias("shard"))
+    return cut(placed.join(torn, "unit", "left_anti").drop("unit").unionByName(row))
+
+
 def shard_documents(
     docs: DataFrame,
     shards: int = 8,
@@ -173,7 +268,7 @@ def shard_documents(
     several = cut(group.groupBy("g").agg(F.count("*").alias("n")).where("n > 1").select("g"))
     members = cut(group.join(several, "g").select("rid", "g"))
     quota = quotas(base.count(), shards)
-    state = propagate(members, quota, rounds)
+    state = united(propagate(members, quota, rounds), members, quota)
     # linked rows take the first slots of their shard, up to its quota
     placed = cut(ranked(state.withColumn("cell", _cell(F.xxhash64("g"), F.xxhash64("rid"))), "shard", "slot"))
     limit = F.get(F.array(*(F.lit(q) for q in quota)), F.col("shard"))

@@ -389,6 +389,19 @@ def test_sharding_large_group_and_links(spark):
     assert sum(map(len, whole.values())) <= 0.7 * 50 * 7.3  # shards a group; 7.3 by chance, 6.25 groups fit a shard
 
 
+def test_sharding_splits_no_group_that_has_room(spark):
+    """A third of the rows in one group and 720 pairs; then pairs alone, without any other row."""
+    for hot, pairs, own in ((800, 720, 160), (0, 720, 0)):
+        texts = ["copy"] * hot + [f"t{i // 2}" for i in range(2 * pairs)] + [f"own {i}" for i in range(own)]
+        frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+        out = rows(sharding.shard_documents(frame, rounds=2))
+        check_shards(out, len(texts))
+        of = defaultdict(set)
+        for r in out:
+            of[texts[r["doc_id"]]].add(r["shard"])
+        assert not [t for t, s in of.items() if t != "copy" and len(s) > 1]
+
+
 def test_granted_flows_keep_quotas():
     rnd = random.Random(1)
     for _ in range(500):
