@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import NullType
 
 from baobab.session import ensure_checkpoint_dir
 
@@ -14,10 +17,19 @@ SPACE_CLASS = "[\\x20\\x09-\\x0D]"
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared checkpoint folder and cut its lineage,
-    so that a lost executor costs a re-read and not a recomputation."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
+    """``df`` written as Parquet into the shared checkpoint folder and read again.
+
+    A lost executor then costs a re-read and not a recomputation, and later
+    plans know the true size: ``DataFrame.checkpoint()`` would keep the estimate
+    of the plan that it cuts, which every join multiplies, so that loops plan
+    with ever larger numbers.  Columns of type void come back as nulls."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/cut-{uuid.uuid4().hex}"
+    void = [f.name for f in df.schema if isinstance(f.dataType, NullType)]
+    written = df.drop(*void) if void else df
+    written.write.parquet(path)
+    back = spark.read.schema(written.schema).parquet(path)
+    return back.withColumns({c: F.lit(None) for c in void}).select(*df.columns) if void else back
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
