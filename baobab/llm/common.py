@@ -64,6 +64,26 @@ def bounded_sample(rows: DataFrame, most: int, about: int, *key: str) -> DataFra
     return thinned(rows, most, about, at).orderBy(at).limit(most)
 
 
+def positions(rows: DataFrame, group: list[str], order: list[Column], out: str = "pos") -> DataFrame:
+    """``rows``, written, with the gapless number ``out`` from 0 of each row in its group.
+
+    The rows are range-sorted as a whole, equal ones apart from each other too,
+    so a group of any size lies over many tasks; a row's number is its place in
+    its task's run of the group and the lengths of the runs before.  The columns
+    of ``group`` have no nulls."""
+    from pyspark.sql import Window as W
+
+    tied = rows.withColumn("__tie", F.monotonically_increasing_id())
+    sorted_rows = tied.orderBy(*group, *order, "__tie").drop("__tie")
+    at = cut(sorted_rows.withColumn("__at", F.monotonically_increasing_id()))
+    at = at.withColumn("__run", F.shiftright("__at", 33))
+    runs = at.groupBy(*group, "__run").agg(F.count("*").alias("__n"), F.min("__at").alias("__first"))
+    w = W.partitionBy(*group).orderBy("__run").rowsBetween(W.unboundedPreceding, -1)  # a row for each task at most
+    runs = cut(runs.withColumn("__before", F.coalesce(F.sum("__n").over(w), F.lit(0))))
+    number = (F.col("__at") - F.col("__first") + F.col("__before")).cast("long")
+    return at.join(runs.drop("__n"), [*group, "__run"]).withColumn(out, number).drop("__at", "__run", "__first", "__before")
+
+
 def cell_offsets(counts: DataFrame, group: list[str], cells: list[str], n: str = "n") -> DataFrame:
     """Exclusive running sum ``before`` of ``n`` over the cells of each group.
 

@@ -10,7 +10,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from baobab.llm import bpe, chat, counts, lines, neighbours, packing, quality, sharding, simhash, toxicity
+from baobab.llm import (
+    bpe,
+    chat,
+    counts,
+    exact,
+    lines,
+    neighbours,
+    packing,
+    quality,
+    repair,
+    sharding,
+    simhash,
+    toxicity,
+    trie,
+)
 from baobab.llm.common import table
 
 BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -83,6 +97,21 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the prefix trie of all rebuilt conversations."""
+    return trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the id of the one that stays of its equal texts."""
+    return exact.exact_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation after damage: its faults and its lightest repair."""
+    return repair.repair_conversations(table(spark, sf_dir, "conversations"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     every = (
         op1_token_counts,
@@ -95,10 +124,20 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_sharding,
         op9_packing,
         op10_toxicity,
+        op11_prefix_trie,
+        op12_exact_dedup,
+        op13_conversation_repair,
     )
     return {f.__name__: f for f in every} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
     own = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
-    return own | {"op2_quality": quality.SQL, "op5_line_dedup": lines.SQL, "op7_chat": chat.SQL}
+    return own | {
+        "op2_quality": quality.SQL,
+        "op5_line_dedup": lines.SQL,
+        "op7_chat": chat.SQL,
+        "op11_prefix_trie": trie.SQL,
+        "op12_exact_dedup": exact.SQL,
+        "op13_conversation_repair": repair.SQL,
+    }
