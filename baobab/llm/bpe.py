@@ -29,6 +29,8 @@ from pyspark.sql import functions as F
 #: Documents of one replay block, and words that each of the two generations of
 #: a worker's word cache holds; a word met again moves to the younger one.
 BLOCK_DOCS = 512
+#: Bytes of a block of several documents, so that very long texts come in smaller blocks.
+BLOCK_BYTES = 32 << 20
 CACHE_WORDS = 300_000
 
 
@@ -174,9 +176,16 @@ def replay(path: str, pattern: str) -> Replay:
 
 
 def blocks(batches: Iterator[pa.RecordBatch], size: int = BLOCK_DOCS) -> Iterator[pa.RecordBatch]:
+    """Parts of the batches of at most ``size`` rows and, of several rows, ``BLOCK_BYTES``."""
     for batch in batches:
-        for start in range(0, batch.num_rows, size):
-            yield batch.slice(start, size)
+        todo = [batch.slice(start, size) for start in range(0, batch.num_rows, size)][::-1]
+        while todo:
+            part = todo.pop()
+            if part.num_rows > 1 and part.nbytes > BLOCK_BYTES:
+                half = part.num_rows // 2
+                todo += [part.slice(half), part.slice(0, half)]
+            else:
+                yield part
 
 
 def encode(

@@ -88,7 +88,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of every document, learnt from the labels outside the held-out fold."""
     docs = table(spark, sf_dir, "documents")
     scorer = toxicity.learn(docs, table(spark, sf_dir, "labels"))
-    scored = docs.select("doc_id", toxicity.score(F.col("text"), scorer, spark).alias("score"))
+    scored = toxicity.scored(docs.select("doc_id", "text"), scorer)
     return scored.select(
         "doc_id",
         F.coalesce(toxicity.fold(F.col("doc_id")) == toxicity.HELD_OUT, F.lit(False)).alias("held_out"),

@@ -14,15 +14,17 @@ turns it into a score.
 
 The n-gram counts that score cover every labelled row that may be learnt from;
 only the fit of the logistic sees counts without the rows that it is fitted on.
-Counts are exact, in Spark and in what is broadcast: one entry for
-each distinct n-gram and context, found by its 64-bit hash.  The tables grow with
-the vocabulary of the labelled rows, and not with the number of rows.
+Counts are exact, one entry for each distinct n-gram and context, found by its
+64-bit hash.  They grow with the vocabulary of the labelled rows: tables up to a
+stated number of entries are broadcast, larger ones stay in Spark, where the
+distinct words of the documents are joined to them.
 """
 
 from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -36,10 +38,13 @@ ORDER = 6
 DISCOUNT = 0.9
 #: Labels up to this number are broadcast to the texts; more are joined plainly.
 BROADCAST_LABELS = 1_000_000
+#: Distinct grams and contexts up to which the models are broadcast (about 110 bytes each in a
+#: worker); words are joined to larger ones.
+BROADCAST_GRAMS = 4_000_000
 #: Labelled rows that the logistic fit takes at most.
 FIT_ROWS = 20_000
-#: Words that a worker keeps the scores of, and that are scored in one go.
-CACHE_WORDS, WORDS_AT_ONCE = 250_000, 20_000
+#: Words that each of a worker's two cache generations holds, and that are scored in one go.
+CACHE_WORDS, WORDS_AT_ONCE = 400_000, 4_000
 #: A word's log likelihood ratio from which on it counts as evidence by itself.
 EXCESS = 4.0
 #: A document with this score or more is toxic.
@@ -92,25 +97,20 @@ class Grams:
         return self.gram(k - 1, at - 1)
 
 
-def values(hashes: np.ndarray, keys: np.ndarray, *columns: np.ndarray) -> list[np.ndarray]:
-    """Of each of ``columns`` the entries of ``hashes``, by the sorted ``keys``; 0 where there is none."""
-    if not len(keys):
-        return [np.zeros(len(hashes)) for _ in columns]
-    at = np.minimum(np.searchsorted(keys, hashes), len(keys) - 1)
-    there = keys[at] == hashes
-    return [np.where(there, c[at], 0) for c in columns]
+COUNTS = ("n_toxic", "n_ordinary", "other_toxic", "other_ordinary")
 
 
 def gram_counts(counted_words: DataFrame, order: int = ORDER) -> DataFrame:
-    """Distinct n-grams of the words with their counts per class.
+    """Distinct n-grams of the words with the sums of their ``COUNTS``.
 
-    ``counted_words``: word, n_toxic, n_ordinary.  Columns: k, gram, context,
-    suffix (hashes as longs), starts (the gram begins a word), n_toxic, n_ordinary."""
+    ``counted_words``: word and ``COUNTS``.  Columns: k, gram, context, suffix
+    (hashes as longs), starts (the gram begins a word), and ``COUNTS``."""
+    keys = ["k", "gram", "context", "suffix", "starts"]
 
     def run(batches):
-        for block in blocks(batches, WORDS_AT_ONCE):
+        for block in blocks(batches, 20_000):
             grams = Grams([normalised(w) for w in block.column(0).to_pylist()], order)
-            n = [block.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in (1, 2)]
+            n = [block.column(i + 1).to_numpy(zero_copy_only=False).astype(np.int64) for i in range(len(COUNTS))]
             for k in range(1, order + 1):
                 at = np.flatnonzero((grams.depth >= k) & (grams.depth > 1))
                 if not len(at):
@@ -127,100 +127,186 @@ def gram_counts(counted_words: DataFrame, order: int = ORDER) -> DataFrame:
                         pa.array(grams.depth[one] == k),
                         *map(pa.array, sums),
                     ],
-                    names=["k", "gram", "context", "suffix", "starts", "n_toxic", "n_ordinary"],
+                    names=[*keys, *COUNTS],
                 )
 
-    schema = "k int, gram bigint, context bigint, suffix bigint, starts boolean, n_toxic bigint, n_ordinary bigint"
-    parts = counted_words.select("word", "n_toxic", "n_ordinary").mapInArrow(run, schema)
-    return parts.groupBy("k", "gram", "context", "suffix", "starts").agg(
-        F.sum("n_toxic").alias("n_toxic"), F.sum("n_ordinary").alias("n_ordinary")
-    )
+    schema = "k int, gram bigint, context bigint, suffix bigint, starts boolean, " + ", ".join(f"{c} bigint" for c in COUNTS)
+    parts = counted_words.select("word", *COUNTS).mapInArrow(run, schema)
+    return parts.groupBy(*keys).agg(*(F.sum(c).alias(c) for c in COUNTS))
+
+
+#: What a gram's hash leads to: as a gram of the highest order (or one that begins a
+#: word) its counts per class, as the context of such the totals and kinds of what
+#: follows it; as a lower gram and as the context of one, continuation counts.
+PARTS = {
+    "top_gram": ("toxic", "ordinary"),
+    "top_context": ("total_toxic", "total_ordinary", "kinds_toxic", "kinds_ordinary"),
+    "shared_gram": ("shared",),
+    "shared_context": ("shared_total", "shared_kinds"),
+}
+COLUMNS = tuple(c for columns in PARTS.values() for c in columns)
+
+
+def log_ratio(
+    t: dict[str, np.ndarray], depth: np.ndarray, gram: list[np.ndarray], context: list[np.ndarray], discount: float
+) -> np.ndarray:
+    """log P(toxic) - log P(ordinary) of characters at these depths of their words.
+
+    ``gram[k]``: rows of ``t`` of the k characters up to each; ``context[k]``: of
+    the k before it.  ``len(gram) - 1`` is the highest order."""
+
+    def interpolated(n, total, kinds, back):
+        safe = np.maximum(total, 1e-9)
+        own = np.minimum(np.maximum(n - discount, 0) / safe, 1)
+        return np.where(total > 0, own + np.minimum(discount * kinds / safe, 1) * back, back)
+
+    order = len(gram) - 1
+    shared = np.full(len(depth), 1 / 256)
+    for k in range(1, order):
+        there = np.flatnonzero(depth > k)  # below the highest order that this place has
+        g, c = gram[k][there], context[k - 1][there]
+        counts = t["shared"][g], t["shared_total"][c], t["shared_kinds"][c]
+        shared[there] = interpolated(*(x.astype(np.float64) for x in counts), shared[there])
+    top = np.minimum(depth, order)
+    g, c = np.zeros(len(depth), dtype=np.int32), np.zeros(len(depth), dtype=np.int32)
+    for k in range(1, order + 1):
+        here = np.flatnonzero(top == k)
+        g[here], c[here] = gram[k][here], context[k - 1][here]
+    logs = []
+    for name in ("toxic", "ordinary"):
+        counts = t[name][g], t[f"total_{name}"][c], t[f"kinds_{name}"][c]
+        logs.append(np.log(interpolated(*(x.astype(np.float64) for x in counts), shared) + 1e-30))
+    return logs[0] - logs[1]
+
+
+def text_features(n: np.ndarray, s: np.ndarray, long: np.ndarray, window: int = 8) -> np.ndarray:
+    """One row of ``FEATURES`` for each text of n words, from the scores ``s`` and
+    lengths ``long`` of all words in a row.
+
+    whole: the difference per character over the whole text; window: the
+    largest such over windows of ``window`` words; word: the largest of one
+    word; excess: what words have beyond ``EXCESS``, added up, as a logarithm.
+    A text without words has zeros."""
+    out = np.zeros((len(n), len(FEATURES)))
+    some = np.flatnonzero(n)
+    if not len(some):
+        return out
+    n = n[some]
+    starts = np.cumsum(n) - n
+    whole = np.add.reduceat(s, starts) / np.add.reduceat(long, starts)
+    best = whole  # of a text shorter than a window
+    if len(s) >= window:
+        a, b = np.insert(np.cumsum(s), 0, 0), np.insert(np.cumsum(long), 0, 0)
+        at = np.full(len(s), -np.inf)
+        at[window - 1 :] = (a[window:] - a[:-window]) / (b[window:] - b[:-window])
+        inside = np.arange(len(s)) - np.repeat(starts, n)
+        at[inside < window - 1] = -np.inf
+        best = np.where(n >= window, np.maximum.reduceat(at, starts), whole)
+    excess = np.log1p(np.add.reduceat(np.maximum(s - EXCESS, 0), starts))
+    out[some] = np.column_stack([whole, best, np.maximum.reduceat(s, starts), excess])
+    return out
 
 
 class Model:
-    """The two language models as arrays over sorted hashes of grams and contexts.
+    """The two language models as one table of hashes of grams and contexts.
 
-    top: per class, counts of grams, and totals and kinds per context, of the
-    highest order (and of shorter grams that begin a word).  shared: the
-    continuation counts of all lower orders."""
+    ``tables`` has, for each of ``PARTS``, sorted distinct hashes and their columns.
+    A gram of k characters that ends at a place is also the context of the one of
+    k + 1 at the next place, so each is looked up once, in one open-addressing
+    table that a worker builds when it is first asked."""
 
     def __init__(self, tables: dict[str, np.ndarray], order: int = ORDER, discount: float = DISCOUNT):
         self.t, self.order, self.discount = tables, order, discount
         self.cache: dict[bytes, float] = {}
+        self.older: dict[bytes, float] = {}
+        self.slots: np.ndarray | None = None
 
     def __reduce__(self):
         # most counts are 1: packed, they take a small part of the space on every executor
         packed = {name: (x.dtype.str, zlib.compress(x.tobytes(), 1)) for name, x in self.t.items()}
         return _unpacked, (packed, self.order, self.discount)
 
+    def _index(self) -> None:
+        self.keys = np.unique(np.concatenate([self.t[part] for part in PARTS]))
+        # one row more, for what is not there
+        self.columns = {c: np.zeros(len(self.keys) + 1, dtype=np.float32) for c in COLUMNS}
+        for part, columns in PARTS.items():
+            rows = np.searchsorted(self.keys, self.t[part])
+            for c in columns:
+                self.columns[c][rows] = self.t[c]
+        self.shift = np.uint64(64 - max(4 * len(self.keys), 16).bit_length())
+        self.mask = (1 << (64 - int(self.shift))) - 1
+        self.slots = np.full(self.mask + 1, -1, dtype=np.int32)
+        todo = np.arange(len(self.keys), dtype=np.int32)
+        at = self._home(self.keys)
+        while len(todo):
+            free = self.slots[at] < 0
+            self.slots[at[free]] = todo[free]
+            lost = self.slots[at] != todo
+            todo, at = todo[lost], (at[lost] + 1) & self.mask
+
+    def _home(self, hashes: np.ndarray) -> np.ndarray:
+        return ((hashes * _MIX) >> self.shift).astype(np.int64)
+
+    def find(self, hashes: np.ndarray) -> np.ndarray:
+        """Rows of the table, or its length where a hash is not there."""
+        keys = self.keys
+        out = np.full(len(hashes), len(keys), dtype=np.int32)
+        if not len(keys):
+            return out
+        todo, at = np.arange(len(hashes)), self._home(hashes)
+        while len(todo):
+            row = self.slots[at]
+            hit = (row >= 0) & (keys[row] == hashes[todo])
+            out[todo[hit]] = row[hit]
+            more = ~hit & (row >= 0)
+            todo, at = todo[more], (at[more] + 1) & self.mask
+        return out
+
     def word_scores(self, texts: list[str]) -> np.ndarray:
         """log P(word | toxic) - log P(word | ordinary) of each word."""
         if not texts:
             return np.zeros(0)
-        t, d = self.t, self.discount
+        if self.slots is None:
+            self._index()
         grams = Grams([normalised(w) for w in texts], self.order)
-        at = np.flatnonzero(grams.depth > 1)
-        depth = grams.depth[at]
-        shared = np.full(len(at), 1 / 256)
-        for k in range(1, self.order):
-            there = depth > k  # below the highest order that this place has
-            p = at[there]
-            (n,) = values(grams.gram(k, p), t["shared_gram"], t["shared"])
-            total, kinds = values(grams.context(k, p), t["shared_context"], t["shared_total"], t["shared_kinds"])
-            safe = np.maximum(total, 1e-9)
-            own = np.maximum(n - d, 0) / safe
-            back = np.minimum(d * kinds / safe, 1)
-            shared[there] = np.where(total > 0, np.minimum(own, 1) + back * shared[there], shared[there])
-        top = np.minimum(depth, self.order)
-        gram, context = np.zeros(len(at), dtype=np.uint64), np.zeros(len(at), dtype=np.uint64)
+        rows = [np.broadcast_to(self.find(np.zeros(1, dtype=np.uint64)), len(grams.depth))]
+        none = len(self.keys)
+        there = np.arange(len(grams.depth))
         for k in range(1, self.order + 1):
-            here = top == k
-            gram[here], context[here] = grams.gram(k, at[here]), grams.context(k, at[here])
-        classes = ("toxic", "ordinary")
-        counts = values(gram, t["top_gram"], *(t[c] for c in classes))
-        totals = values(context, t["top_context"], *(t[f"total_{c}"] for c in classes))
-        kinds = values(context, t["top_context"], *(t[f"kinds_{c}"] for c in classes))
-        logs = []
-        for n, total, many in zip(counts, totals, kinds, strict=True):
-            safe = np.maximum(total, 1e-9)
-            own = np.maximum(n - d, 0) / safe
-            back = np.minimum(d * many / safe, 1)
-            logs.append(np.log(np.where(total > 0, np.minimum(own, 1) + back * shared, shared) + 1e-30))
-        return np.bincount(grams.word[at], weights=logs[0] - logs[1], minlength=len(texts))
-
-    def features(self, texts: list[bytes | None], window: int = 8) -> np.ndarray:
-        """One row of ``FEATURES`` for each UTF-8 text.
-
-        whole: the difference per character over the whole text; window: the
-        largest such over windows of ``window`` words; word: the largest of one
-        word; excess: what words have beyond ``EXCESS``, added up, as a logarithm.
-        A text without words has zeros."""
-        split = [(t or b"").split() for t in texts]
-        found = set().union(*split)
-        new = list(found.difference(self.cache))
+            if k > 1:  # a gram that is there has both its longest parts there
+                last = rows[-1]
+                there = there[(grams.depth[there] >= k) & (last[there] != none)]
+                there = there[last[there - 1] != none]
+            found = np.full(len(grams.depth), none, dtype=np.int32)
+            found[there] = self.find(grams.gram(k, there))
+            rows.append(found)
+        at = np.flatnonzero(grams.depth > 1)
+        ratio = log_ratio(self.columns, grams.depth[at], [r[at] for r in rows], [r[at - 1] for r in rows], self.discount)
+        return np.bincount(grams.word[at], weights=ratio, minlength=len(texts))
+
+    def learn_words(self, words: set[bytes]) -> None:
+        """Make sure that the cache holds these words' scores; one met again moves to the younger generation."""
+        new = words.difference(self.cache)
         if len(self.cache) + len(new) > CACHE_WORDS:
-            self.cache, new = {}, list(found)
-        for start in range(0, len(new), WORDS_AT_ONCE):
-            some = new[start : start + WORDS_AT_ONCE]
+            self.older, self.cache, new = self.cache, {}, words
+        old = self.older.keys() & new
+        self.cache.update((w, self.older[w]) for w in old)
+        todo = list(new - old)
+        for start in range(0, len(todo), WORDS_AT_ONCE):
+            some = todo[start : start + WORDS_AT_ONCE]
             scores = self.word_scores([w.decode("utf-8", "replace") for w in some])
             self.cache.update(zip(some, scores.tolist(), strict=True))
-        of, out = self.cache.__getitem__, np.zeros((len(texts), len(FEATURES)))
-        for k, parts in enumerate(split):
-            n = len(parts)
-            if not n:
-                continue
-            s = np.fromiter(map(of, parts), dtype=np.float64, count=n)
-            long = np.fromiter(map(len, parts), dtype=np.float64, count=n) + 1
-            m = min(window, n)
-            a, b = np.cumsum(s), np.cumsum(long)
-            a[m:], b[m:] = a[m:] - a[:-m], b[m:] - b[:-m]
-            out[k] = (
-                s.sum() / long.sum(),
-                (a[m - 1 :] / b[m - 1 :]).max(),
-                s.max(),
-                np.log1p(np.maximum(s - EXCESS, 0).sum()),
-            )
-        return out
+
+    def features(self, texts: list[bytes | None]) -> np.ndarray:
+        """One row of ``FEATURES`` for each UTF-8 text."""
+        split = [(t or b"").split() for t in texts]
+        self.learn_words(set().union(*split))
+        flat = list(chain.from_iterable(split))
+        s = np.fromiter(map(self.cache.__getitem__, flat), dtype=np.float64, count=len(flat))
+        long = np.fromiter(map(len, flat), dtype=np.float64, count=len(flat)) + 1
+        n = np.fromiter(map(len, split), dtype=np.int64, count=len(split))
+        return text_features(n, s, long)
 
 
 def _unpacked(packed: dict[str, tuple[str, bytes]], order: int, discount: float) -> Model:
@@ -228,8 +314,11 @@ def _unpacked(packed: dict[str, tuple[str, bytes]], order: int, discount: float)
     return Model(tables, order, discount)
 
 
-def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int = 50) -> tuple[np.ndarray, float]:
-    """Weights and bias of a ridge logistic fit by Newton steps, on standardised columns."""
+def logistic(
+    x: np.ndarray, y: np.ndarray, counts: np.ndarray | float = 1.0, ridge: float = 1.0, rounds: int = 50
+) -> tuple[np.ndarray, float]:
+    """Weights and bias of a ridge logistic fit by Newton steps, on standardised
+    columns.  ``counts``: how many rows each row stands for."""
     mean, scale = x.mean(axis=0), x.std(axis=0) + 1e-9
     z = np.column_stack([(x - mean) / scale, np.ones(len(x))])
     w = np.zeros(z.shape[1])
@@ -237,7 +326,7 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int = 50)
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
         step = np.linalg.solve(
-            (z * (p * (1 - p))[:, None]).T @ z + np.diag(penalty), z.T @ (p - y) + penalty * w
+            (z * (counts * p * (1 - p))[:, None]).T @ z + np.diag(penalty), z.T @ (counts * (p - y)) + penalty * w
         )
         w -= np.clip(step, -5, 5)
         if np.abs(step).max() < 1e-8:
@@ -245,41 +334,122 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int = 50)
     return w[:-1] / scale, float(w[-1] - (w[:-1] * mean / scale).sum())
 
 
-def fit_model(counted_words: DataFrame, order: int = ORDER) -> Model:
-    """Exact n-gram counts in Spark; one row for each distinct gram and context
-    of the highest and of the lower orders comes to the driver."""
-    grams = cut(gram_counts(counted_words, order))
-    highest = grams.where((F.col("k") == order) | F.col("starts"))
+def gram_table(grams: DataFrame, toxic: str, ordinary: str, order: int = ORDER) -> DataFrame:
+    """One row for each distinct hash of a gram or context: key and ``COLUMNS``,
+    from the grams (see :func:`gram_counts`) that the two counts have met."""
+    met = grams.where(F.col(toxic) + F.col(ordinary) > 0)
+    highest = met.where((F.col("k") == order) | F.col("starts"))
     # in how many left contexts a shorter gram occurs
     followed = (
-        grams.where("k > 1")
+        met.where("k > 1")
         .groupBy((F.col("k") - 1).alias("k"), F.col("suffix").alias("gram"))
         .agg(F.count("*").alias("n"))
     )
-    lower = grams.where(F.col("k") < order).select("k", "gram", "context").join(followed, ["k", "gram"])
-    kinds = lambda c: F.sum((F.col(c) > 0).cast("int"))
-    jobs = (
-        ("top", highest, "gram", {"toxic": F.sum("n_toxic"), "ordinary": F.sum("n_ordinary")}),
-        ("top", highest, "context", {"total_toxic": F.sum("n_toxic"), "total_ordinary": F.sum("n_ordinary"),
-                                     "kinds_toxic": kinds("n_toxic"), "kinds_ordinary": kinds("n_ordinary")}),
-        ("shared", lower, "gram", {"shared": F.sum("n")}),
-        ("shared", lower, "context", {"shared_total": F.sum("n"), "shared_kinds": F.count("*")}),
+    lower = cut(met.where(F.col("k") < order).select("k", "gram", "context").join(followed, ["k", "gram"]))
+    some = lambda c: (F.col(c) > 0).cast("int")
+    parts = (
+        (highest, "gram", {"toxic": F.col(toxic), "ordinary": F.col(ordinary)}),
+        (highest, "context", {"total_toxic": F.col(toxic), "total_ordinary": F.col(ordinary),
+                              "kinds_toxic": some(toxic), "kinds_ordinary": some(ordinary)}),
+        (lower, "gram", {"shared": F.col("n")}),
+        (lower, "context", {"shared_total": F.col("n"), "shared_kinds": F.lit(1)}),
     )
+    rows = None
+    for part, key, has in parts:
+        values = [has.get(c, F.lit(0)).cast("bigint").alias(c) for c in COLUMNS]
+        part = part.select(F.col(key).alias("key"), *values)
+        rows = part if rows is None else rows.unionByName(part)
+    return rows.groupBy("key").agg(*(F.sum(c).cast("float").alias(c) for c in COLUMNS))
+
+
+def gathered(table: DataFrame, order: int = ORDER) -> Model:
+    """The model of a :func:`gram_table`, on the driver."""
+    got = table.toArrow()
+    keys = got.column("key").to_numpy().view(np.uint64)
+    by_key = np.argsort(keys)
+    columns = {c: got.column(c).to_numpy()[by_key] for c in COLUMNS}
     tables = {}
-    for part, rows, key, sums in jobs:
-        got = rows.groupBy(key).agg(*(value.cast("float").alias(name) for name, value in sums.items())).toArrow()
-        keys = got.column(key).to_numpy().view(np.uint64)
-        order_of = np.argsort(keys)
-        tables[f"{part}_{key}"] = keys[order_of]
-        for name in sums:
-            tables[name] = got.column(name).to_numpy()[order_of]
+    for part, names in PARTS.items():
+        there = np.any([columns[c] > 0 for c in names], axis=0)
+        tables[part] = keys[by_key][there]
+        tables |= {c: columns[c][there] for c in names}
     return Model(tables, order)
 
 
+def fit_model(counted_words: DataFrame, order: int = ORDER) -> Model:
+    """The model of words with their n_toxic and n_ordinary."""
+    none = {c: F.lit(0).cast("long") for c in COUNTS if c not in counted_words.columns}
+    grams = cut(gram_counts(counted_words.withColumns(none), order))
+    return gathered(gram_table(grams, "n_toxic", "n_ordinary", order), order)
+
+
+def joined_features(rows: DataFrame, table: DataFrame, order: int = ORDER) -> DataFrame:
+    """Columns rid and x (``FEATURES``) of ``rows`` (rid, a unique long, and text),
+    with a table of any size: no part of it leaves Spark.
+
+    Each distinct word of the rows is scored once: its grams are joined to the
+    table, and its score is joined back to where the word stands."""
+    names = list(COLUMNS)
+    split = rows.select("rid", F.posexplode(words(F.col("text"))).alias("pos", "word"))
+    distinct = cut(split.select("word").distinct().withColumn("w", F.monotonically_increasing_id()))
+
+    def places(batches):
+        for block in blocks(batches, 4096):
+            grams = Grams([normalised(x) for x in block.column(0).to_pylist()], order)
+            ids = block.column(1).to_numpy()
+            for k in range(order + 1):  # the empty context stands at every place
+                at = np.flatnonzero(grams.depth >= k)
+                columns = ids[grams.word[at]], grams.depth[at], np.full(len(at), k, dtype=np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [*(pa.array(c) for c in columns), pa.array(grams.gram(k, at).view(np.int64))], names=["w", "depth", "k", "key"]
+                )
+
+    looked = distinct.select("word", "w").mapInArrow(places, "w bigint, depth bigint, k int, key bigint").join(table, "key", "left")
+    found = F.struct("depth", "k", *(F.coalesce(c, F.lit(0.0)).cast("float").alias(c) for c in names))
+    of_word = looked.groupBy("w").agg(F.collect_list(found).alias("found"))
+
+    def scores(batches):
+        for block in blocks(batches, 1024):
+            lists = block.column(1)
+            flat = lists.flatten()
+            depth, k = (flat.field(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+            t = {c: np.append(flat.field(i + 2).to_numpy(zero_copy_only=False), np.float32(0)) for i, c in enumerate(names)}
+            word = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))
+            longest = np.zeros(len(lists), dtype=np.int64)
+            np.maximum.at(longest, word, depth)
+            first = np.cumsum(longest) - longest
+            row = [np.full(int(longest.sum()), len(flat), dtype=np.int32) for _ in range(order + 1)]
+            for i in range(order + 1):
+                here = np.flatnonzero(k == i)
+                row[i][first[word[here]] + depth[here] - 1] = here
+            place = np.repeat(np.arange(len(lists)), longest)
+            depths = np.arange(len(place)) - first[place] + 1
+            at = np.flatnonzero(depths > 1)
+            ratio = log_ratio(t, depths[at], [r[at] for r in row], [r[at - 1] for r in row], DISCOUNT)
+            yield pa.RecordBatch.from_arrays(
+                [block.column(0), pa.array(np.bincount(place[at], weights=ratio, minlength=len(lists)))], names=["w", "s"]
+            )
+
+    scored = cut(distinct.join(of_word.mapInArrow(scores, "w bigint, s double"), "w").select("word", "s"))
+    placed = split.join(scored, "word").select("rid", F.struct("pos", "s", (F.octet_length("word") + 1).alias("long")).alias("x"))
+    texts = rows.select("rid").join(placed.groupBy("rid").agg(F.sort_array(F.collect_list("x")).alias("found")), "rid", "left")
+    texts = texts.withColumn("found", F.coalesce("found", F.array().cast("array<struct<pos:int,s:double,long:int>>")))
+
+    def features(batches):
+        for block in blocks(batches):
+            lists = block.column(1)
+            flat = lists.flatten()
+            s, long = (flat.field(i).to_numpy(zero_copy_only=False).astype(np.float64) for i in (1, 2))
+            x = text_features(np.diff(lists.offsets.to_numpy()).astype(np.int64), s, long)
+            yield pa.RecordBatch.from_arrays([block.column(0), pa.array(x.tolist(), pa.list_(pa.float64()))], names=["rid", "x"])
+
+    return texts.select("rid", "found").mapInArrow(features, "rid bigint, x array<double>")
+
+
 class Scorer:
-    """What :func:`learn` gives: the models and the logistic fit."""
+    """What :func:`learn` gives: the models (on the driver, or a table if that is too large) and the logistic fit."""
 
-    def __init__(self, model: Model | None, weights: np.ndarray, bias: float):
+    def __init__(self, model: Model | DataFrame | None, weights: np.ndarray, bias: float):
         self.model, self.weights, self.bias = model, weights, bias
 
     def scores(self, texts: list[bytes | None]) -> np.ndarray:
@@ -289,25 +459,37 @@ class Scorer:
 
 
 def learn(
-    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", fit_rows: int = FIT_ROWS
+    docs: DataFrame,
+    labels: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    fit_rows: int = FIT_ROWS,
+    broadcast_grams: int = BROADCAST_GRAMS,
 ) -> Scorer:
     """Learn from the labelled rows outside the held-out fold.
 
-    A word counts once a document.  The logistic is fitted on a quarter of the
-    rows, ``fit_rows`` rows at most, with language models that count the other
-    three quarters; the models that score then count all rows.
+    A word counts once a document, so that a text that repeats itself does not
+    outvote the others; at scoring every occurrence is evidence.  The logistic is
+    fitted on a quarter of the rows, ``fit_rows // 2`` of each class at most (each
+    then stands for as many as its class was thinned by), with language models that
+    count the other three quarters; the models that score then count all rows.
+    Where the quarter has fewer than 5 rows of a class, all rows are fitted on.
+    Models of up to ``broadcast_grams`` distinct grams and contexts are broadcast;
+    larger ones stay tables that :func:`scored` joins.
+
     Rows with a null id, text or label teach nothing; one with several labels
-    counts once for each.  Without rows of both classes every score is 0."""
+    counts once for each, and so do rows that share an id.  Without rows of both
+    classes every score is 0.  Other columns are not read."""
     # folds are cut before the join, so that no held-out text is moved
     known = labels.where(F.col(id_col).isNotNull() & F.col("toxic").isin(0, 1) & (fold(F.col(id_col)) != HELD_OUT))
     known = known.select(F.col(id_col).alias("id"), F.col("toxic").cast("int").alias("y"))
-    n_labels = known.count()
-    if n_labels <= BROADCAST_LABELS:
+    if known.count() <= BROADCAST_LABELS:
         known = F.broadcast(known)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    rows = rows.where(F.col("id").isNotNull() & F.col("text").isNotNull() & (fold(F.col("id")) != HELD_OUT))
+    rows = rows.where(F.col("id").isNotNull() & (fold(F.col("id")) != HELD_OUT))
     quarter = F.floor(F.crc32(F.col("id").cast("string")) / FOLDS) % 4
-    taught = rows.join(known, "id").withColumn("fits", quarter == 0)
+    labelled = rows.join(known, "id").withColumn("fits", quarter == 0)
+    taught = labelled.where("text is not null")
     toxic, ordinary, other = F.col("y"), 1 - F.col("y"), (~F.col("fits")).cast("int")
     counted = cut(
         taught.select("y", "fits", F.explode(F.array_distinct(words(F.col("text")))).alias("word"))
@@ -319,15 +501,46 @@ def learn(
             F.sum(ordinary * other).alias("other_ordinary"),
         )
     )
-    n = counted.agg(*(F.sum(c) for c in ("n_toxic", "n_ordinary", "other_toxic", "other_ordinary"))).first()
+    n = counted.agg(*(F.sum(c) for c in COUNTS)).first()
     if not n[0] or not n[1]:
         return Scorer(None, np.zeros(len(FEATURES)), 0.0)
-    model = fit_model(counted)
-    others = model
-    if n[2] and n[3]:  # else a class is in the quarter alone, and the fit takes the same counts
-        part = counted.select("word", F.col("other_toxic").alias("n_toxic"), F.col("other_ordinary").alias("n_ordinary"))
-        others = fit_model(part.where("n_toxic + n_ordinary > 0"))
-    shared = docs.sparkSession.sparkContext.broadcast(others)
+    grams = cut(gram_counts(counted))
+
+    def model_of(toxic: str, ordinary: str) -> Model | DataFrame:
+        table = cut(gram_table(grams, toxic, ordinary))
+        return gathered(table) if table.count() <= broadcast_grams else table
+
+    model = model_of("n_toxic", "n_ordinary")
+    # where a class is in the quarter alone, the fit takes the same counts
+    others = model_of("other_toxic", "other_ordinary") if n[2] and n[3] else model
+    held = {(r["fits"], r["y"]): r["n"] for r in labelled.groupBy("fits", "y").agg(F.count("*").alias("n")).collect()}
+
+    def sample(part: DataFrame, about: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
+        """At most ``fit_rows // 2`` rows of each class.  They are measured where they are; only numbers are gathered."""
+        each = part.withColumn("at", F.xxhash64("id", "text"))
+        some = [thinned(each.where(F.col("y") == y), fit_rows // 2, about[y], F.col("at")) for y in (0, 1)]
+        x = _features(some[0].unionByName(some[1]).select("text", "y", "at"), others)
+        got = [x.where(F.col("y") == y).orderBy("at").limit(fit_rows // 2) for y in (0, 1)]
+        got = got[0].unionByName(got[1]).toArrow()
+        return np.array(got.column("x").to_pylist()).reshape(-1, len(FEATURES)), got.column("y").to_numpy()
+
+    about = {y: held.get((True, y), 0) for y in (0, 1)}
+    if min(about.values()) >= 5:
+        x, y = sample(taught.where("fits"), about)
+    else:
+        about = {y: held.get((True, y), 0) + held.get((False, y), 0) for y in (0, 1)}
+        x, y = sample(taught, about)
+    stands_for = np.array([max(about[k] / max(int((y == k).sum()), 1), 1.0) for k in (0, 1)])
+    weights, bias = logistic(x, y, stands_for[y])
+    return Scorer(model, weights, bias)
+
+
+def _features(rows: DataFrame, model: Model | DataFrame) -> DataFrame:
+    """``rows`` (text, y, at) with their features x for their texts."""
+    if isinstance(model, DataFrame):
+        named = cut(rows.withColumn("rid", F.monotonically_increasing_id()))
+        return named.select("rid", "y", "at").join(joined_features(named, model), "rid")
+    shared = rows.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
         for block in blocks(batches):
@@ -336,23 +549,13 @@ def learn(
                 [pa.array(x.tolist(), pa.list_(pa.float64())), block.column(1), block.column(2)], names=["x", "y", "at"]
             )
 
-    def sample(part: DataFrame, about: int) -> tuple[np.ndarray, np.ndarray]:
-        # measured where they are; only numbers are gathered
-        some = thinned(part.withColumn("at", F.xxhash64("id", "text")), fit_rows, about, F.col("at"))
-        got = some.select("text", "y", "at").mapInArrow(run, "x array<double>, y int, at bigint")
-        got = got.orderBy("at").limit(fit_rows).toArrow()
-        return np.array(got.column("x").to_pylist()).reshape(-1, len(FEATURES)), got.column("y").to_numpy()
-
-    x, y = sample(taught.where("fits"), n_labels // 4)
-    if min((y == 0).sum(), (y == 1).sum()) < 5:  # too few to fit on: take the counted rows as well
-        x, y = sample(taught, n_labels)
-    weights, bias = logistic(x, y)
-    shared.destroy()
-    return Scorer(model, weights, bias)
+    return cut(rows.mapInArrow(run, "x array<double>, y int, at bigint"))
 
 
 def score(text: Column, scorer: Scorer, spark) -> Column:
-    """Score from 0 to 1 of a text column; null and empty texts have a score too."""
+    """Score from 0 to 1 of a text column, by models that are broadcast; null and empty texts have a score too."""
+    if isinstance(scorer.model, DataFrame):
+        raise ValueError("models that are too large to be broadcast are joined by scored()")
     shared = spark.sparkContext.broadcast(scorer)
 
     @F.arrow_udf("double")
@@ -364,3 +567,19 @@ def score(text: Column, scorer: Scorer, spark) -> Column:
             yield pa.array(np.concatenate(parts) if parts else np.zeros(0))
 
     return toxicity(text.cast("string"))
+
+
+def scored(docs: DataFrame, scorer: Scorer, text_col: str = "text", out: str = "score") -> DataFrame:
+    """``docs`` with the column ``out`` (see :func:`score`), by models of any size.
+
+    Every row has a score of its own, whatever its id; columns of any other name stay as they are."""
+    if not isinstance(scorer.model, DataFrame):
+        return docs.withColumn(out, score(F.col(text_col), scorer, docs.sparkSession))
+    named = cut(docs.withColumn("__rid", F.monotonically_increasing_id()))
+    x = joined_features(named.select(F.col("__rid").alias("rid"), F.col(text_col).cast("string").alias("text")), scorer.model)
+    z = F.lit(scorer.bias)
+    for k, weight in enumerate(scorer.weights.tolist()):
+        z = z + F.get("x", F.lit(k)) * weight
+    limited = F.greatest(F.least(-z, F.lit(500.0)), F.lit(-500.0))
+    scores = x.select(F.col("rid").alias("__rid"), (1 / (1 + F.exp(limited))).alias(out))
+    return named.drop(out).join(scores, "__rid").drop("__rid")

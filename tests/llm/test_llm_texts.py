@@ -544,3 +544,78 @@ def test_toxicity_counts_every_labelled_row(spark):
     keys, counts = scorer.model.t["top_gram"], scorer.model.t["toxic"]
     gram = toxicity.Grams(["vrekust"]).gram(toxicity.ORDER, np.array([8]))
     assert counts[np.searchsorted(keys, gram)[0]] == everywhere
+
+
+def brute_kneser_ney(words, order=toxicity.ORDER, discount=toxicity.DISCOUNT):
+    """Plain dictionaries: words are (word, toxic, ordinary)."""
+    top, total, kinds = (Counter(), Counter()), (Counter(), Counter()), (Counter(), Counter())
+    grams = defaultdict(Counter)
+    for word, *n in words:
+        marked = f"\x02{word}\x03"
+        for end in range(2, len(marked) + 1):
+            for k in range(1, min(end, order) + 1):
+                gram = marked[end - k : end]
+                grams[k][gram] += 1
+                if k == order or k == end:
+                    for c in (0, 1):
+                        top[c][gram] += n[c]
+    for c in (0, 1):
+        for gram, n in top[c].items():
+            total[c][gram[:-1]] += n
+            kinds[c][gram[:-1]] += n > 0
+    follows = Counter(gram[1:] for k in grams if k > 1 for gram in grams[k])
+    shared = {g: n for k in grams if k < order for g in grams[k] if (n := follows[g])}
+    shared_total, shared_kinds = Counter(), Counter()
+    for g, n in shared.items():
+        shared_total[g[:-1]] += n
+        shared_kinds[g[:-1]] += 1
+
+    def one(n, all_of, many, back):
+        return min(max(n - discount, 0) / all_of, 1) + min(discount * many / all_of, 1) * back if all_of else back
+
+    def ratio(word):
+        marked, out = f"\x02{word}\x03", 0.0
+        for end in range(2, len(marked) + 1):
+            p = 1 / 256
+            for k in range(1, min(end - 1, order - 1) + 1):
+                g = marked[end - k : end]
+                p = one(shared.get(g, 0), shared_total[g[:-1]], shared_kinds[g[:-1]], p)
+            g = marked[end - min(end, order) : end]
+            a, b = (one(top[c][g], total[c][g[:-1]], kinds[c][g[:-1]], p) + 1e-30 for c in (0, 1))
+            out += math.log(a) - math.log(b)
+        return out
+
+    return ratio
+
+
+def test_toxicity_models_are_kneser_ney(spark):
+    rnd = random.Random(5)
+    pool = ["".join(rnd.choices("abcé", k=rnd.randint(1, 9))) for _ in range(300)]
+    words = [(w, rnd.choice([0, 0, 1, 7]), rnd.choice([0, 2, 9])) for w in sorted(set(pool))]
+    words = [x for x in words if x[1] + x[2]]
+    model = toxicity.fit_model(spark.createDataFrame(words, "word string, n_toxic long, n_ordinary long"))
+    asked = [w for w, *_ in words] + ["abab", "zzz", "", "aéz", "abcabcabcabcabc"]
+    ratio = brute_kneser_ney(words)
+    assert np.allclose(model.word_scores(asked), [ratio(w) for w in asked], rtol=1e-4, atol=1e-4)
+
+
+def test_toxicity_joined_models_score_alike(spark, edge):
+    """Models that are too large to be broadcast: the same scores by joins."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    docs = docs.unionByName(spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").where("doc_id >= 200"))
+    near, far = toxicity.learn(docs, labels), toxicity.learn(docs, labels, broadcast_grams=0)
+    assert not isinstance(far.model, toxicity.Model) and np.allclose(near.weights, far.weights) and np.isclose(near.bias, far.bias)
+    texts = edge.unionByName(docs.where("doc_id < 40"), allowMissingColumns=True)
+    a, b = (sorted((str(r["doc_id"]), str(r["text"]), r["s"]) for r in rows(toxicity.scored(texts, x, out="s"))) for x in (near, far))
+    assert [x[:2] for x in a] == [x[:2] for x in b] and np.allclose([x[2] for x in a], [x[2] for x in b], atol=1e-9)
+
+
+def test_toxicity_rare_class(spark):
+    """One toxic row in 400, more rows than the fit takes: both classes are in the sample, and keep their rates."""
+    ids = [i for i in range(60_000) if zlib.crc32(str(i).encode()) % 3 != toxicity.HELD_OUT]
+    data = [(i, f"{'vrekust' if i % 400 == 0 else 'lominar'} and the {i % 50}", int(i % 400 == 0)) for i in ids]
+    docs = spark.createDataFrame(data, "doc_id long, text string, toxic int")
+    scorer = toxicity.learn(docs, docs.select("doc_id", "toxic"), fit_rows=400)
+    got = rows(toxicity.scored(docs.where("doc_id % 400 = 0 or doc_id % 97 = 1"), scorer))
+    assert all((r["score"] >= toxicity.REJECT) == bool(r["toxic"]) for r in got)
