@@ -32,7 +32,7 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     Learns from the labels of ``sf_dir`` outside the held-out fold and the texts
     of ``docs``.  Documents with a null or empty text are scored like any other."""
     scorer = toxicity.learn(docs, table(spark, sf_dir, "labels"))
-    scored = docs.withColumn("__p_score", toxicity.score(F.col("text"), scorer, spark))
+    scored = toxicity.scored(docs, scorer, out="__p_score")
     return scored.where(F.col("__p_score") < toxicity.REJECT).drop("__p_score")
 
 
@@ -57,30 +57,22 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 4: of every group of near-duplicates the document of the smallest
-    id stays; of its repeated rows the smallest by content, once.
+    id stays, once.
 
-    A group without any id keeps the smallest row by content."""
+    Rows are told apart by id and content, so one id on unrelated texts is a
+    document of each of their groups.  Rows without an id come after all others of
+    their group; of rows of one id, and of those without any, the smallest hash
+    of all columns decides."""
     kept = docs.columns
-    found = simhash.near_duplicates(docs, shingle=3, radius=2)
-    first = found.where("doc_id = component_id").select("doc_id")
-    # ids are nearly always unique: only rows that share one are compared as a whole
-    named = docs.where("doc_id is not null").join(first, "doc_id", "left_semi")
-    again = cut(named.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id"))
-    once = named.join(again, "doc_id", "left_anti")
-    several = named.join(again, "doc_id", "left_semi")
-    row = F.struct(*(F.col(c) for c in kept))
-    several = several.groupBy(F.col("doc_id").alias("__p_id")).agg(F.min(row).alias("__p_row")).select("__p_row.*")
-    out = once.select(*kept).unionByName(several.select(*kept))
-    nameless = found.where("component_id is null").select("fingerprint").distinct()
-    if nameless.isEmpty():
-        return out
-    # documents without an id that are near none with one: one row for each of their groups
-    unnamed = docs.where("doc_id is null")
-    keyed = unnamed.select(row.alias("row"), F.col("text"), F.xxhash64(*kept).alias("key"))
-    groups = simhash.near_duplicates(keyed.select("key", "text"), id_col="key").select("fingerprint", "key", "component_id")
-    least = groups.join(nameless, "fingerprint", "left_semi").where("key = component_id").select("key").distinct()
-    lone = keyed.join(least, "key", "left_semi").groupBy("key").agg(F.min("row").alias("row")).select("row.*")
-    return out.unionByName(lone.select(*kept))
+    name = F.struct(F.col("doc_id").isNull().alias("nameless"), F.col("doc_id"), F.xxhash64(*kept).alias("content"))
+    named = docs.withColumn("__p_id", name)
+    found = simhash.near_duplicates(named.select("__p_id", "text"), id_col="__p_id", shingle=3, radius=2)
+    first = cut(found.where("__p_id = component_id").groupBy("__p_id").agg(F.count("*").alias("__p_n")))
+    once = named.join(first.where("__p_n = 1"), "__p_id", "left_semi").select(*kept)
+    # repeated rows: ids and contents are nearly always unique, so few are grouped as a whole
+    several = named.join(first.where("__p_n > 1"), "__p_id", "left_semi")
+    several = several.groupBy("__p_id").agg(F.min(F.struct(*kept)).alias("__p_row")).select("__p_row.*")
+    return once.unionByName(several)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
