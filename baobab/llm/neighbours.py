@@ -4,7 +4,7 @@ The tree is fitted on a bounded sample; every row is put into a leaf.  A query
 walks the tree best bin first through a priority queue.  How many leaves a query
 visits is calibrated: for a stated set of queries the exact neighbours among all
 rows are found, and visits are widened until so many of them lie in visited
-leaves.  Rows meet queries per leaf in blocks of bounded size, so a leaf or a
+leaves; a query beside small leaves visits more until it has met enough rows.  Rows meet queries per leaf in blocks of bounded size, so a leaf or a
 group of copies of any size is many small products, and only each block's best
 rows go on.
 """
@@ -12,6 +12,7 @@ rows go on.
 from __future__ import annotations
 
 import heapq
+import logging
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,6 +28,7 @@ FIT_ROWS, LEAF_ROWS, CALIBRATION_QUERIES = 20_000, 64, 256
 #: Rows and queries that meet in one product at most.
 ROW_BLOCK, QUERY_BLOCK = 8_192, 2_048
 BRANCH = 8
+log = logging.getLogger(__name__)
 #: Recall that visits are widened to; the result is to reach 0.9.
 RECALL = 0.96
 
@@ -84,15 +86,17 @@ class Tree:
             todo += [(child, at[nearest == k]) for k, child in enumerate(below) if (nearest == k).any()]
         return out
 
-    def visits(self, queries: np.ndarray, most: int) -> list[list[int]]:
-        """For each query its first ``most`` leaves, best bin first."""
+    def visits(self, queries: np.ndarray, most: int, sizes: np.ndarray | None = None, rows: int = 0) -> list[list[int]]:
+        """For each query its first ``most`` leaves, best bin first, and as many more
+        as it takes to meet ``rows`` rows, by the leaves' ``sizes``."""
         scores, out = queries @ self.centres_array.T, []
         for row in scores:
-            queue, found = [(-row[0], 0)], []
-            while queue and len(found) < most:
+            queue, found, met = [(-row[0], 0)], [], 0
+            while queue and (len(found) < most or met < rows):
                 _, node = heapq.heappop(queue)
                 if self.leaf[node] >= 0:
                     found.append(self.leaf[node])
+                    met += 0 if sizes is None else sizes[self.leaf[node]]
                 for child in self.children[node]:
                     heapq.heappush(queue, (-row[child], child))
             out.append(found)
@@ -226,13 +230,19 @@ def nearest(
     some = bounded_sample(asking, CALIBRATION_QUERIES, asking.count(), "vec_id", "vec").collect()
     if not some:
         return spark.createDataFrame([], schema)
-    visits, _ = calibrate(placed, some, tree, dim, k, recall)
+    visits, reached = calibrate(placed, some, tree, dim, k, recall)
+    log.info("%d of %d leaves a query; calibrated recall %.3f", visits, tree.leaves, reached)
+    # different ids of each leaf: a query meets more than k of them, so that it has k besides its own
+    ids = placed.select("leaf", "vec_id").distinct().groupBy("leaf").agg(F.count("*").alias("n")).collect()
+    sizes = np.zeros(tree.leaves, dtype=np.int64)
+    for r in ids:
+        sizes[r["leaf"]] = r["n"]
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start in range(0, batch.num_rows, 1024):
                 part = batch.slice(start, 1024)
-                orders = shared.value.visits(_matrix(part.column(1), dim), visits)
+                orders = shared.value.visits(_matrix(part.column(1), dim), visits, sizes, k + 1)
                 row = np.repeat(np.arange(part.num_rows), [len(o) for o in orders])
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.concatenate(orders).astype(np.int32)), *(part.column(c).take(pa.array(row)) for c in (0, 1))],

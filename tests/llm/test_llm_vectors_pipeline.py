@@ -166,3 +166,27 @@ def test_stages_on_edges(spark, tmp_path):
             assert len(left) <= 4
     assert corpus_pipeline.packing_stage(spark, frame, sf).count() >= frame.count()
     assert toxicity.REJECT == 0.7
+
+
+def test_near_duplicate_stage_loses_no_document_of_a_shared_id(spark):
+    """One id on unrelated texts, one of them a copy of a smaller id's."""
+    a, b, c = (" ".join(f"{x}{i} the {x}x{i} of" for i in range(200)) for x in "abc")
+    data = [(1, a), (7, a), (7, b), (7, b), (8, b), (7, c), (None, c), (None, None), (None, "")]
+    frame = spark.createDataFrame(data, "doc_id long, text string")
+    left = rows(corpus_pipeline.near_duplicate_stage(spark, frame, ""))
+    assert sorted((str(r["doc_id"]), r["text"] or "") for r in left) == sorted([("1", a), ("7", b), ("7", c), ("None", "")])
+
+
+def test_neighbours_beside_small_leaves(spark):
+    """Outliers have leaves of a row each: every query still gets all 20 neighbours."""
+    rnd = np.random.default_rng(7)
+    near = rnd.normal(size=(3000, 8)) * 0.01 + rnd.normal(size=(4, 8)).repeat(750, axis=0)
+    far = rnd.normal(size=(12, 8)) * 1000
+    data = [(i, [float(x) for x in v]) for i, v in enumerate(np.concatenate([far, near]))]
+    frame = spark.createDataFrame(data, "vec_id long, embedding array<double>")
+    asks = (F.col("vec_id") < 12) | (F.col("vec_id") % 100 == 0)
+    got = rows(neighbours.nearest(frame, asks, k=20, recall=0.01))
+    n = {}
+    for r in got:
+        n[r["query_id"]] = n.get(r["query_id"], 0) + 1
+    assert set(n.values()) == {20} and len(n) == 12 + 30
