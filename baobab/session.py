@@ -9,8 +9,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 #: Settings applied to every session we build.  ANSI stays on (the 4.x
 #: default): tolerant parsing is asked for explicitly with ``try_*``.
@@ -80,3 +81,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         named = tempfile.mkdtemp(prefix="baobab-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(named)
     return named
+
+
+def materialise(df: DataFrame) -> DataFrame:
+    """``df`` written as Parquet into a folder of its own under the shared checkpoint
+    folder, and read again: later steps re-read it if an executor is lost, and plan
+    with its true size."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/baobab-steps/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
