@@ -95,8 +95,8 @@ def dedup_customers(df: DataFrame, key: str = "customer_id") -> DataFrame:
     return dedup_by_key(df, key)
 
 
-def clean_customers(df: DataFrame, as_of: str | _dt.date | None = None) -> DataFrame:
-    """All rules in one projection, then one row per customer."""
+def cleaned_columns(df: DataFrame, as_of: str | _dt.date | None = None) -> DataFrame:
+    """C1 - C5 in one projection, for a batch or a stream."""
     cleaned = [
         *email_columns(text.blank_to_null(F.col("email"))),
         *city_columns(F.col("ville")),
@@ -104,4 +104,35 @@ def clean_customers(df: DataFrame, as_of: str | _dt.date | None = None) -> DataF
         rules.valid_birth_date(F.col("date_naissance"), as_of).alias("date_naissance"),
     ]
     names = ["email", "email_valide", "ville", "ville_norm", "telephone", "telephone_valide", "date_naissance"]
-    return dedup_customers(_replaced(df, cleaned, names))
+    return _replaced(df, cleaned, names)
+
+
+def clean_customers(df: DataFrame, as_of: str | _dt.date | None = None) -> DataFrame:
+    """All rules in one projection, then one row per customer."""
+    return dedup_customers(cleaned_columns(df, as_of))
+
+
+def best_fields(
+    df: DataFrame, key: str = "customer_id", valid: dict[str, str] | None = None, latest: str | None = None
+) -> DataFrame:
+    """C6 field by field: one row per key with the best value of every column.
+
+    A value comes before NULL; one that is valid (by the flag column that
+    ``valid`` names for its column) before one that is not; then the value of the
+    greatest ``latest`` (NULL last); then the greatest value.  The flag goes with
+    its value.  So a later record's valid e-mail is not lost with its record.
+    Rows with a NULL key are nobody's copies and stay as they are.  Every column
+    is a partial aggregate, so a key with very many rows is one row a map task."""
+    valid = valid or {}
+    at = F.col(latest) if latest else F.lit(None).cast("string")
+    best, out = [], {}
+    for c in (c for c in df.columns if c != key and c not in valid.values()):
+        flag = F.col(valid[c]) if c in valid else F.lit(None).cast("boolean")
+        order = (F.col(c).isNotNull(), F.coalesce(flag, F.lit(False)), at)
+        best.append(F.max(F.struct(*(o.alias(f"o{k}") for k, o in enumerate(order)), F.col(c).alias("v"), flag.alias("f"))).alias(f"_{c}"))
+        out[c] = F.col(f"_{c}.v")
+        if c in valid:
+            out[valid[c]] = F.col(f"_{c}.f")
+    merged = df.filter(F.col(key).isNotNull()).groupBy(key).agg(*best)
+    merged = merged.select(key, *(value.alias(c) for c, value in out.items())).select(*df.columns)
+    return merged.unionByName(df.filter(F.col(key).isNull()))

@@ -148,6 +148,23 @@ def delivered_in_month(orders: DataFrame, month: str, channel_value: str = "mobi
     return orders.filter(cond).agg(F.count("*").alias("nb_commandes"))
 
 
+def delivered_in_stored_month(stored: DataFrame, month: str, channel_value: str = "mobile_app", channel: str = "canal") -> DataFrame:
+    """C21 over orders stored by month with their folded status: the month is a
+    partition and the status a plain column, so both filters are the scan's."""
+    cond = (F.col("mois") == month) & (F.col(channel) == channel_value) & (F.col("statut_norm") == rules.DELIVERED)
+    return stored.filter(cond).agg(F.count("*").alias("nb_commandes"))
+
+
+def last_months_revenue(stored: DataFrame, months: DataFrame, k: int = 3) -> DataFrame:
+    """C17: delivered revenue of the ``k`` latest of ``months`` (one column mois).
+
+    Which month begins them is found by the query, as a scalar subquery in the
+    scan's partition filter, so only their partitions are read."""
+    latest = months.filter(F.col("mois").isNotNull()).distinct().orderBy(F.desc("mois")).limit(k)
+    recent = stored.filter(F.col("mois") >= latest.agg(F.min("mois")).scalar())
+    return delivered(recent).groupBy("mois").agg(_money().alias("ca_fcfa"), F.count("*").alias("nb_commandes"))
+
+
 # --- payments ----------------------------------------------------------------
 
 

@@ -257,3 +257,30 @@ def suspect_amounts(df: DataFrame, raw_col: str = "montant_total_fcfa") -> DataF
     """Flag raw amounts that lose a sign or a decimal mark in cleaning
     (``-1500`` becomes 1500, ``12.75`` becomes 1275).  NULL stays unflagged."""
     return df.withColumn("montant_suspect", F.coalesce(rules.amount_is_suspect(F.col(raw_col)), F.lit(False)))
+
+
+def cell_changes(before: DataFrame, after: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
+    """C9 cell by cell: how many values of each column were changed, and how.
+
+    ``before`` and ``after`` have one row per ``key`` each (NULL is a key like any
+    other).  Columns: colonne, nature (`identique`, `modifiee`, `videe`: a value
+    became NULL, `remplie`: NULL became a value, `ligne_absente` / `ligne_ajoutee`:
+    the key is on one side only), n.  One full join by key, compared null-safely,
+    then a partial aggregate of the kinds."""
+    left = before.select(F.col(key).alias("_k"), F.struct(*(F.col(c).cast("string").alias(c) for c in columns)).alias("_a"))
+    right = after.select(F.col(key).alias("_k2"), F.struct(*(F.col(c).cast("string").alias(c) for c in columns)).alias("_b"))
+    both = left.join(right, F.col("_k").eqNullSafe(F.col("_k2")), "full")
+
+    def kind(c: str) -> Column:
+        a, b = F.col(f"_a.{c}"), F.col(f"_b.{c}")
+        return (
+            F.when(F.col("_b").isNull(), "ligne_absente")
+            .when(F.col("_a").isNull(), "ligne_ajoutee")
+            .when(a.eqNullSafe(b), "identique")
+            .when(b.isNull(), "videe")
+            .when(a.isNull(), "remplie")
+            .otherwise("modifiee")
+        )
+
+    cells = F.explode(F.array(*(F.struct(F.lit(c).alias("colonne"), kind(c).alias("nature")) for c in columns)))
+    return both.select(cells.alias("_c")).groupBy("_c.colonne", "_c.nature").agg(F.count("*").alias("n"))

@@ -13,6 +13,7 @@ import datetime as _dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from baobab.operators import cleaning
 from baobab.session import ensure_checkpoint_dir
@@ -25,21 +26,37 @@ def clean_customer_stream(
     key: str = "customer_id",
     as_of: str | _dt.date | None = None,
 ) -> DataFrame:
-    """C1 -> C5 per record, then de-duplication by key within the watermark."""
-    rows = (
-        stream.transform(cleaning.unify_missing)
-        .transform(cleaning.normalize_email)
-        .transform(cleaning.normalize_city)
-        .transform(cleaning.normalize_phone)
-        .transform(lambda d: cleaning.validate_birth_date(d, as_of=as_of))
-    )
+    """C1 -> C5 per record, then de-duplication by key within the watermark.
+
+    Records with a NULL key are one key, as in the batch form."""
+    rows = cleaning.cleaned_columns(stream, as_of=as_of)
     return rows.withWatermark(event_time, watermark).dropDuplicatesWithinWatermark([key])
 
 
+def clean_drops(
+    spark: SparkSession, drops: list[DataFrame], folder: str, event_time: str, watermark: str, as_of: str | _dt.date | None = None
+) -> DataFrame:
+    """Clean deliveries that arrive one after the other; the rows of the sink.
+
+    Each delivery is written beside the earlier ones under ``folder`` and the job
+    started anew on its checkpoint there, as after a restart: it takes up the new
+    files alone, and a key that an earlier run has let through is not repeated.
+    Running it once more without a delivery changes nothing."""
+    source, sink, state = (f"{folder.rstrip('/')}/{x}" for x in ("deliveries", "clean", "state"))
+    for drop in drops:
+        drop.write.mode("append").parquet(source)
+        schema = drop.schema
+        job = run_clean_customer_job(
+            spark, source, schema, sink, event_time, watermark, checkpoint_dir=state, source_format="parquet", as_of=as_of
+        )
+        job.awaitTermination()
+    return spark.read.parquet(sink)
+
+
 def run_clean_customer_job(
     spark: SparkSession,
     source_dir: str,
-    schema: str,
+    schema: StructType | str,
     sink_dir: str,
     event_time: str,
     watermark: str = "1 day",
