@@ -15,8 +15,10 @@ from pyspark.sql import functions as F
 from baobab.functions import rules
 from baobab.operators import cleaning, funnel, joins, kpi, quality, ranking, text
 from baobab.plans import exports, inputs, views
-from baobab.sources import files
+from baobab.session import materialise
+from baobab.sources import files, layout, publication, rejects
 from baobab.sources.catalog import create_view_as
+from baobab.streaming import clean_drops
 
 # --- Fixed query parameters ----------------------------------------------------
 AS_OF = "2026-01-01"          # upper bound for birth dates (fixed, not "today")
@@ -24,6 +26,9 @@ REVENUE_THRESHOLD = 1_000_000  # HAVING threshold for top customers
 FILTER_MONTH = "2000-12"      # month of the delivered-mobile count
 RECENT_SINCE = "2001-07-01"   # customers without an order since this day
 LISTED_CITY = "thies"         # folded key of the listed city
+PUBLISHED_DAYS = ("1999-01-01", "2000-01-01")  # reports over the orders before each
+PUBLISHED_AS_OF = "1999-06-30"  # a day between the two
+FUNNEL_WINDOW = "6 hours"     # from the first step of an ordered funnel to its last
 # -------------------------------------------------------------------------------
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -78,6 +83,10 @@ class Inputs:
     def events_json_path(self) -> str:
         return exports.export(self.spark, "events", self.events(), "json")
 
+    def checked_order_lines(self) -> DataFrame:
+        path = exports.export(self.spark, "order_lines", inputs.order_lines(self.spark, self.sf_dir), "text")
+        return rejects.check_csv(self.spark, path, inputs.LINE_SCHEMA, required=("order_id",))
+
     def documents_text_path(self) -> str:
         texts = self.documents().select("text").filter(F.col("text").isNotNull())
         return exports.export(self.spark, "documents", texts, "text")
@@ -584,6 +593,43 @@ def _funnel_by_city(i: Inputs) -> DataFrame:
     return funnel.top_segments(i.events(), "ville", 10)
 
 
+@query("funnel_ordered")
+def _funnel_ordered(i: Inputs) -> DataFrame:
+    """Sessions that reach each step one after the other, whenever."""
+    return funnel.ordered_funnel(i.events())
+
+
+@query("funnel_ordered_window")
+def _funnel_ordered_window(i: Inputs) -> DataFrame:
+    """The same within a time window from the first step on."""
+    return funnel.ordered_funnel(i.events(), within=FUNNEL_WINDOW)
+
+
+@query("funnel_ordered_rates")
+def _funnel_ordered_rates(i: Inputs) -> DataFrame:
+    """Step and global rates of the ordered funnel; none can exceed 100 %."""
+    return funnel.funnel_rates(funnel.ordered_funnel(i.events(), within=FUNNEL_WINDOW))
+
+
+@query("funnel_first_device")
+def _funnel_first_device(i: Inputs) -> DataFrame:
+    """Each session in the segment of its first event."""
+    return funnel.first_touch(i.events(), "device")
+
+
+@query("funnel_first_city")
+def _funnel_first_city(i: Inputs) -> DataFrame:
+    """The same per city, all of them."""
+    return funnel.first_touch(i.events(), "ville")
+
+
+@query("funnel_first_total")
+def _funnel_first_total(i: Inputs) -> DataFrame:
+    """First-touch segments added up are the funnel itself."""
+    names = ("sessions", *funnel.STEP_NAMES)
+    return funnel.first_touch(i.events(), "device").agg(*(F.sum(n).cast("bigint").alias(n) for n in names))
+
+
 @query("anonymous_sessions")
 def _anonymous_sessions(i: Inputs) -> DataFrame:
     """Events without a session."""
@@ -753,3 +799,136 @@ def _sql_orphan_fees(i: Inputs) -> DataFrame:
            FROM commandes cmd LEFT OUTER JOIN clients_partiels cli USING (customer_id)
            WHERE cli.nom IS NULL GROUP BY cmd.canal""",
     )
+
+
+# --- reject channel (S3, S4) -----------------------------------------------------------------
+
+
+@query("csv_reject_counts")
+def _csv_reject_counts(i: Inputs) -> DataFrame:
+    """S3: lines of a CSV export by what speaks against them."""
+    return rejects.reject_report(i.checked_order_lines())
+
+
+@query("csv_rejected_lines")
+def _csv_rejected_lines(i: Inputs) -> DataFrame:
+    """S3: the quarantined raw lines and the reasons."""
+    return rejects.rejected(i.checked_order_lines())
+
+
+@query("csv_accepted_report")
+def _csv_accepted_report(i: Inputs) -> DataFrame:
+    """S3: a report over the accepted lines, typed."""
+    good = rejects.accepted(i.checked_order_lines(), inputs.LINE_SCHEMA)
+    return good.groupBy("statut").agg(
+        F.count("*").alias("n"), F.sum("frais_livraison_fcfa").alias("frais"), F.max("date_commande").alias("derniere")
+    )
+
+
+# --- published reports with history (K1, K2, C39) --------------------------------------------
+
+
+def _published_reports(i: Inputs) -> tuple[str, dict[str, DataFrame]]:
+    """Two days of the status report, the first one published twice; what each day holds last."""
+
+    def report(until: str) -> DataFrame:
+        orders = i.orders().filter(F.col("date_commande") < F.lit(until).cast("date"))
+        return orders.groupBy("statut_norm", "canal").agg(
+            F.count("*").alias("commandes"), F.sum("frais_livraison_fcfa").alias("frais")
+        )
+
+    path = f"{exports.new_folder(i.spark)}/status_report"
+    first, second = PUBLISHED_DAYS
+    publication.publish(report(first).filter(F.col("canal") == "web"), path, first)  # incomplete
+    publication.publish(report(second), path, second)
+    publication.publish(report(first), path, first)  # published again: replaces its own day alone
+    return path, {first: report(first), second: report(second)}
+
+
+@query("published_read_back")
+def _published_read_back(i: Inputs) -> DataFrame:
+    """K1/K2: two published days, one of them twice, read back and compared."""
+    path, written = _published_reports(i)
+    return publication.read_back(i.spark, path, written)
+
+
+@query("published_evolution")
+def _published_evolution(i: Inputs) -> DataFrame:
+    """Orders by status and channel between the last two published days."""
+    path, _ = _published_reports(i)
+    return publication.evolution(i.spark, path, PUBLISHED_DAYS[1], ("statut_norm", "canal"), "commandes")
+
+
+@query("published_as_of")
+def _published_as_of(i: Inputs) -> DataFrame:
+    """The state as of a day between the two, which is the first."""
+    path, _ = _published_reports(i)
+    return publication.published(i.spark, path, PUBLISHED_AS_OF).drop(publication.DAY)
+
+
+# --- streaming (C6) --------------------------------------------------------------------------
+
+
+@query("stream_clean_customers")
+def _stream_clean_customers(i: Inputs) -> DataFrame:
+    """C1-C6 on a stream: three deliveries, the job started anew for each; rows of the sink.
+
+    Copies of a customer are dealt over the deliveries; cleaned, they are equal, so
+    it does not matter which of them comes first.  Records without an id are left out."""
+    named = i.customers_raw().filter(F.col("customer_id").isNotNull())
+    rows = named.withColumn("drop", F.pmod(F.monotonically_increasing_id(), F.lit(3)).cast("int"))
+    rows = rows.withColumn("arrivee", F.expr("timestamp'2025-01-01 00:00:00' + make_dt_interval(drop)"))
+    rows = materialise(rows)  # one dealing for all deliveries
+    drops = [rows.filter(F.col("drop") == k).drop("drop") for k in range(3)]
+    return clean_drops(i.spark, drops, exports.new_folder(i.spark), "arrivee", "30 days", as_of=AS_OF).drop("arrivee")
+
+
+# --- field-level survivor and cell-level difference (C6, C9) ------------------------------------
+
+
+@query("best_customer_fields")
+def _best_customer_fields(i: Inputs) -> DataFrame:
+    """Per customer the best value of every field over all of its records."""
+    cleaned = cleaning.cleaned_columns(inputs.customer_extracts(i.spark, i.sf_dir), as_of=AS_OF)
+    valid = {"email": "email_valide", "telephone": "telephone_valide"}
+    named = cleaned.filter(F.col("customer_id").isNotNull())
+    return cleaning.best_fields(named, valid=valid, latest="date_inscription").select(
+        "customer_id", "email", "email_valide", "telephone", "telephone_valide", "ville", "date_inscription"
+    )
+
+
+@query("cell_changes")
+def _cell_changes(i: Inputs) -> DataFrame:
+    """Cells that cleaning changes, by column and kind of change."""
+    raw = i.customers_raw()
+    columns = ("email", "telephone", "ville", "date_naissance", "nom")
+    return quality.cell_changes(cleaning.dedup_by_key(raw), i.customers_clean(), "customer_id", columns)
+
+
+# --- stored layouts (J1-J4, C35; F5, C17, C21) ---------------------------------------------------
+
+
+@query("revenue_by_category_bucketed")
+def _revenue_by_category_bucketed(i: Inputs) -> DataFrame:
+    """C35 over order lines and orders stored in buckets of the order id: the join moves neither."""
+    folder, buckets = exports.new_folder(i.spark), int(i.spark.conf.get("spark.sql.shuffle.partitions"))
+    items = layout.bucketed(i.items(), "lignes", "order_id", buckets, folder)
+    orders = layout.bucketed(i.orders(), "commandes", "order_id", buckets, folder)
+    return kpi.revenue_by(items, orders, i.clients_partial(), i.products(), (), ("categorie",))
+
+
+def _stored_orders(i: Inputs) -> DataFrame:
+    return layout.by_month(i.orders(), "date_commande", f"{exports.new_folder(i.spark)}/commandes")
+
+
+@query("filtered_count_stored")
+def _filtered_count_stored(i: Inputs) -> DataFrame:
+    """C21 over orders stored by month with their folded status."""
+    return kpi.delivered_in_stored_month(_stored_orders(i), FILTER_MONTH)
+
+
+@query("last_months_revenue")
+def _last_months_revenue(i: Inputs) -> DataFrame:
+    """C17: delivered revenue of the three latest months, by pruned partitions."""
+    months = i.orders_raw().select(F.date_format("date_commande", "yyyy-MM").alias("mois"))
+    return kpi.last_months_revenue(_stored_orders(i), materialise(months.distinct()))

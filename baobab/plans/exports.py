@@ -23,6 +23,11 @@ CSV_WRITE = {"header": "true", "ignoreLeadingWhiteSpace": "false", "ignoreTraili
 
 def export(spark: SparkSession, name: str, df: DataFrame, fmt: str, options: dict | None = None) -> str:
     """Write ``df`` as ``fmt`` files into a new folder and return its path."""
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/baobab-exports/{uuid.uuid4().hex}/{name}.{fmt}"
+    path = f"{new_folder(spark)}/{name}.{fmt}"
     df.write.options(**(options or {})).format(fmt).save(path)
     return path
+
+
+def new_folder(spark: SparkSession) -> str:
+    """Path of a folder of its own on the shared storage."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/baobab-exports/{uuid.uuid4().hex}"

@@ -15,7 +15,7 @@ engines see identical inputs.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # --- Fixed values for the stand-in data --------------------------------------
@@ -53,13 +53,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _pick(values: list[str], index: Column) -> Column:
-    """``values[index]`` for a 0-based integer column."""
-    return F.element_at(F.array(*[F.lit(v) for v in values]), (index + 1).cast("int"))
+def _array(values: list[str]) -> str:
+    """SQL array literal."""
+    return "array(" + ", ".join("'" + v.replace("'", "\\'") + "'" for v in values) + ")"
 
 
-def _city_of(key: Column) -> Column:
-    return _pick(CITIES, F.pmod(key, F.lit(len(CITIES))))
+def _city_of(key: str) -> str:
+    return f"{_array(CITIES)}[CAST(pmod({key}, {len(CITIES)}) AS INT)]"
 
 
 def _geo(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -78,126 +78,64 @@ def customers_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     exact copies, near copies and NULL ids."""
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
     c = c.join(_geo(spark, sf_dir), c.c_nationkey == F.col("n_nationkey"))
-    k = F.col("c_custkey")
-    ks = k.cast("string")
     # one extra copy for 1 in 50 (exact), 1 in 50 (near) and 1 in 500 (NULL id)
-    extra = ((k % 50).isin(3, 4)) | ((k % 500) == 11)
-    c = c.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.when(extra, 1).otherwise(0))))
-
-    city = _city_of(k)
-    form = F.floor(k / len(CITIES)) % 4
-    ville = (
-        F.when(form == 0, city)
-        .when(form == 1, F.upper(city))
-        .when(form == 2, F.concat(F.lit("  "), F.lower(city), F.lit(" ")))
-        .otherwise(F.concat(F.lit(" "), city))
-    )
-    e = k % 8
-    email = (
-        F.when(e == 0, F.concat(F.lit("customer"), ks, F.lit("@mail.com")))
-        .when(e == 1, F.concat(F.lit("  Customer"), ks, F.lit("@Mail.COM  ")))
-        .when(e == 2, F.lit(""))
-        .when(e == 3, F.lit("N/A"))
-        .when(e == 4, F.lit("   "))
-        .when(e == 5, F.concat(F.lit("customer"), ks, F.lit("@mail")))
-        .when(e == 6, F.lit(None).cast("string"))
-        .otherwise(F.lit("n/a"))
-    )
-    d7 = F.lpad((k % 10000000).cast("string"), 7, "0")
-    p = k % 9
-    phone = (
-        F.when(p == 0, F.concat(F.lit("77"), d7))
-        .when(p == 1, F.concat(F.lit("+221 76 "), d7))
-        .when(
-            p == 2,
-            F.concat(
-                F.lit("78-"), F.substring(d7, 1, 3), F.lit("-"), F.substring(d7, 4, 2),
-                F.lit("-"), F.substring(d7, 6, 2),
-            ),
-        )
-        .when(p == 3, F.concat(F.lit("70 "), F.substring(d7, 1, 6)))
-        .when(p == 4, F.concat(F.lit("69"), d7))
-        .when(p == 5, F.lit(None).cast("string"))
-        .when(p == 6, F.lit(""))
-        .when(p == 7, F.concat(F.lit("00221 77"), d7))
-        .otherwise(F.concat(F.lit("221221 75"), d7))
-    )
-    b = k % 7
-    birth = (
-        F.when(
-            b == 0,
-            F.concat(
-                (F.lit(1940) + k % 60).cast("string"), F.lit("-"),
-                F.lpad((F.lit(1) + k % 12).cast("string"), 2, "0"), F.lit("-"),
-                F.lpad((F.lit(1) + k % 28).cast("string"), 2, "0"),
-            ),
-        )
-        .when(b == 1, F.lit("1919-12-31"))
-        .when(b == 2, F.lit("2099-01-01"))
-        .when(b == 3, F.lit("15/01/1990"))
-        .when(b == 4, F.lit("2000-02-30"))
-        .when(b == 5, F.lit(None).cast("string"))
-        .otherwise(F.lit("1920-01-01"))
-    )
-    signup = F.date_add(F.lit("2020-01-01").cast("date"), (k % 1000).cast("int")).cast("string")
-
-    near = (F.col("_copy") == 1) & ((k % 50) == 4)
-    nullid = (F.col("_copy") == 1) & ((k % 500) == 11)
-    return c.select(
-        F.when(nullid, F.lit(None).cast("string")).otherwise(ks).alias("customer_id"),
-        F.concat(F.lit("Prenom"), ks).alias("prenom"),
-        F.col("c_name").alias("nom"),
-        F.when(near, F.upper(email)).otherwise(email).alias("email"),
-        phone.alias("telephone"),
-        F.when(near, F.concat(F.lit("  "), ville)).otherwise(ville).alias("ville"),
-        F.col("region"),
-        birth.alias("date_naissance"),
-        signup.alias("date_inscription"),
+    base = c.selectExpr(
+        "c_custkey AS k", "CAST(c_custkey AS STRING) AS ks", "c_name", "region", f"{_city_of('c_custkey')} AS city",
+        "lpad(CAST(c_custkey % 10000000 AS STRING), 7, '0') AS d7",
+        "explode(CASE WHEN c_custkey % 50 IN (3, 4) OR c_custkey % 500 = 11 THEN array(0, 1) ELSE array(0) END) AS copy",
+    )
+    raw = base.selectExpr(
+        "*",
+        f"""CASE CAST(floor(k / {len(CITIES)}) % 4 AS INT) WHEN 0 THEN city WHEN 1 THEN upper(city)
+            WHEN 2 THEN concat('  ', lower(city), ' ') ELSE concat(' ', city) END AS ville0""",
+        """CASE CAST(k % 8 AS INT) WHEN 0 THEN concat('customer', ks, '@mail.com') WHEN 1 THEN concat('  Customer', ks, '@Mail.COM  ')
+           WHEN 2 THEN '' WHEN 3 THEN 'N/A' WHEN 4 THEN '   ' WHEN 5 THEN concat('customer', ks, '@mail')
+           WHEN 6 THEN NULL ELSE 'n/a' END AS email0""",
+    )
+    return raw.selectExpr(
+        "CASE WHEN copy = 1 AND k % 500 = 11 THEN NULL ELSE ks END AS customer_id",
+        "concat('Prenom', ks) AS prenom",
+        "c_name AS nom",
+        "CASE WHEN copy = 1 AND k % 50 = 4 THEN upper(email0) ELSE email0 END AS email",
+        """CASE CAST(k % 9 AS INT) WHEN 0 THEN concat('77', d7) WHEN 1 THEN concat('+221 76 ', d7)
+           WHEN 2 THEN concat('78-', substring(d7, 1, 3), '-', substring(d7, 4, 2), '-', substring(d7, 6, 2))
+           WHEN 3 THEN concat('70 ', substring(d7, 1, 6)) WHEN 4 THEN concat('69', d7) WHEN 5 THEN NULL WHEN 6 THEN ''
+           WHEN 7 THEN concat('00221 77', d7) ELSE concat('221221 75', d7) END AS telephone""",
+        "CASE WHEN copy = 1 AND k % 50 = 4 THEN concat('  ', ville0) ELSE ville0 END AS ville",
+        "region",
+        """CASE CAST(k % 7 AS INT)
+           WHEN 0 THEN concat(CAST(1940 + k % 60 AS STRING), '-', lpad(CAST(1 + k % 12 AS STRING), 2, '0'), '-',
+                              lpad(CAST(1 + k % 28 AS STRING), 2, '0'))
+           WHEN 1 THEN '1919-12-31' WHEN 2 THEN '2099-01-01' WHEN 3 THEN '15/01/1990' WHEN 4 THEN '2000-02-30'
+           WHEN 5 THEN NULL ELSE '1920-01-01' END AS date_naissance""",
+        "CAST(date_add(DATE'2020-01-01', CAST(k % 1000 AS INT)) AS STRING) AS date_inscription",
     )
 
 
 def orders_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders with a text amount (about 1 % carry `` FCFA``, 1 % ``N/A``,
     1 % missing), two spellings of the delivered status, and a channel."""
-    o = table(spark, sf_dir, "orders")
-    k = F.col("o_orderkey")
-    base = F.floor(F.col("o_totalprice")).cast("bigint").cast("string")
-    r = k % 100
-    amount = (
-        F.when(r == 0, F.concat(base, F.lit(" FCFA")))
-        .when(r == 50, F.lit(None).cast("string"))
-        .when(r == 25, F.lit("N/A"))
-        .otherwise(base)
-    )
-    status = (
-        F.when(
-            F.col("o_orderstatus") == "F",
-            F.when(k % 10 == 0, F.lit(DELIVERED_ACCENTED)).otherwise(F.lit(STATUS_BY_LETTER["F"])),
-        )
-        .when(F.col("o_orderstatus") == "O", F.lit(STATUS_BY_LETTER["O"]))
-        .otherwise(F.lit(STATUS_BY_LETTER["P"]))
-    )
-    return o.select(
-        k.alias("order_id"),
-        F.col("o_custkey").alias("customer_id"),
-        F.col("o_orderdate").alias("date_commande"),
-        status.alias("statut"),
-        F.when(k % 2 == 0, F.lit("mobile_app")).otherwise(F.lit("web")).alias("canal"),
-        amount.alias("montant_total_fcfa"),
-        (F.lit(1000) + (k % 5) * 500).cast("bigint").alias("frais_livraison_fcfa"),
+    amount = "CAST(CAST(floor(o_totalprice) AS BIGINT) AS STRING)"
+    return table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey AS order_id",
+        "o_custkey AS customer_id",
+        "o_orderdate AS date_commande",
+        f"""CASE o_orderstatus WHEN 'F' THEN CASE WHEN o_orderkey % 10 = 0 THEN '{DELIVERED_ACCENTED}' ELSE '{STATUS_BY_LETTER['F']}' END
+            WHEN 'O' THEN '{STATUS_BY_LETTER['O']}' ELSE '{STATUS_BY_LETTER['P']}' END AS statut""",
+        "CASE WHEN o_orderkey % 2 = 0 THEN 'mobile_app' ELSE 'web' END AS canal",
+        f"""CASE CAST(o_orderkey % 100 AS INT) WHEN 0 THEN concat({amount}, ' FCFA') WHEN 50 THEN NULL WHEN 25 THEN 'N/A'
+            ELSE {amount} END AS montant_total_fcfa""",
+        "CAST(1000 + (o_orderkey % 5) * 500 AS BIGINT) AS frais_livraison_fcfa",
     )
 
 
 def payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One payment per order: method from the order priority."""
-    o = table(spark, sf_dir, "orders")
-    method = F.lit(None).cast("string")
-    for prio, name in reversed(list(PAYMENT_BY_PRIORITY.items())):
-        method = F.when(F.col("o_orderpriority") == prio, F.lit(name)).otherwise(method)
-    return o.select(
-        F.col("o_orderkey").alias("order_id"),
-        method.alias("methode"),
-        F.floor(F.col("o_totalprice")).cast("bigint").alias("montant_fcfa"),
+    methods = " ".join(f"WHEN '{prio}' THEN '{name}'" for prio, name in PAYMENT_BY_PRIORITY.items())
+    return table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey AS order_id",
+        f"CASE o_orderpriority {methods} END AS methode",
+        "CAST(floor(o_totalprice) AS BIGINT) AS montant_fcfa",
     )
 
 
@@ -232,7 +170,7 @@ def customers_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.select(
         F.col("c_custkey").alias("customer_id"),
         F.col("c_name").alias("nom"),
-        _city_of(F.col("c_custkey")).alias("ville"),
+        F.expr(_city_of("c_custkey")).alias("ville"),
         F.col("region"),
     )
 
@@ -252,21 +190,56 @@ def clients_partial(spark: SparkSession, sf_dir: str) -> DataFrame:
 def web_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Web events: a session per user and day (1 in 29 events anonymous),
     funnel event names, a device, a city, and an order id on purchases."""
-    ev = table(spark, sf_dir, "events")
-    eid = F.col("event_id")
-    session = F.when(eid % 29 == 0, F.lit(None).cast("string")).otherwise(
-        F.concat(F.col("user_id").cast("string"), F.lit("-"), F.date_format("ts", "yyyyMMdd"))
-    )
-    etype = F.col("event_type")
-    for src, dst in reversed(list(EVENT_NAMES.items())):
-        etype = F.when(F.col("event_type") == src, F.lit(dst)).otherwise(etype)
-    kprop = F.get_json_object("props", "$.k").try_cast("bigint")
-    return ev.select(
-        eid.alias("event_id"),
-        F.col("ts").alias("event_time"),
-        session.alias("session_id"),
-        etype.alias("event_type"),
-        _pick(DEVICES, F.coalesce(F.pmod(kprop, F.lit(3)), F.lit(2))).alias("device"),
-        _city_of(F.col("user_id")).alias("ville"),
-        F.when(F.col("event_type") == "purchase", eid * 2).alias("order_id"),
-    )
+    names = " ".join(f"WHEN '{src}' THEN '{dst}'" for src, dst in EVENT_NAMES.items())
+    return table(spark, sf_dir, "events").selectExpr(
+        "event_id",
+        "ts AS event_time",
+        "CASE WHEN event_id % 29 = 0 THEN NULL ELSE concat(CAST(user_id AS STRING), '-', date_format(ts, 'yyyyMMdd')) END AS session_id",
+        f"CASE event_type {names} ELSE event_type END AS event_type",
+        f"{_array(DEVICES)}[CAST(coalesce(pmod(try_cast(get_json_object(props, '$.k') AS BIGINT), 3), 2) AS INT)] AS device",
+        f"{_city_of('user_id')} AS ville",
+        "CASE WHEN event_type = 'purchase' THEN event_id * 2 END AS order_id",
+    )
+
+
+# --- Fixed values: the planted defects of the order lines in text form, by order_id modulo 40,
+# and the columns of an order line.
+LINE_DEFECTS = {"short": 3, "long": 7, "bad_customer": 11, "bad_date": 13, "no_id": 17, "two": 19}
+LINE_SCHEMA = "order_id bigint, customer_id bigint, date_commande date, statut string, frais_livraison_fcfa bigint"
+# -------------------------------------------------------------------------------------------
+
+
+def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as CSV lines (one string column), some of them malformed: a field
+    missing or too many, a customer or a day that is none, no order id, and two
+    faults at once."""
+    o = orders_raw(spark, sf_dir)
+    defect = F.pmod(F.col("order_id"), F.lit(40))
+    d = {name: defect == k for name, k in LINE_DEFECTS.items()}
+    fields = [
+        F.when(d["no_id"] | d["two"], F.lit("")).otherwise(F.col("order_id").cast("string")),
+        F.when(d["bad_customer"] | d["two"], F.concat(F.lit("x"), F.col("customer_id").cast("string"))).otherwise(
+            F.col("customer_id").cast("string")
+        ),
+        F.when(d["bad_date"], F.lit("2024-13-45")).otherwise(F.date_format("date_commande", "yyyy-MM-dd")),
+        F.col("statut"),
+    ]
+    line = F.concat_ws(",", *fields)
+    fees = F.concat(F.lit(","), F.col("frais_livraison_fcfa").cast("string"))
+    return o.select(F.when(d["short"], line).when(d["long"], F.concat(line, fees, fees)).otherwise(F.concat(line, fees)).alias("value"))
+
+
+def customer_extracts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customer records with a second, later one for every third customer: a new
+    e-mail for some, a new phone number (valid or not) for others, no city."""
+    raw = customers_raw(spark, sf_dir)
+    k = F.col("customer_id").try_cast("bigint")
+    later = raw.filter(k % 3 == 0).withColumns(
+        {
+            "email": F.when(k % 2 == 0, F.concat(F.lit("new"), F.col("customer_id"), F.lit("@mail.com"))),
+            "telephone": F.when(k % 4 == 0, F.concat(F.lit("77"), F.lpad((k % 10000000).cast("string"), 7, "0"))).otherwise(F.lit("12")),
+            "ville": F.lit(None).cast("string"),
+            "date_inscription": F.lit("2024-01-01"),
+        }
+    )
+    return raw.unionByName(later)
