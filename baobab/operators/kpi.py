@@ -323,6 +323,15 @@ def revenue_by(items: DataFrame, orders: DataFrame, customers: DataFrame, produc
     )
 
 
+def monthly_line_revenue(
+    items: DataFrame, orders: DataFrame, by: Sequence[str] = ("product_id",), date_col: str = "date_commande"
+) -> DataFrame:
+    """Delivered line revenue per calendar month and ``by`` (columns of the lines)."""
+    month = F.trunc(F.col(date_col).cast("date"), "month").alias("mois")
+    per = delivered_line_revenue(items, orders, (*by, "mois"), delivered(orders).select("order_id", month))
+    return per.select(*by, "mois", F.col("ca").alias("ca_fcfa"))
+
+
 def share_by_category(items: DataFrame, orders: DataFrame, payments: DataFrame, products: DataFrame, methods: Sequence[str] = rules.MOBILE_MONEY, method: str = "methode") -> DataFrame:
     """Delivered line revenue per category and the share (%) paid with
     ``methods``.

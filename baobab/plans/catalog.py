@@ -433,6 +433,14 @@ def _monthly_delta(i: Inputs) -> DataFrame:
     return ranking.period_delta(kpi.monthly_label_revenue(i.orders()), "mois", "ca_fcfa")
 
 
+@query("monthly_delta_by_product")
+def _monthly_delta_by_product(i: Inputs) -> DataFrame:
+    """C34 per product against the calendar month before; months without a sale
+    between a product's first and last count as 0."""
+    sold = kpi.monthly_line_revenue(i.items(), i.orders())
+    return ranking.period_delta_by(sold, ["product_id"], "mois", "ca_fcfa")
+
+
 @query("revenue_city_category")
 def _revenue_city_category(i: Inputs) -> DataFrame:
     """Delivered line revenue per city and category."""

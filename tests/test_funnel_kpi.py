@@ -190,3 +190,42 @@ def test_period_delta_gap_fill(spark):
     assert plain == [(10, None), (12, 15)]  # previous present month
     filled = [(r.mois.month, r.ca, r.delta) for r in ranking.period_delta(m, "mois", "ca", fill_gaps=True).orderBy("mois").collect()]
     assert filled == [(10, 10, None), (11, 0, -10), (12, 25, 25)]
+
+
+def test_period_delta_by_group_fills_the_calendar(spark):
+    d = dt.date
+    m = spark.createDataFrame(
+        [("a", d(2025, 10, 1), 10), ("a", d(2026, 1, 1), 25), ("a", d(2026, 2, 1), None), ("b", d(2025, 12, 1), 7),
+         (None, d(2025, 11, 1), 3), (None, d(2025, 12, 1), 4), ("a", None, 5)],
+        "g string, mois date, ca long",
+    )
+    out = ranking.period_delta_by(m, ["g"], "mois", "ca")
+    assert out.columns == ["g", "mois", "ca", "delta"]
+    got = {(r.g, r.mois): (r.ca, r.delta) for r in out.collect()}
+    assert got == {
+        ("a", None): (5, None),
+        ("a", d(2025, 10, 1)): (10, None), ("a", d(2025, 11, 1)): (0, -10), ("a", d(2025, 12, 1)): (0, 0),
+        ("a", d(2026, 1, 1)): (25, 25), ("a", d(2026, 2, 1)): (0, -25),
+        ("b", d(2025, 12, 1)): (7, None),
+        (None, d(2025, 11, 1)): (3, None), (None, d(2025, 12, 1)): (4, 1),
+    }
+    assert out.count() == 9 and ranking.period_delta_by(m.limit(0), ["g"], "mois", "ca").count() == 0
+
+
+def test_period_delta_by_equals_a_plain_calendar(spark):
+    import random
+
+    rnd, data = random.Random(4), {}
+    for g in range(30):
+        for k in rnd.sample(range(60), rnd.randint(1, 12)):
+            data[g, k] = rnd.randint(0, 99)
+    month = lambda k: dt.date(2020 + k // 12, k % 12 + 1, 1)
+    m = spark.createDataFrame([(g, month(k), v) for (g, k), v in data.items()], "g int, mois date, ca long")
+    want = set()
+    for g in range(30):
+        own = [k for h, k in data if h == g]
+        for k in range(min(own), max(own) + 1):
+            v = data.get((g, k), 0)
+            want.add((g, month(k), v, None if k == min(own) else v - data.get((g, k - 1), 0)))
+    got = [tuple(r) for r in ranking.period_delta_by(m, ["g"], "mois", "ca").collect()]
+    assert len(got) == len(want) and set(got) == want
