@@ -138,7 +138,7 @@ def measure(
     n_symbols, n_dup_lines, n_repeat_words (long), base_failed, kept (boolean),
     class_distance and word_distance (double, null where a guard stops the comparison).
 
-    A null text has no words.  A null language is a language of its own.  A
+    A null text has no words.  A null language is the empty one.  A
     document under ``GUARD_WORDS`` words, or of a language with under
     ``GUARD_REFERENCE_WORDS``, is judged by the base rules alone.  Repeated rows
     are judged alike; an empty table gives an empty result.  A column of the name
