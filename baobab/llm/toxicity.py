@@ -44,7 +44,9 @@ BROADCAST_GRAMS = 4_000_000
 #: Labelled rows that the logistic fit takes at most.
 FIT_ROWS = 20_000
 #: Words that each of a worker's two cache generations holds, and that are scored in one go.
-CACHE_WORDS, WORDS_AT_ONCE = 400_000, 4_000
+#: Most distinct words of a corpus stand in it once, so a larger cache is memory (375 bytes a
+#: word) without hits.
+CACHE_WORDS, WORDS_AT_ONCE = 60_000, 4_000
 #: A word's log likelihood ratio from which on it counts as evidence by itself.
 EXCESS = 4.0
 #: A document with this score or more is toxic.
@@ -217,6 +219,7 @@ class Model:
 
     def __init__(self, tables: dict[str, np.ndarray], order: int = ORDER, discount: float = DISCOUNT):
         self.t, self.order, self.discount = tables, order, discount
+        self.received = False  # a worker's own copy
         self.cache: dict[bytes, float] = {}
         self.older: dict[bytes, float] = {}
         self.slots: np.ndarray | None = None
@@ -244,6 +247,8 @@ class Model:
             self.slots[at[free]] = todo[free]
             lost = self.slots[at] != todo
             todo, at = todo[lost], (at[lost] + 1) & self.mask
+        if self.received:
+            self.t = {}  # all of it is in the index
 
     def _home(self, hashes: np.ndarray) -> np.ndarray:
         return ((hashes * _MIX) >> self.shift).astype(np.int64)
@@ -311,7 +316,9 @@ class Model:
 
 def _unpacked(packed: dict[str, tuple[str, bytes]], order: int, discount: float) -> Model:
     tables = {name: np.frombuffer(zlib.decompress(x), dtype=kind) for name, (kind, x) in packed.items()}
-    return Model(tables, order, discount)
+    model = Model(tables, order, discount)
+    model.received = True
+    return model
 
 
 def logistic(
