@@ -12,6 +12,7 @@ import pyarrow.parquet as pq
 import pytest
 import public_tokenizers as tokens
 import tiktoken
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from baobab.llm import bpe, chat, counts, lines, packing, quality, sharding, simhash, toxicity
@@ -402,6 +403,64 @@ def test_sharding_splits_no_group_that_has_room(spark):
         assert not [t for t, s in of.items() if t != "copy" and len(s) > 1]
 
 
+def brute_propagation(shard, groups, cells, quota, rounds):
+    """Label propagation, row by row.  shard: row -> its first shard; groups: group -> rows."""
+    shard, idle, n = dict(shard), 0, len(quota)
+    of = defaultdict(list)
+    for g, members in groups.items():
+        for r in members:
+            of[r].append(g)
+    for nth_round in range(rounds):
+        if idle == 2:
+            break
+        held = [sum(s == k for s in shard.values()) for k in range(n)]
+        free = [k for k in range(n) if nth_round % 2 == 0 or held[k] < quota[k]]
+        inside = {g: Counter(shard[r] for r in members) for g, members in groups.items()}
+        asked = defaultdict(list)
+        for r, own in shard.items():
+            votes = sum((inside[g] for g in of[r]), Counter())
+            best = min(free, key=lambda k: (-votes[k], k), default=own)
+            if (votes[best], -best) > (votes[own], -own):
+                asked[own, best].append(r)
+        granted = sharding.grant({pair: len(x) for pair, x in asked.items()}, held, quota)
+        idle = 0 if sum(granted.values()) else idle + 1
+        for pair, x in asked.items():
+            for r in sorted(x, key=lambda r: (cells[r], r))[: granted[pair]]:
+                shard[r] = pair[1]
+    return shard
+
+
+def cut_links(shard, groups):
+    """Members of a group that are not in the shard that holds most of it."""
+    return sum(len(x) - max(Counter(shard[r] for r in x).values()) for x in groups.values())
+
+
+def test_propagation_equals_plain_rounds_and_cuts_fewer_links(spark):
+    """Overlapping groups: a row in one of 40, a third of them in a neighbouring one too."""
+    rnd = random.Random(8)
+    pairs = {(i, i % 40) for i in range(600)} | {(i, (i + 1) % 40) for i in range(600) if rnd.random() < 0.3}
+    groups = defaultdict(list)
+    for r, g in sorted(pairs):
+        groups[g].append(r)
+    members = spark.createDataFrame(sorted(pairs), "rid long, g long")
+    quota = sharding.quotas(640, 8)
+    start = members.groupBy("rid").agg(F.min("g").alias("g")).select(
+        "rid",
+        F.pmod(F.xxhash64("rid"), F.lit(8)).alias("shard"),
+        sharding._cell(F.xxhash64("g"), F.xxhash64("rid")).alias("cell"),
+    )
+    start = start.collect()
+    first = {r["rid"]: r["shard"] for r in start}
+    state = sharding.propagate(members, quota, rounds=5)
+    got = {r["rid"]: r["shard"] for r in state.collect()}
+    assert got == brute_propagation(first, groups, {r["rid"]: r["cell"] for r in start}, quota, 5)
+    assert max(Counter(got.values()).values()) <= max(quota)
+    # all groups hang together and are larger than a quota, so what follows leaves them to propagation
+    after = {r["rid"]: r["shard"] for r in sharding.united(state, members, quota).collect()}
+    hashed, moved = cut_links(first, groups), cut_links(got, groups)
+    assert moved <= 0.7 * hashed and cut_links(after, groups) == moved, (hashed, moved)
+
+
 def test_granted_flows_keep_quotas():
     rnd = random.Random(1)
     for _ in range(500):
