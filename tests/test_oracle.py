@@ -86,3 +86,11 @@ def test_join_queries_without_broadcast(spark, duck, name):
     dcols = [d[0] for d in res.description]
     idx = [dcols.index(c) for c in cols]
     assert srows == sorted((tuple(_norm(r[i]) for i in idx) for r in res.fetchall()), key=_key)
+
+
+def test_region_report_rows_come_in_order(spark, duck):
+    """O1: dearest region first; the parity test above compares rows without their order."""
+    got = [(r["region"], _norm(r["ca_fcfa"])) for r in registry()["region_report"](spark, SF_SMALL).collect()]
+    report = f"SELECT region, ca_fcfa FROM ({oracle_sql()['region_report']}) ORDER BY ca_fcfa DESC, region"
+    assert len(got) > 1
+    assert got == [(region, _norm(total)) for region, total in duck.execute(report).fetchall()]
