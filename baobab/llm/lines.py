@@ -4,7 +4,9 @@ Every window of three consecutive lines gets a 128-bit hash.  Windows that occur
 more than once in the corpus are found by one aggregation, their later
 occurrences by a join, and the lines that those cover, merged per document, go.
 Of every removed line with a word one that is equal, but for outer white space,
-stays in an earlier place.
+stays in an earlier place.  Whole texts are moved to their removed lines only if
+they can lose any; the others are told by a broadcast table of marks and stay
+where they are read.
 """
 
 from __future__ import annotations
@@ -16,6 +18,8 @@ from baobab.llm.common import SPACES, cut
 
 #: Lines of a window.
 WINDOW = 3
+#: First bits of a hash that name its word of 64 marks: at most 2^19 words, 21 MB when nearly all are set, are broadcast.
+MARK_BITS = 19
 
 
 def pieces(text: Column) -> Column:
@@ -71,6 +75,26 @@ def repeated_lines(rows: DataFrame, size: int = WINDOW) -> DataFrame:
     )
 
 
+def parted(rows: DataFrame, keys: DataFrame, key: str, mark_bits: int = MARK_BITS) -> tuple[DataFrame, DataFrame]:
+    """``rows`` whose 64-bit hash ``key`` may be one of ``keys``, and all other rows.
+
+    A hash sets one bit of one word; a row whose bit is not set has surely no such
+    hash.  The words that a broadcast holds do not grow with the table: of very
+    many hashes more rows are in the first part, none of them wrongly in the second."""
+
+    def word(h: Column) -> Column:
+        return F.shiftrightunsigned(h, 64 - mark_bits)
+
+    def bit(h: Column) -> Column:
+        return h.bitwiseAND(F.lit(63)).cast("int")
+
+    mark = F.call_function("shiftleft", F.lit(1).cast("long"), bit(F.col(key)))
+    words = keys.groupBy(word(F.col(key)).alias("__word")).agg(F.bit_or(mark).alias("__marks"))
+    marked = rows.join(F.broadcast(words), word(F.col(key)) == F.col("__word"), "left")
+    may = F.coalesce(F.getbit("__marks", bit(F.col(key))) == 1, F.lit(False))
+    return tuple(marked.where(w).drop("__word", "__marks") for w in (may, ~may))
+
+
 def dedup_lines(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -89,15 +113,18 @@ def dedup_lines(
     and keep the same lines.  Null and empty texts stay as they are with 0 lines;
     a text may become empty.  An empty table gives an empty result.  Columns of
     ``docs`` with the names of the two counts are replaced; choose other names to
-    keep them."""
+    keep them.  ``docs`` is read three times, so it has the same rows each time."""
     keyed = docs.withColumn("__l_id", F.col(id_col)).withColumn("__l_tk", F.xxhash64(text_col))
     rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("tk"), F.col(text_col).alias("text"))
     gone = cut(repeated_lines(rows.where("text is not null"), size)).select(
         F.col("id").alias("__l_id2"), F.col("tk").alias("__l_tk2"), F.col("removed").alias("__l_removed")
     )
-    joined = keyed.join(
+    losing, whole = parted(keyed, gone.select(F.col("__l_tk2").alias("__l_tk")), "__l_tk")
+    joined = losing.join(
         gone, F.col("__l_id").eqNullSafe(F.col("__l_id2")) & (F.col("__l_tk") == F.col("__l_tk2")), "left"
-    ).withColumn("__l_pieces", pieces(F.col(text_col)))
+    ).drop("__l_id2", "__l_tk2")
+    nothing = F.lit(None).cast(gone.schema["__l_removed"].dataType)
+    joined = joined.union(whole.withColumn("__l_removed", nothing)).withColumn("__l_pieces", pieces(F.col(text_col)))
     kept = F.array_except(F.sequence(F.lit(0), F.size("__l_pieces") - 1), "__l_removed")
     text = F.array_join(F.transform(kept, lambda i: F.get(F.col("__l_pieces"), i)), "")
     n_lines = F.size(F.filter("__l_pieces", lambda x: F.btrim(x, F.lit(SPACES)) != ""))
@@ -109,7 +136,7 @@ def dedup_lines(
                 removed_col: F.when(F.col("__l_removed").isNull(), 0).otherwise(F.size("__l_removed")).cast("long"),
             }
         )
-        .drop("__l_id", "__l_tk", "__l_id2", "__l_tk2", "__l_removed", "__l_pieces")
+        .drop("__l_id", "__l_tk", "__l_removed", "__l_pieces")
     )
 
 

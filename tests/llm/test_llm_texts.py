@@ -310,6 +310,45 @@ def test_line_dedup_edges(spark, edge):
     assert lines.dedup_lines(edge.limit(0)).count() == 0
 
 
+def shuffled_bytes(plan):
+    """Bytes that the exchanges of an executed plan wrote, before compression."""
+    stages = {"ShuffleQueryStage": "plan", "BroadcastQueryStage": "plan", "ResultQueryStage": "plan"}
+    inner = ({"AdaptiveSparkPlan": "executedPlan"} | stages).get(plan.nodeName().split(" ")[0])
+    if inner:
+        return shuffled_bytes(getattr(plan, inner)())
+    own = plan.metrics().apply("dataSize").value() if plan.nodeName() == "Exchange" else 0
+    return own + sum(shuffled_bytes(plan.children().apply(i)) for i in range(plan.children().size()))
+
+
+def test_line_dedup_moves_only_texts_that_lose_lines(spark):
+    """Tables too large to broadcast: texts without a repeated window are not shuffled."""
+    texts = {i: f"{i} a\n{i} b\n{i} c\n" + f"{i} " * 3_000 for i in range(60)}
+    texts |= {60: texts[7] + "\nz", 61: "1 a\n1 b\n1 c", 62: "x\ny\nx\ny\nx\ny", 63: ""}
+    frame = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        done = lines.dedup_lines(frame)
+        out = rows(done)
+        moved = shuffled_bytes(done._jdf.queryExecution().executedPlan())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert {r["doc_id"]: r["text"] for r in out} == brute_lines(texts) and len(out) == len(texts)
+    assert {r["doc_id"] for r in out if r["n_removed"]} == {60, 61, 62}
+    assert len(texts[60]) < moved < sum(map(len, texts.values())) / 5
+
+
+def test_parted_loses_no_key(spark):
+    """Two words of marks for 300 keys: every row is in one part, every key in the first."""
+    frame = spark.range(3000).select("id", F.xxhash64("id").alias("h"))
+    for n, bits in ((0, 19), (1, 1), (300, 1), (300, 19)):
+        keys = frame.where(F.col("id") < n).select("h")
+        may, no = ([r["id"] for r in rows(part)] for part in lines.parted(frame, keys, "h", bits))
+        assert sorted(may + no) == list(range(3000)) and set(range(n)) <= set(may)
+        if bits == 19:
+            assert len(may) < n + 10
+
+
 # 7: chat
 
 
